@@ -503,3 +503,50 @@ def q_svm_grid(spark, sf_dir):
     from lumisort.plans.grid import grid_table, run_grid
     res = run_grid(_samples(spark, sf_dir), GRID_CLASSES, GRID_CUTOFFS, mode="ovo", parallelism=6, seed=SEED)
     return grid_table(res, GRID_CUTOFFS)
+
+
+# ---------------------------------------------------- featurise and stream
+
+def _projection_sql() -> str:
+    from lumisort.catalog.fixtures import EMBEDDING_DIM, PROJECTION_DIM
+    return f"""WITH x AS (
+  SELECT vec_id, UNNEST(CAST(embedding AS DOUBLE[])) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings),
+d AS (SELECT range AS j FROM range({PROJECTION_DIM}))
+SELECT x.vec_id, CAST(d.j AS BIGINT) AS dim, round(sum(x.v * (((7 * x.i + 13 * d.j) % 17) - 8) / 8.0), 5) AS value
+FROM x, d GROUP BY x.vec_id, d.j"""
+
+
+@register("featurize_projection", _projection_sql())
+def q_featurize_projection(spark, sf_dir):
+    """Batch inference over every embedding with the default fixed-projection
+    model (64 -> 8), long form (vec_id, dim, value)."""
+    from lumisort.catalog.fixtures import EMBEDDING_DIM, PROJECTION_DIM
+    from lumisort.operators.featurize import featurize, projection_model
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    f = featurize(emb, projection_model(EMBEDDING_DIM, PROJECTION_DIM), "embedding", batch_size=256)
+    return f.select("vec_id", F.posexplode("features").alias("dim", "value")).select(
+        "vec_id", F.col("dim").cast("long"), F.round("value", 5).alias("value"))
+
+
+@register("stream_score", samples_ctes() + f"""
+SELECT n.file_name, n.features IS NOT NULL AS success,
+       CASE WHEN d.margin IS NULL THEN NULL WHEN d.margin > 0 THEN '{OVO_PAIR[0]}' ELSE '{OVO_PAIR[1]}' END AS prediction,
+       round(d.margin, 6) AS margin
+FROM named n LEFT JOIN (SELECT file_name, list_dot_product(features, {W_SQL}) AS margin FROM named
+                        WHERE features IS NOT NULL) d USING (file_name)""")
+def q_stream_score(spark, sf_dir):
+    """Structured Streaming over the embeddings files (availableNow): samples
+    projection -> margin -> class name -> Parquet sink; returns the sink."""
+    from lumisort.session import scratch_path
+    from lumisort.sources.samples import CLASS_NAMES, FAILED_EXTRACTION_MOD, FAILED_EXTRACTION_REM, samples_from_table
+    from lumisort.streaming.score_stream import score_stream
+    schema = "vec_id bigint, embedding array<float>, label int"
+    src = (spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet")
+           .option("maxFilesPerTrigger", 16).parquet(sf_dir))
+    failed = (F.col("vec_id") % FAILED_EXTRACTION_MOD) == FAILED_EXTRACTION_REM
+    s = samples_from_table(src, "vec_id", "embedding", "label", CLASS_NAMES, failed)
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    q = score_stream(s, PROBE_MODEL, (OVO_PAIR[1], OVO_PAIR[0]), sink, ckpt)
+    q.awaitTermination()
+    out = spark.read.schema("file_name string, success boolean, prediction string, margin double").parquet(sink)
+    return out.select("file_name", "success", "prediction", F.round("margin", 6).alias("margin"))
