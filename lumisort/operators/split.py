@@ -5,9 +5,9 @@ file between splits is a new value of that column.  All operators are
 ``DataFrame -> DataFrame`` and keep every row; ranks come from
 ``lumisort.operators.ranking`` so no task ever holds a whole class.
 
-Cutoff arithmetic is IEEE double, as in the reference (``0.3 * 10`` is
-``3.0000000000000004``): the positional pass keeps rows with 0-based position
-``i < cutoff * N`` (so ``ceil``), the rebalance targets ``floor(cutoff * N)``.
+Cutoff arithmetic is IEEE double, as in the reference (``0.29 * 100`` is
+``28.999999999999996``): the positional pass keeps rows with 0-based position
+``i < cutoff * N`` (so ``ceil``: 29), the rebalance targets ``floor(cutoff * N)`` (28).
 """
 
 from __future__ import annotations
