@@ -23,6 +23,8 @@ from lumisort.operators.aggregates import accuracy_pivot
 from lumisort.operators.split import rebalance
 from lumisort.plans.evaluate import evaluate
 
+CONF_GRID_MATERIALIZE_ROWS = "lumisort.grid.materializeRows"
+
 RESULT_SCHEMA = ("class1 string, class0 string, cutoff double, train_test string, mode string, model string, "
                  "n_train long, n_test long, tp double, tn double, accuracy double")
 
@@ -34,7 +36,7 @@ def _ratio_text(c: float) -> str:
 def run_grid(df: DataFrame, classes: Sequence[str], cutoffs: Sequence[float] = (0.3, 0.6, 0.9),
              mode: str = "ovo", model: str = "svm", parallelism: int = 4, seed: int | str = 1,
              solver: str = "owlqn", iterations: int = 100, reg: float | None = None,
-             match: str = "exact") -> DataFrame:
+             match: str = "exact", materialize: bool | None = None) -> DataFrame:
     """Result rows: class1, class0, cutoff, train_test, mode, model, n_train, n_test, tp, tn, accuracy."""
     spark = df.sparkSession
     classes = list(dict.fromkeys(classes))
@@ -42,7 +44,7 @@ def run_grid(df: DataFrame, classes: Sequence[str], cutoffs: Sequence[float] = (
         problems = list(combinations(classes, 2))
     else:
         problems = [(c, None) for c in classes]
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    base, cleanup = stage_by_class(df, materialize)
     rows = []
     try:
         cur = base
@@ -59,10 +61,31 @@ def run_grid(df: DataFrame, classes: Sequence[str], cutoffs: Sequence[float] = (
                                  int(r["n_train"]), int(r["n_test"]), float(r["tp"] or 0.0), float(r["tn"] or 0.0),
                                  None if r["accuracy"] is None else float(r["accuracy"])))
     finally:
-        base.unpersist()
+        cleanup()
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
+def stage_by_class(df: DataFrame, materialize: bool | None = None, label_col: str = "label_name"):
+    """The grid reads the vector table once per fit.  ``materialize``: write it
+    once to the shared checkpoint folder, partitioned by class -- a one-vs-one
+    fit then reads only its two classes' files (partition pruning), rebalancing
+    reads only the name columns, and the table survives executor loss.
+    Otherwise persist it (memory and disk).  ``None``: write when the table has
+    more than ``lumisort.grid.materializeRows`` rows (default 1,000,000)."""
+    if materialize is None:
+        from lumisort.session import conf_int
+        limit = conf_int(df.sparkSession, CONF_GRID_MATERIALIZE_ROWS, 1_000_000)
+        materialize = df.count() > limit
+    if not materialize:
+        d = df.persist(StorageLevel.MEMORY_AND_DISK)
+        return d, d.unpersist
+    from lumisort.session import scratch_path
+    path = scratch_path(df.sparkSession, "grid-vectors")
+    df.write.partitionBy(label_col).parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    return back.select(*df.columns), (lambda: None)
+
+
 def score_grid(df: DataFrame, model, classes: Sequence[str], cutoffs: Sequence[float] = (0.3, 0.6, 0.9),
                mode: str = "ovo", seed: int | str = 1) -> DataFrame:
     """The grid with a given model (no fitting): per cutoff (chained rebalance)

@@ -59,3 +59,15 @@ def test_prediction_matches_spark_ml(spark):
     a = {r.file_name: r.prediction for r in predict(m, p).collect()}
     b = {r.file_name: r.prediction for r in predict_ml(m, p).collect()}
     assert a == b
+
+
+def test_grid_both_stagings(spark):
+    from lumisort.plans.grid import grid_table, run_grid
+    s = S.split_positional(embeddings_samples(spark, SF_SMALL, with_split=False), 0.8)
+    a = run_grid(s, ["Persian", "Ragdoll", "Siamese"], [0.3, 0.6], parallelism=3, materialize=True, iterations=20)
+    b = run_grid(s, ["Persian", "Ragdoll", "Siamese"], [0.3, 0.6], parallelism=3, materialize=False, iterations=20)
+    ka = sorted((r.class1, r.class0, r.train_test, r.n_train, r.n_test) for r in a.collect())
+    kb = sorted((r.class1, r.class0, r.train_test, r.n_train, r.n_test) for r in b.collect())
+    assert ka == kb and len(ka) == 6
+    t = grid_table(a, [0.3, 0.6])
+    assert t.columns == ["class1", "class0", "0.3/0.7", "0.6/0.4"] and t.count() == 3
