@@ -501,7 +501,7 @@ def q_logreg_ovo(spark, sf_dir):
 def q_svm_grid(spark, sf_dir):
     """The reference's grid: 3 chained cutoffs x 6 pairs = 18 fits, pivoted."""
     from lumisort.plans.grid import grid_table, run_grid
-    res = run_grid(_samples(spark, sf_dir), GRID_CLASSES, GRID_CUTOFFS, mode="ovo", parallelism=6, seed=SEED)
+    res = run_grid(_samples(spark, sf_dir), GRID_CLASSES, GRID_CUTOFFS, mode="ovo", parallelism=9, seed=SEED)
     return grid_table(res, GRID_CUTOFFS)
 
 
@@ -550,3 +550,56 @@ def q_stream_score(spark, sf_dir):
     q.awaitTermination()
     out = spark.read.schema("file_name string, success boolean, prediction string, margin double").parquet(sink)
     return out.select("file_name", "success", "prediction", F.round("margin", 6).alias("margin"))
+
+
+# ------------------------------------------------------ sink -> source trips
+
+@register("feature_roundtrip", samples_ctes() + """
+SELECT file_name, label_name, split, features IS NULL AS is_null, CAST(len(features) AS BIGINT) AS n,
+       round(list_sum(features), 6) AS total FROM samples""")
+def q_feature_roundtrip(spark, sf_dir):
+    """Write the feature table (JSON lines, partitioned by split and class) to
+    the shared folder and read it back with the feature reader."""
+    from lumisort.session import scratch_path
+    from lumisort.sinks.writers import write_features
+    from lumisort.sources.files import read_feature_json
+    path = scratch_path(spark, "features-json")
+    write_features(_samples(spark, sf_dir), path, fmt="json", mode="overwrite")
+    back = read_feature_json(spark, path, layout="lines").withColumn(
+        "split", F.regexp_extract(F.col("_metadata.file_path"), r"/split=([^/]+)/", 1)).withColumn(
+        "label_name", F.regexp_extract(F.col("_metadata.file_path"), r"/label_name=([^/]+)/", 1))
+    return back.select("file_name", "label_name", "split", F.col("features").isNull().alias("is_null"),
+                       F.size("features").cast("long").alias("n"),
+                       F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+
+
+def _results_sql() -> str:
+    sql = _pivot_sql()
+    head, _sep, _tail = sql.rpartition("SELECT class1, class0,")
+    return head + """SELECT class1, class0, CAST(split_part(train_test, '/', 1) AS DOUBLE) AS cutoff, train_test,
+       round(accuracy, 6) AS accuracy FROM acc"""
+
+
+@register("results_roundtrip", _results_sql())
+def q_results_roundtrip(spark, sf_dir):
+    """The fixed-model grid results written as CSV and read back (S9/K7)."""
+    from lumisort.plans.grid import score_grid
+    from lumisort.session import scratch_path
+    from lumisort.sinks.writers import write_results
+    from lumisort.sources.files import read_results
+    res = score_grid(_samples(spark, sf_dir), PROBE_MODEL, GRID_CLASSES, GRID_CUTOFFS, seed=SEED)
+    res = res.select("class1", "class0", "cutoff", "train_test", F.round("accuracy", 6).alias("accuracy"))
+    path = scratch_path(spark, "results-csv")
+    write_results(res, path)
+    return read_results(spark, path, "class1 string, class0 string, cutoff double, train_test string, accuracy double")
+
+
+@register("logreg_predictions")
+def q_logreg_predictions(spark, sf_dir):
+    """Logistic regression test predictions: label, probability of class 1,
+    prediction (the reference's ``select('label','probability','prediction')``)."""
+    from lumisort.plans.evaluate import fit_problem
+    s = S.rebalance(_samples(spark, sf_dir), 0.6, SEED)
+    m, prob = fit_problem(s, OVO_PAIR[0], OVO_PAIR[1], "ovo", "logreg")
+    test = prob.where(F.col("split") == "test")
+    return predict(m, test).select("file_name", "label", F.round("probability", 6).alias("probability"), "prediction")

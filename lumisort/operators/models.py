@@ -82,6 +82,13 @@ def predict(model: LinearModel, df: DataFrame, features_col: str = "features") -
     return out
 
 
+def linear_score(df: DataFrame, weights, intercept: float = 0.0, features_col: str = "features",
+                 out_col: str = "margin") -> DataFrame:
+    """The arithmetic inside SVM prediction as a table operator: ``w . x + b``."""
+    from lumisort.functions.vectors import linear_margin
+    return df.withColumn(out_col, linear_margin(F.col(features_col), weights, intercept))
+
+
 def predict_ml(model: LinearModel, df: DataFrame, features_col: str = "features") -> DataFrame:
     """Prediction through the Spark ML model itself (``transform``)."""
     if model.ml_model is None or not hasattr(model.ml_model, "transform"):

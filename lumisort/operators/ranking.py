@@ -63,6 +63,30 @@ def group_stats(df: DataFrame, group_cols: Sequence[str]) -> GroupStats:
     return GroupStats(int(r["g"] or 0), int(r["m"] or 0), int(r["t"] or 0))
 
 
+def small_table(df: DataFrame, row_bound: int | None = None,
+                order_col: str | None = None) -> tuple[DataFrame, list | None]:
+    """Materialise a table expected to be small, behind a size check.
+
+    Within ``lumisort.broadcast.maxRows`` rows the rows become a literal table
+    (no lineage, nothing to recompute after an executor loss -- the same rows a
+    broadcast would ship) and are returned too.  With a known ``row_bound`` the
+    check is free; otherwise an ordered ``limit(max + 1)`` (a single top-k job)
+    proves it.  Larger tables are checkpointed to the shared folder and
+    ``None`` is returned: callers then keep the join distributed."""
+    limit = conf_int(df.sparkSession, CONF_BROADCAST_MAX_ROWS, DEFAULT_BROADCAST_MAX_ROWS)
+    if row_bound is not None and row_bound <= limit:
+        rows = df.collect()
+    elif row_bound is None:
+        rows = df.orderBy(order_col or df.columns[0]).limit(limit + 1).collect()
+        if len(rows) > limit:
+            rows = None
+    else:
+        rows = None
+    if rows is None:
+        return durable(df), None
+    return df.sparkSession.createDataFrame(rows, df.schema), rows
+
+
 def small_side(df: DataFrame, row_bound: int) -> DataFrame:
     """Broadcast hint only behind a proven row bound; otherwise let the planner choose."""
     limit = conf_int(df.sparkSession, CONF_BROADCAST_MAX_ROWS, DEFAULT_BROADCAST_MAX_ROWS)
@@ -155,14 +179,15 @@ def flag_first_k(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     ``order_cols`` order (``rank() <= k``).  Wide columns of ``df`` are never shuffled."""
     group_cols, order_cols = list(group_cols), list(order_cols)
     b, stats = boundary_keys(df, group_cols, order_cols, k, strategy, stats)
-    # The boundary table is tiny (one row per group) and exact whatever the
-    # partitioning: write it to the shared checkpoint folder so the caller's
-    # lineage stays one scan plus a small join, even over chained calls.
-    b = durable(b)
+    # The boundary table has one row per group and is exact whatever the
+    # partitioning: materialise it (literal table, or a checkpoint beyond the
+    # size bound) so the caller's lineage stays one scan plus a small join, even
+    # over chained calls.
+    b, rows = small_table(b, stats.groups)
     gnames = [f"_g{i}" for i in range(len(group_cols))]
     b = b.select(*[F.col(c).alias(g) for c, g in zip(group_cols, gnames)],
                  *[F.col(f"_b{i}") for i in range(len(order_cols))], F.lit(True).alias("_has"))
-    b = small_side(b, stats.groups)
+    b = F.broadcast(b) if rows is not None else b
     joined = df.join(b, _null_safe_on(df, b, group_cols, gnames), "left")
     le = _lex_le([df[c] for c in order_cols], [F.col(f"_b{i}") for i in range(len(order_cols))])
     flag = F.coalesce(F.col("_has") & le, F.lit(False))

@@ -17,8 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumisort.operators.ranking import GroupStats, flag_first_k, row_positions, small_side
-from lumisort.session import durable
+from lumisort.operators.ranking import GroupStats, flag_first_k, row_positions, small_table
 
 DEFAULT_CUTOFF = 0.8
 TRAIN, TEST = "train", "test"
@@ -39,19 +38,27 @@ def sampling_key(name_col: str = "file_name", seed: int | str = 1) -> Column:
 
 def _with_class_counts(df: DataFrame, label_col: str, split_col: str | None):
     """Attach per-class ``_n`` (and ``_ntrain``) and return the group statistics
-    of the (class) and (class, split) groups, from one small aggregate that is
-    written to the checkpoint folder (one row per class)."""
+    of the (class) and (class, split) groups, from one small aggregate (one row
+    per class: a literal table behind a size check, else a checkpoint)."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     if split_col:
         aggs.append(F.count_if(F.col(split_col) == TRAIN).alias("_ntrain"))
-    counts = durable(df.groupBy(label_col).agg(*aggs).withColumnRenamed(label_col, "_lbl"))
-    ntrain = F.col("_ntrain") if split_col else F.lit(0)
-    r = counts.agg(F.count(F.lit(1)).alias("g"), F.max("_n").alias("m"), F.sum("_n").alias("t"),
-                   F.max(F.greatest(ntrain, F.col("_n") - ntrain)).alias("ms")).first()
-    g, m, t, ms = (int(r[x] or 0) for x in ("g", "m", "t", "ms"))
+    counts, rows = small_table(df.groupBy(label_col).agg(*aggs).withColumnRenamed(label_col, "_lbl"),
+                               order_col="_lbl")
+    if rows is not None:
+        ns = [r["_n"] for r in rows]
+        trs = [r["_ntrain"] if split_col else 0 for r in rows]
+        g, m, t = len(rows), max(ns, default=0), sum(ns)
+        ms = max((max(a, n - a) for a, n in zip(trs, ns)), default=0)
+        counts = F.broadcast(counts)
+    else:
+        ntrain = F.col("_ntrain") if split_col else F.lit(0)
+        r = counts.agg(F.count(F.lit(1)).alias("g"), F.max("_n").alias("m"), F.sum("_n").alias("t"),
+                       F.max(F.greatest(ntrain, F.col("_n") - ntrain)).alias("ms")).first()
+        g, m, t, ms = (int(r[x] or 0) for x in ("g", "m", "t", "ms"))
     by_class = GroupStats(g, m, t)
     by_class_split = GroupStats(2 * g, ms, t)
-    joined = df.join(small_side(counts, g), df[label_col].eqNullSafe(counts["_lbl"]), "left").drop("_lbl")
+    joined = df.join(counts, df[label_col].eqNullSafe(counts["_lbl"]), "left").drop("_lbl")
     return joined, by_class, by_class_split
 
 

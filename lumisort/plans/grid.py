@@ -34,7 +34,7 @@ def _ratio_text(c: float) -> str:
 
 
 def run_grid(df: DataFrame, classes: Sequence[str], cutoffs: Sequence[float] = (0.3, 0.6, 0.9),
-             mode: str = "ovo", model: str = "svm", parallelism: int = 4, seed: int | str = 1,
+             mode: str = "ovo", model: str = "svm", parallelism: int = 8, seed: int | str = 1,
              solver: str = "owlqn", iterations: int = 100, reg: float | None = None,
              match: str = "exact", materialize: bool | None = None) -> DataFrame:
     """Result rows: class1, class0, cutoff, train_test, mode, model, n_train, n_test, tp, tn, accuracy."""
@@ -45,21 +45,27 @@ def run_grid(df: DataFrame, classes: Sequence[str], cutoffs: Sequence[float] = (
     else:
         problems = [(c, None) for c in classes]
     base, cleanup = stage_by_class(df, materialize)
-    rows = []
     try:
-        cur = base
+        # the chained assignments first (cheap: narrow keys, small joins) ...
+        states, cur = [], base
         for c in cutoffs:
             cur = rebalance(cur, c, seed)
-
-            def run(p, data=cur, cut=c):
-                r, _ = evaluate(data, p[0], p[1], mode, model, match, solver, iterations, reg)
-                return (cut, r.first())
-
-            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-                for cut, r in ex.map(run, problems):
-                    rows.append((r["class1"], r["class0"], float(cut), _ratio_text(cut), r["mode"], r["model"],
-                                 int(r["n_train"]), int(r["n_test"]), float(r["tp"] or 0.0), float(r["tn"] or 0.0),
-                                 None if r["accuracy"] is None else float(r["accuracy"])))
+            states.append((float(c), cur))
+        jobs = [(c, st, p) for c, st in states for p in problems]
+
+        # ... then every fit of the grid from one pool: each fit is a chain of
+        # small Spark jobs, so concurrent fits keep the cluster busy
+        def run(job):
+            cut, data, p = job
+            r, _ = evaluate(data, p[0], p[1], mode, model, match, solver, iterations, reg)
+            return cut, r.first()
+
+        rows = []
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+            for cut, r in ex.map(run, jobs):
+                rows.append((r["class1"], r["class0"], cut, _ratio_text(cut), r["mode"], r["model"],
+                             int(r["n_train"]), int(r["n_test"]), float(r["tp"] or 0.0), float(r["tn"] or 0.0),
+                             None if r["accuracy"] is None else float(r["accuracy"])))
     finally:
         cleanup()
     return spark.createDataFrame(rows, RESULT_SCHEMA)

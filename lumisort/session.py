@@ -85,6 +85,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def durable(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (written to the shared folder): cuts lineage and
-    survives executor loss.  Meant for small/narrow tables."""
+    survives executor loss.  Meant for small/narrow tables.  The table is
+    persisted for the duration so writing the checkpoint does not compute the
+    plan a second time."""
+    from pyspark import StorageLevel
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    d = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return d.checkpoint(eager=True)
+    finally:
+        d.unpersist()

@@ -84,15 +84,17 @@ def read_results(spark: SparkSession, path: str, schema: str | None = None) -> D
 
 # ------------------------------------------------------------------ archives
 
-ARCHIVE_SCHEMA = "archive string, member string, name string, label_name string, content binary"
+ARCHIVE_BATCH_ROWS = 256
+ARCHIVE_BATCH_BYTES = 64 << 20
 
 
 def _explode_archives(batches):
-    """One output row per regular file member.  The first path part (the
-    archive's root folder) is removed, as the reference does."""
+    """One output row per regular file member, streamed out in bounded batches
+    (at most 256 members or 64 MB of bytes), so a big archive is never held
+    whole in a pandas frame."""
     for pdf in batches:
-        out = []
         for archive, content in zip(pdf["path"], pdf["content"]):
+            out, size = [], 0
             with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tf:
                 for m in tf:
                     if not m.isfile():
@@ -100,20 +102,28 @@ def _explode_archives(batches):
                     f = tf.extractfile(m)
                     data = f.read() if f is not None else b""
                     out.append((archive, m.name, data))
-        if out:
-            yield pd.DataFrame(out, columns=["archive", "member", "content"])
+                    size += len(data)
+                    if len(out) >= ARCHIVE_BATCH_ROWS or size >= ARCHIVE_BATCH_BYTES:
+                        yield pd.DataFrame(out, columns=["archive", "member", "content"])
+                        out, size = [], 0
+            if out:
+                yield pd.DataFrame(out, columns=["archive", "member", "content"])
 
 
-def read_archives(spark: SparkSession, path: str, glob: str = "*.tar.gz") -> DataFrame:
+def read_archives(spark: SparkSession, path: str, glob: str = "*.tar.gz", partitions: int | None = None) -> DataFrame:
     """tar(.gz) archives -> archive, member, name (root part stripped),
     label_name (from the name), content.
 
-    gzip streams do not split, so each archive is read by one task; ship data as
-    many archive shards (each task then holds one archive), and the members are
-    spread over partitions right after the scan."""
+    gzip streams do not split, so each archive is read by one task (a scan
+    partition holds at most ``spark.sql.files.maxPartitionBytes`` of archives):
+    ship data as many archive shards.  ``partitions``: spread the members evenly
+    over that many partitions right after the scan (round robin), so the
+    work after it (decoding, inference) is balanced."""
     arch = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
             .option("recursiveFileLookup", "true").load(path).select("path", "content"))
     members = arch.mapInPandas(_explode_archives, "archive string, member string, content binary")
+    if partitions:
+        members = members.repartition(int(partitions))
     name = strip_root(F.col("member"))
     return members.select("archive", "member", name.alias("name"), label_from_name(basename(name)).alias("label_name"),
                           "content")
