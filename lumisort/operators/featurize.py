@@ -20,6 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumisort._compat import ship_by_value, worker_cache
+
+ship_by_value(__name__)
+ship_by_value("lumisort._compat")
+
 ModelFactory = Callable[[], Callable[[np.ndarray], np.ndarray]]
 
 # Per-channel means subtracted from BGR pixels (the "caffe"
@@ -31,7 +36,6 @@ OUT_TYPE = T.StructType([
     T.StructField("error", T.StringType(), True),
 ])
 
-_MODELS: dict = {}
 
 
 def projection_model(in_dim: int, out_dim: int, weight: Callable[[int, int], float] | None = None) -> ModelFactory:
@@ -64,10 +68,11 @@ def _model(factory: ModelFactory):
     import hashlib
 
     from pyspark import cloudpickle
+    cache = worker_cache()
     key = hashlib.sha1(cloudpickle.dumps(factory)).hexdigest()
-    m = _MODELS.get(key)
+    m = cache.get(key)
     if m is None:
-        m = _MODELS[key] = factory()
+        m = cache[key] = factory()
     return m
 
 

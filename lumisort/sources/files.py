@@ -14,8 +14,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumisort._compat import ship_by_value
 from lumisort.functions.naming import basename, label_from_name, strip_root
 
+ship_by_value(__name__)
+
 RESULTS_SCHEMA = "class1 string, class0 string, cutoff double, train_test string, accuracy double"
 
 
