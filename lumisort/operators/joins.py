@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumisort.functions.naming import ratio_label
-from lumisort.operators.ranking import small_side
+from lumisort.operators.ranking import small_side, small_table
 
 
 def resolve_split(train: DataFrame, test: DataFrame, key: str = "file_name", split_col: str = "split",
@@ -27,7 +27,12 @@ def resolve_split(train: DataFrame, test: DataFrame, key: str = "file_name", spl
     train = train.withColumn(split_col, F.lit("train"))
     test = test.withColumn(split_col, F.lit("test"))
     winners = train if valid_col is None else train.where(F.coalesce(F.col(valid_col), F.lit(False)))
-    losers_ok = test.join(winners.select(key), key, "left_anti")
+    # Names in both splits, found on the narrow key columns only.  Usually few:
+    # then they are broadcast and the wide test rows are filtered in place;
+    # otherwise the anti join shuffles by name (names are unique, no skew).
+    dups = test.select(key).join(winners.select(key), key, "left_semi").distinct()
+    dups, rows = small_table(dups, order_col=key)
+    losers_ok = test.join(F.broadcast(dups) if rows is not None else dups, key, "left_anti")
     kept_train = train if valid_col is None else winners
     return kept_train.unionByName(losers_ok)
 
