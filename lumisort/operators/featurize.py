@@ -158,8 +158,9 @@ def featurize(df: DataFrame, model_fn: ModelFactory, input_col: str, batch_size:
     """Add ``output_col`` (array<double>, NULL on failure) and ``error_col``.
 
     ``input_col`` is either a numeric array column (vectors) or the ``image``
-    struct of Spark's image source.  Keep ``spark.sql.execution.arrow.maxRecordsPerBatch``
-    small for images (a batch of decoded images is held in memory)."""
+    struct of Spark's image source.  A batch of decoded images is held in a
+    Python worker's memory: bound it with ``spark.sql.execution.arrow.maxBytesPerBatch``
+    (``session.build_session`` sets 64 MB) or ``...maxRecordsPerBatch``."""
     dtype = df.schema[input_col].dataType
     if isinstance(dtype, T.StructType):
         udf = _image_udf(model_fn, batch_size, image_size)
@@ -171,11 +172,14 @@ def featurize(df: DataFrame, model_fn: ModelFactory, input_col: str, batch_size:
             .drop("_fz"))
 
 
-def read_images(spark, root: str, glob: str = "*") -> DataFrame:
+def read_images(spark, root, glob: str = "*") -> DataFrame:
     """Spark's image source (decodes on the JVM; invalid files kept with height -1)
-    plus split / class / file name from ``root/{split}/{label}/{file}``."""
-    r = (spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true")
-         .option("pathGlobFilter", glob).load(root))
+    plus split / class / file name from ``root/{split}/{label}/{file}``.
+    ``root`` is a folder or a list of image paths."""
+    reader = spark.read.format("image").option("dropInvalid", "false")
+    if isinstance(root, str):
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    r = reader.load(root)
     parts = F.split(F.col("image.origin"), "/")
     n = F.size(parts)
     return r.select(F.col("image.origin").alias("path"), F.element_at(parts, n - 2).alias("split"),

@@ -6,25 +6,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.functions.naming import stem
+from lumisort.functions.naming import basename, stem
 from lumisort.operators.featurize import featurize, read_images
 from lumisort.operators.joins import skip_existing
+from lumisort.operators.ranking import small_table
 from lumisort.sinks.writers import write_features
 
 
+def _feature_name(c):
+    return F.concat(stem(c), F.lit(".json"))
+
+
 def extract_all(spark: SparkSession, image_root: str, out_path: str, model_fn, existing: DataFrame | None = None,
                 retry_failed: bool = False, batch_size: int = 64, image_size: int = 224, glob: str = "*",
                 write: bool = True) -> DataFrame:
     """Features for every image not yet extracted.
 
-    The anti join runs *before* inference (Catalyst does not move a Python UDF
-    past a join, so the order written here is the order executed).  With
-    ``retry_failed`` earlier failures (NULL features) are extracted again."""
-    imgs = read_images(spark, image_root, glob)
-    imgs = imgs.withColumn("file_name", F.concat(stem(F.col("file_name")), F.lit(".json")))
+    Skip-existing runs before any decoding: the folder is listed without
+    reading file contents and anti-joined with the existing names.  When the
+    remaining list is provably small (``lumisort.broadcast.maxRows``), only
+    those files are read and decoded; otherwise every file is read and the
+    anti join filters the decoded rows before inference (Catalyst does not move
+    a Python UDF past a join, so the order written here is the order executed).
+    With ``retry_failed`` earlier failures (NULL features) are extracted again."""
+    done = None
     if existing is not None:
-        done = existing.where(F.col("features").isNotNull()) if retry_failed else existing
-        imgs = skip_existing(imgs, done.select("file_name"))
+        done = (existing.where(F.col("features").isNotNull()) if retry_failed else existing).select("file_name")
+    if done is None:
+        imgs = read_images(spark, image_root, glob)
+    else:
+        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                   .option("pathGlobFilter", glob).load(image_root).select("path")
+                   .withColumn("file_name", _feature_name(basename(F.col("path")))))
+        _todo, rows = small_table(skip_existing(listing, done).select("path"), order_col="path")
+        if rows is not None:
+            paths = [r["path"] for r in rows]
+            imgs = read_images(spark, paths) if paths else read_images(spark, image_root, glob).limit(0)
+        else:
+            imgs = read_images(spark, image_root, glob)
+            keyed = imgs.withColumn("_fname", _feature_name(F.col("file_name")))
+            imgs = keyed.join(done.select(F.col("file_name").alias("_fname")), "_fname", "left_anti").drop("_fname")
+    imgs = imgs.withColumn("file_name", _feature_name(F.col("file_name")))
     feats = featurize(imgs, model_fn, "image", batch_size, image_size=image_size)
     out = feats.select("file_name", "label_name", "split", "features", "error")
     if write:

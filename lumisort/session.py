@@ -37,6 +37,8 @@ def build_session(master: str | None = None, app_name: str = "lumisort",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # bound the Arrow batches handed to Python workers (decoded images are big)
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

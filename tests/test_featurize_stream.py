@@ -80,3 +80,18 @@ def test_stream_equals_batch(spark):
                                    "label", CLASS_NAMES)
     batch = {r.file_name: (r.success, r.prediction) for r in score_frame(batch_src, model, ("Ragdoll", "Persian")).collect()}
     assert streamed == batch and len(batch) == 500
+
+
+def test_skip_existing_large_todo_path(spark, tmp_dir):
+    # force the distributed branch (todo list above the literal-table bound)
+    img_root = os.path.join(tmp_dir, "img")
+    image_tree(img_root)
+    existing = spark.createDataFrame([("Persian_0_train.json", [1.0])], "file_name string, features array<double>")
+    spark.conf.set("lumisort.broadcast.maxRows", "2")
+    try:
+        out = extract_all(spark, img_root, None, projection_model(8 * 8 * 3, 2), existing=existing,
+                          image_size=8, glob="*.png", write=False)
+        names = sorted(r.file_name for r in out.collect())
+    finally:
+        spark.conf.unset("lumisort.broadcast.maxRows")
+    assert len(names) == 13 and "Persian_0_train.json" not in names
