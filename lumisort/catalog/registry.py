@@ -364,8 +364,8 @@ def q_grid_points(spark, sf_dir):
     # the pairs come from the grid's class list, validated against the data's classes
     present = _samples(spark, sf_dir).select("label_name").distinct()
     pairs = J.class_pairs(spark, GRID_CLASSES)
-    pairs = pairs.join(F.broadcast(present.withColumnRenamed("label_name", "class1")), "class1", "left_semi")
-    pairs = pairs.join(F.broadcast(present.withColumnRenamed("label_name", "class0")), "class0", "left_semi")
+    pairs = pairs.join(present.withColumnRenamed("label_name", "class1"), "class1", "left_semi")
+    pairs = pairs.join(present.withColumnRenamed("label_name", "class0"), "class0", "left_semi")
     g = J.grid_points(pairs, GRID_CUTOFFS)
     return g.select(F.col("pair_idx").cast("int"), "class1", "class0", F.col("cutoff_idx").cast("int"),
                     "cutoff", "train_test")

@@ -106,11 +106,28 @@ def sample_per_class(df: DataFrame, k: int, seed: int | str = 1, label_col: str
 
 def systematic_sample(df: DataFrame, k: int, partition_by: Sequence[str] = ("label_name", "split"),
                       order_by: Sequence[str] = ("file_name",), strategy: str = "auto") -> DataFrame:
-    """Every ``k``-th row (positions 1, k+1, 2k+1, ...) per group in ``order_by`` order."""
+    """Every ``k``-th row (positions 1, k+1, 2k+1, ...) per group in ``order_by`` order.
+
+    Positions are computed on the key columns only; when ``df`` carries more
+    (vectors, bytes) the chosen keys are semi-joined back -- broadcast when the
+    selection is provably small -- so wide rows are not ranked or checkpointed.
+    The order keys must be unique within a group (file names are)."""
     if k < 1:
         raise ValueError("k must be >= 1")
-    out = row_positions(df, list(partition_by), list(order_by), "_pos", strategy)
-    return out.where((F.col("_pos") - 1) % F.lit(int(k)) == 0).drop("_pos")
+    keys = [*partition_by, *[c for c in order_by if c not in partition_by]]
+    narrow = df.select(*keys)
+    chosen = (row_positions(narrow, list(partition_by), list(order_by), "_pos", strategy)
+              .where((F.col("_pos") - 1) % F.lit(int(k)) == 0).drop("_pos"))
+    if set(df.columns) == set(keys):
+        return chosen.select(*df.columns)
+    sel, rows = small_table(chosen, order_col=keys[0])
+    sel = sel.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(keys)])
+    sel = F.broadcast(sel) if rows is not None else sel
+    cond = None
+    for i, c in enumerate(keys):
+        e = df[c].eqNullSafe(sel[f"_s{i}"])
+        cond = e if cond is None else cond & e
+    return df.join(sel, cond, "left_semi")
 
 
 def rebalance_chain(df: DataFrame, cutoffs: Sequence[float], seed: int | str = 1, **kw) -> list[DataFrame]:

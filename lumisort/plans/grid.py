@@ -102,6 +102,7 @@ def score_grid(df: DataFrame, model, classes: Sequence[str], cutoffs: Sequence[f
     from lumisort.operators.joins import class_pairs
     from lumisort.operators.models import predict
     from lumisort.operators.problems import drop_null_features
+    from lumisort.operators.ranking import small_side
 
     spark = df.sparkSession
     classes = list(dict.fromkeys(classes))
@@ -115,8 +116,10 @@ def score_grid(df: DataFrame, model, classes: Sequence[str], cutoffs: Sequence[f
     rows = drop_null_features(rows)
     if mode.lower() in ("ovo", "no"):
         pairs = class_pairs(spark, classes).select("class1", "class0")
-        pos = rows.join(F.broadcast(pairs), rows["label_name"] == pairs["class1"]).withColumn("label", F.lit(1.0))
-        neg = rows.join(F.broadcast(pairs), rows["label_name"] == pairs["class0"]).withColumn("label", F.lit(0.0))
+        n_pairs = len(classes) * (len(classes) - 1) // 2
+        pairs = small_side(pairs, n_pairs)  # a parameter-sized table: its size is known
+        pos = rows.join(pairs, rows["label_name"] == pairs["class1"]).withColumn("label", F.lit(1.0))
+        neg = rows.join(pairs, rows["label_name"] == pairs["class0"]).withColumn("label", F.lit(0.0))
         prob = pos.unionByName(neg)
     else:
         # every row takes part in every one-vs-all problem: a generator over the
