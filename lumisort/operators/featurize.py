@@ -41,18 +41,13 @@ OUT_TYPE = T.StructType([
 def projection_model(in_dim: int, out_dim: int, weight: Callable[[int, int], float] | None = None) -> ModelFactory:
     """Factory of a fixed linear projection ``x @ W`` with ``W[i][j] = weight(i, j)``
     (default ``((7i + 13j) mod 17 - 8) / 8``)."""
-    def w(i, j):
-        return ((7 * i + 13 * j) % 17 - 8) / 8.0
-
-    fn = weight or w
-
     def make():
-        i = np.arange(in_dim)[:, None]
-        j = np.arange(out_dim)[None, :]
         if weight is None:
-            mat = (((7 * i + 13 * j) % 17) - 8) / 8.0
+            i = np.arange(in_dim)[:, None]
+            j = np.arange(out_dim)[None, :]
+            mat = ((7 * i + 13 * j) % 17 - 8) / 8.0
         else:
-            mat = np.array([[fn(a, b) for b in range(out_dim)] for a in range(in_dim)], dtype=np.float64)
+            mat = np.array([[weight(a, b) for b in range(out_dim)] for a in range(in_dim)])
         mat = mat.astype(np.float64)
 
         def run(batch: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumisort.operators.aggregates import accuracy
+
 from lumisort.operators.models import LinearModel, predict, train_logreg, train_svm
 from lumisort.operators.problems import resolve_mode, select_problem
 
@@ -58,4 +58,4 @@ def test_predictions(df: DataFrame, model: LinearModel, class1: str, class0: str
     return predict(model, prob.where(F.col(split_col) == "test"))
 
 
-__all__ = ["evaluate", "fit_problem", "test_predictions", "accuracy"]
+__all__ = ["evaluate", "fit_problem", "test_predictions"]

@@ -138,4 +138,4 @@ def grid_table(results: DataFrame, cutoffs: Sequence[float] = (0.3, 0.6, 0.9)) -
     return accuracy_pivot(results, cutoffs)
 
 
-__all__ = ["run_grid", "grid_table", "F"]
+__all__ = ["run_grid", "score_grid", "grid_table", "stage_by_class"]

@@ -4,7 +4,6 @@ import os
 import tempfile
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from lumisort.operators.featurize import featurize, image_to_array, projection_model, read_images
 from lumisort.operators.models import LinearModel

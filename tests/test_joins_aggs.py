@@ -1,6 +1,5 @@
 """Split resolution, skip-existing, pairs, counts, accuracy and pivot."""
 
-from pyspark.sql import functions as F
 
 from lumisort.operators import aggregates as A
 from lumisort.operators import joins as J

@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from lumisort.sinks import writers as K
 from lumisort.sources import files as SRC
