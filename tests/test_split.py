@@ -122,3 +122,19 @@ def test_cutoff_validation():
     assert S.resolve_cutoff(None) == 0.8
     with pytest.raises(ValueError):
         S.resolve_cutoff(1.5)
+
+
+def test_auto_switches_to_range_for_hot_classes(spark):
+    # one class holds most rows; with a small window limit "auto" must take the
+    # range path and give the same assignment as the window path
+    df = frame(spark, [300, 7, 2]).drop("split")
+    w = S.rebalance(S.split_positional(df, 0.6, strategy="window"), 0.3, strategy="window")
+    spark.conf.set("lumisort.window.maxGroupRows", "50")
+    spark.conf.set("lumisort.range.rowsPerPartition", "40")
+    try:
+        a = S.rebalance(S.split_positional(df, 0.6), 0.3)
+        got = sorted(map(tuple, a.select("file_name", "split").collect()))
+    finally:
+        spark.conf.unset("lumisort.window.maxGroupRows")
+        spark.conf.unset("lumisort.range.rowsPerPartition")
+    assert got == sorted(map(tuple, w.select("file_name", "split").collect()))
