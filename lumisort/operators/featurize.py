@@ -132,6 +132,39 @@ def image_to_array(height, width, n_channels, data, size: int = 224, means=BGR_M
     return img.reshape(-1)
 
 
+def bytes_to_array(data, size: int = 224, means=BGR_MEANS) -> np.ndarray | str:
+    """Encoded image bytes (JPEG, PNG ...) -> the same array as ``image_to_array``.
+    Needs Pillow in the Python workers; without it the row gets an error text."""
+    if data is None:
+        return "decode: NULL bytes"
+    try:
+        import io
+
+        from PIL import Image
+    except ImportError:
+        return "decode: no image decoder for bytes (install Pillow, or read files with the image source)"
+    img = Image.open(io.BytesIO(bytes(data))).convert("RGB")
+    arr = np.asarray(img, dtype=np.uint8)[:, :, ::-1]  # RGB -> BGR, as the image source gives
+    h, w, _ = arr.shape
+    return image_to_array(h, w, 3, arr.tobytes(), size, means)
+
+
+def _bytes_udf(factory: ModelFactory, batch_size: int, size: int):
+    @F.pandas_udf(OUT_TYPE)
+    def run(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = _model(factory)
+        for s in it:
+            rows = []
+            for d in s:
+                try:
+                    rows.append(bytes_to_array(d, size))
+                except Exception as e:  # noqa: BLE001
+                    rows.append(f"decode: {type(e).__name__}: {e}"[:500])
+            feats, errs = _run_model(model, rows, batch_size)
+            yield pd.DataFrame({"features": feats, "error": errs})
+    return run
+
+
 def _image_udf(factory: ModelFactory, batch_size: int, size: int):
     @F.pandas_udf(OUT_TYPE)
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -152,14 +185,17 @@ def featurize(df: DataFrame, model_fn: ModelFactory, input_col: str, batch_size:
               output_col: str = "features", error_col: str = "error", image_size: int = 224) -> DataFrame:
     """Add ``output_col`` (array<double>, NULL on failure) and ``error_col``.
 
-    ``input_col`` is either a numeric array column (vectors) or the ``image``
-    struct of Spark's image source.  A batch of decoded images is held in a
+    ``input_col`` is a numeric array column (vectors), the ``image`` struct of
+    Spark's image source, or encoded image bytes (archive members, binary files;
+    decoded with Pillow when the workers have it).  A batch of decoded images is held in a
     Python worker's memory: bound it with ``spark.sql.execution.arrow.maxBytesPerBatch``
     (``session.build_session`` sets 64 MB) or ``...maxRecordsPerBatch``."""
     dtype = df.schema[input_col].dataType
     if isinstance(dtype, T.StructType):
         udf = _image_udf(model_fn, batch_size, image_size)
         res = udf(F.struct(*[F.col(f"{input_col}.{f}") for f in ("height", "width", "nChannels", "data")]))
+    elif isinstance(dtype, T.BinaryType):
+        res = _bytes_udf(model_fn, batch_size, image_size)(F.col(input_col))
     else:
         res = _vector_udf(model_fn, batch_size)(F.col(input_col))
     out = df.withColumn("_fz", res)

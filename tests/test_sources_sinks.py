@@ -69,3 +69,27 @@ def test_predictions_and_summary(spark, tmp_dir):
     row = spark.createDataFrame([("A", "B", 6, 4, 75.0)], "class1 string, class0 string, n_train long, n_test long, accuracy double")
     s = K.run_summary(row, 0.6).first()
     assert s.train_pct == 60.0 and s.accuracy_text == "75.00"
+
+
+def test_split_archives_layout(spark, tmp_dir):
+    from lumisort.operators.aggregates import split_counts
+    from lumisort.plans.raw_split import split_archives
+    names = [f"Persian_{i}.jpg" for i in range(5)] + [f"yorkshire_terrier_{i}.jpg" for i in range(7)]
+    archive(os.path.join(tmp_dir, "a.tar.gz"), names[:6])
+    archive(os.path.join(tmp_dir, "b.tar.gz"), names[6:])
+    out = os.path.join(tmp_dir, "layout")
+    df = split_archives(spark, tmp_dir, 0.6, out_path=out)
+    counts = {r.label_name: (r.n_train, r.n_test) for r in split_counts(df).collect()}
+    assert counts == {"Persian": (3, 2), "yorkshire_terrier": (5, 2)}
+    back = spark.read.parquet(out)
+    assert back.count() == 12 and set(back.columns) >= {"split", "label_name", "file_name", "content"}
+    again = split_archives(spark, tmp_dir, 0.6, rebalance_to=0.9)
+    counts = {r.label_name: (r.n_train, r.n_test) for r in split_counts(again).collect()}
+    assert counts == {"Persian": (4, 1), "yorkshire_terrier": (6, 1)}
+
+
+def test_featurize_bytes_without_decoder(spark):
+    from lumisort.operators.featurize import featurize, projection_model
+    df = spark.createDataFrame([(bytearray(b"\x89PNG junk"),)], "content binary")
+    r = featurize(df, projection_model(12, 2), "content", image_size=2).first()
+    assert r.features is None and r.error.startswith("decode")
