@@ -84,7 +84,42 @@ def small_table(df: DataFrame, row_bound: int | None = None,
         rows = None
     if rows is None:
         return durable(df), None
-    return df.sparkSession.createDataFrame(rows, df.schema), rows
+    return literal_table(df.sparkSession, rows, df.schema), rows
+
+
+LITERAL_VALUES_MAX_ROWS = 2000
+
+
+def _sql_literal(v, t) -> str:
+    from pyspark.sql import types as T
+    if v is None:
+        return f"CAST(NULL AS {t.simpleString()})"
+    if isinstance(t, T.StringType):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(t, T.BooleanType):
+        return "true" if v else "false"
+    if isinstance(t, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        return f"CAST({int(v)} AS {t.simpleString()})"
+    if isinstance(t, (T.DoubleType, T.FloatType)):
+        return f"CAST('{float(v)!r}' AS {t.simpleString()})"
+    raise TypeError(t)
+
+
+def literal_table(spark, rows: list, schema) -> DataFrame:
+    """Rows held by the driver as a table.  Up to ``LITERAL_VALUES_MAX_ROWS``
+    rows of simple types it is an inline ``VALUES`` table (a local relation:
+    broadcasting it runs no job); otherwise a parallelised local collection."""
+    from pyspark.sql import types as T
+    simple = (T.StringType, T.BooleanType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType,
+              T.FloatType)
+    fields = schema.fields
+    if not rows or len(rows) > LITERAL_VALUES_MAX_ROWS or not all(isinstance(f.dataType, simple) for f in fields):
+        return spark.createDataFrame(rows, schema)
+    values = ", ".join("(" + ", ".join(_sql_literal(r[i], f.dataType) for i, f in enumerate(fields)) + ")"
+                       for r in rows)
+    cols = ", ".join(f"c{i}" for i in range(len(fields)))
+    t = spark.sql(f"SELECT * FROM VALUES {values} AS t({cols})")
+    return t.select(*[F.col(f"c{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
 
 
 def small_side(df: DataFrame, row_bound: int) -> DataFrame:

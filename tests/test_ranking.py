@@ -46,3 +46,12 @@ def test_range_plan_reuses_the_exchange(spark):
     b.collect()
     plan = b._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan or plan.count("rangepartitioning") == 1
+
+
+def test_literal_table_round_trip(spark):
+    from lumisort.operators.ranking import literal_table
+    schema = "s string, n long, d double, b boolean"
+    rows = [("it's a \\ back\\slash", 1, 0.1, True), ("ünï\ncode 'q'", None, None, None), (None, -5, 1e-300, False)]
+    t = literal_table(spark, rows, spark.createDataFrame([], schema).schema)
+    assert [tuple(r) for r in t.collect()] == rows
+    assert "LocalTableScan" in t._jdf.queryExecution().executedPlan().toString()
