@@ -71,15 +71,45 @@ def train_logreg(df: DataFrame, iterations: int = 100, reg: float = 0.01, featur
     return LinearModel(m.coefficients.toArray().tolist(), float(m.intercept), "logreg", 0.0, m)
 
 
-def predict(model: LinearModel, df: DataFrame, features_col: str = "features") -> DataFrame:
+ENGINES = ("auto", "ml", "sql")
+
+
+def predict(model: LinearModel, df: DataFrame, features_col: str = "features", engine: str = "auto") -> DataFrame:
     """Add ``margin`` and ``prediction`` (1.0 when the margin is above 0); for
     logistic regression also ``probability`` of class 1.  The label stays on
-    the row, so truth and prediction are aligned by row, never by position."""
-    m = model.margin(features_col)
-    out = df.withColumn("margin", m).withColumn("prediction", svm_prediction(F.col("margin"), model.threshold))
-    if model.kind == "logreg":
-        out = out.withColumn("probability", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin"))))
-    return out
+    the row, so truth and prediction are aligned by row, never by position.
+
+    ``engine``: ``ml`` runs the fitted Spark ML model's own transform (a JVM dot
+    product, several times faster than SQL lambdas on wide vectors); ``sql``
+    computes ``w . x + b`` with SQL array functions (works for any weights,
+    e.g. an MLlib SGD model or fixed weights); ``auto`` takes ``ml`` when the
+    model has one.  NULL vectors give NULL margin and prediction either way."""
+    if engine not in ENGINES:
+        raise ValueError(f"engine must be one of {ENGINES}")
+    has_ml = isinstance(model.ml_model, (LinearSVCModel, LogisticRegressionModel))
+    if engine == "ml" and not has_ml:
+        raise ValueError("this model has no Spark ML transform; use engine='sql'")
+    if engine == "sql" or (engine == "auto" and not has_ml):
+        m = model.margin(features_col)
+        out = df.withColumn("margin", m).withColumn("prediction", svm_prediction(F.col("margin"), model.threshold))
+        if model.kind == "logreg":
+            out = out.withColumn("probability", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin"))))
+        return out
+    dim = len(model.weights)
+    feats = F.col(features_col).cast("array<double>")
+    x = df.withColumn("_vec", to_ml_vector(F.coalesce(feats, F.array_repeat(F.lit(0.0), dim))))
+    mm = model.ml_model.copy()
+    mm.setFeaturesCol("_vec").setPredictionCol("_pred").setRawPredictionCol("_raw")
+    if isinstance(mm, LogisticRegressionModel):
+        mm.setProbabilityCol("_prob")
+    out = mm.transform(x)
+    missing = F.col(features_col).isNull()
+    null = F.lit(None).cast("double")
+    out = (out.withColumn("margin", F.when(missing, null).otherwise(vector_to_array("_raw")[1]))
+           .withColumn("prediction", F.when(missing, null).otherwise(F.col("_pred"))))
+    if isinstance(mm, LogisticRegressionModel):
+        out = out.withColumn("probability", F.when(missing, null).otherwise(vector_to_array("_prob")[1]))
+    return out.drop("_vec", "_raw", "_pred", "_prob")
 
 
 def linear_score(df: DataFrame, weights, intercept: float = 0.0, features_col: str = "features",
@@ -90,16 +120,8 @@ def linear_score(df: DataFrame, weights, intercept: float = 0.0, features_col: s
 
 
 def predict_ml(model: LinearModel, df: DataFrame, features_col: str = "features") -> DataFrame:
-    """Prediction through the Spark ML model itself (``transform``)."""
-    if model.ml_model is None or not hasattr(model.ml_model, "transform"):
-        return predict(model, df, features_col)
-    d = df.withColumn("_vec", to_ml_vector(features_col))
-    m = model.ml_model.copy()
-    m.setFeaturesCol("_vec")
-    out = m.transform(d).drop("_vec")
-    if "probability" in out.columns:
-        out = out.withColumn("probability", vector_to_array("probability"))
-    return out.drop("rawPrediction")
+    """Prediction through the Spark ML model's own transform."""
+    return predict(model, df, features_col, engine="ml")
 
 
 def save_model(model: LinearModel, path: str, if_absent: bool = True) -> bool:

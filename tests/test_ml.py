@@ -52,13 +52,19 @@ def test_save_load_same_predictions(spark, tmp_dir):
         assert a == b
 
 
-def test_prediction_matches_spark_ml(spark):
-    from lumisort.operators.models import predict_ml
+def test_prediction_engines_agree(spark):
     p = problem(spark)
-    m = train_svm(p.where(F.col("split") == "train"))
-    a = {r.file_name: r.prediction for r in predict(m, p).collect()}
-    b = {r.file_name: r.prediction for r in predict_ml(m, p).collect()}
-    assert a == b
+    tr = p.where(F.col("split") == "train")
+    for m in (train_svm(tr), train_logreg(tr)):
+        a = {r.file_name: (r.prediction, round(r.margin, 9)) for r in predict(m, p, engine="sql").collect()}
+        b = {r.file_name: (r.prediction, round(r.margin, 9)) for r in predict(m, p, engine="ml").collect()}
+        assert a == b
+    # NULL vectors: NULL margin and prediction on both engines
+    s = S.split_positional(embeddings_samples(spark, SF_SMALL, with_split=False), 0.6)
+    m = train_svm(tr)
+    for eng in ("sql", "ml"):
+        nulls = predict(m, s.where(F.col("features").isNull()), engine=eng).collect()
+        assert nulls and all(r.prediction is None and r.margin is None for r in nulls)
 
 
 def test_grid_both_stagings(spark):
