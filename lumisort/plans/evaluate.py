@@ -33,20 +33,23 @@ def evaluate(df: DataFrame, class1: str, class0: str | None = None, mode: str =
     """One row: class1, class0, mode, model, n_train, n_test, tp, tn, accuracy (percent)."""
     m_mode = resolve_mode(mode)
     m, prob = fit_problem(df, class1, class0, m_mode, model, match, solver, iterations, reg, split_col)
-    scored = predict(m, prob)
-    y, p = F.col("label"), F.col("prediction")
-    is_test = F.col(split_col) == "test"
-    row = scored.agg(
-        F.count_if(F.col(split_col) == "train").alias("n_train"),
-        F.count_if(is_test).alias("n_test"),
-        F.sum(F.when(is_test, y * p).otherwise(0.0)).alias("tp"),
-        F.sum(F.when(is_test, (1 - y) * (1 - p)).otherwise(0.0)).alias("tn"),
+    # only test rows are scored; train rows are just counted, in the same job
+    scored = predict(m, prob.where(F.col(split_col) == "test")).select(
+        F.lit(0).alias("_train"), F.col("label").cast("double").alias("y"), F.col("prediction").alias("p"))
+    trained = prob.where(F.col(split_col) == "train").select(
+        F.lit(1).alias("_train"), F.lit(None).cast("double").alias("y"), F.lit(None).cast("double").alias("p"))
+    y, p = F.col("y"), F.col("p")
+    row = scored.unionByName(trained).agg(
+        F.sum("_train").cast("long").alias("n_train"),
+        F.count_if(F.col("_train") == 0).alias("n_test"),
+        F.coalesce(F.sum(y * p), F.lit(0.0)).alias("tp"),
+        F.coalesce(F.sum((1 - y) * (1 - p)), F.lit(0.0)).alias("tn"),
     )
     row = row.select(
         F.lit(class1).alias("class1"),
         F.lit(class0 if m_mode == "ovo" else "all").alias("class0"),
         F.lit(m_mode).alias("mode"), F.lit(model).alias("model"),
-        "n_train", "n_test", "tp", "tn",
+        F.coalesce(F.col("n_train"), F.lit(0)).alias("n_train"), "n_test", "tp", "tn",
         (F.lit(100.0) * (F.col("tp") + F.col("tn")) / F.nullif(F.col("n_test"), F.lit(0))).alias("accuracy"))
     return row, m
 
