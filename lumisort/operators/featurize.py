@@ -91,19 +91,41 @@ def _run_model(model, rows: list, batch_size: int) -> tuple[list, list]:
     return feats, errs
 
 
+def _vector_rows(s: pd.Series) -> list:
+    """Arrow batch of vectors -> per-row arrays or error texts."""
+    rows = []
+    for v in s:
+        if v is None:
+            rows.append("input: NULL vector")
+        else:
+            a = np.asarray(v, dtype=np.float64)
+            rows.append(a if a.ndim == 1 and a.size and not np.isnan(a).any() else "input: bad vector")
+    return rows
+
+
 def _vector_udf(factory: ModelFactory, batch_size: int):
     @F.pandas_udf(OUT_TYPE)
     def run(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = _model(factory)
         for s in it:
-            rows = []
-            for v in s:
-                if v is None:
-                    rows.append("input: NULL vector")
-                else:
-                    a = np.asarray(v, dtype=np.float64)
-                    rows.append(a if a.ndim == 1 and a.size and not np.isnan(a).any() else "input: bad vector")
-            feats, errs = _run_model(model, rows, batch_size)
+            mat = None
+            if len(s) and not s.isna().any():
+                try:  # the common case: one matrix for the whole batch, no per-row work
+                    mat = np.stack(s.to_numpy()).astype(np.float64)
+                except ValueError:
+                    mat = None
+            if mat is not None and mat.ndim == 2 and mat.shape[1] and not np.isnan(mat).any():
+                feats, errs = [], []
+                for start in range(0, len(mat), max(1, batch_size)):
+                    chunk = mat[start:start + batch_size]
+                    try:
+                        feats.extend(np.asarray(model(chunk), dtype=np.float64).tolist())
+                        errs.extend([None] * len(chunk))
+                    except Exception as e:  # noqa: BLE001 - a failed batch becomes NULL features
+                        feats.extend([None] * len(chunk))
+                        errs.extend([f"model: {type(e).__name__}: {e}"[:500]] * len(chunk))
+            else:
+                feats, errs = _run_model(model, _vector_rows(s), batch_size)
             yield pd.DataFrame({"features": feats, "error": errs})
     return run
 
