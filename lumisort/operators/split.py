@@ -76,12 +76,19 @@ def split_positional(df: DataFrame, cutoff: float | None = None, label_col: str
 
 
 def rebalance(df: DataFrame, cutoff: float | None = None, seed: int | str = 1, label_col: str = "label_name",
-              name_col: str = "file_name", split_col: str = "split", strategy: str = "auto") -> DataFrame:
+              name_col: str = "file_name", split_col: str = "split", strategy: str = "auto",
+              skip_existing_at_destination: bool = False) -> DataFrame:
     """Move the fewest rows so each class has ``floor(cutoff * N)`` train rows.
 
     Too few train rows: the first ``target - n_train`` test rows in sampling-key
     order become train; too many: the first ``n_train - target`` train rows become
     test.  Other rows keep their split, so applying it twice equals applying it once.
+
+    ``skip_existing_at_destination``: a chosen row whose name already exists in
+    the other split of its class stays where it is (the reference's move skips
+    a file that exists at the destination, so fewer rows move).  Only tables
+    holding one name in both splits are affected; the names in both are found
+    on the narrow key columns.
     """
     c = resolve_cutoff(cutoff)
     d, _, by_class_split = _with_class_counts(df, label_col, split_col)
@@ -91,6 +98,16 @@ def rebalance(df: DataFrame, cutoff: float | None = None, seed: int | str = 1, l
          .otherwise(F.lit(0)))
     d = d.withColumn("_skey", sampling_key(name_col, seed))
     out = flag_first_k(d, [label_col, split_col], ["_skey", name_col], k, "_move", strategy, by_class_split)
+    if skip_existing_at_destination:
+        both = (df.select(label_col, name_col, split_col).groupBy(label_col, name_col)
+                .agg(F.countDistinct(split_col).alias("_ns")).where(F.col("_ns") > 1)
+                .select(F.col(label_col).alias("_dl"), F.col(name_col).alias("_dn")))
+        both, rows = small_table(both, order_col="_dn")
+        both = (F.broadcast(both) if rows is not None else both).withColumn("_dup", F.lit(True))
+        cond = out[label_col].eqNullSafe(both["_dl"]) & (out[name_col] == both["_dn"])
+        out = (out.join(both, cond, "left")
+               .withColumn("_move", F.col("_move") & F.col("_dup").isNull())
+               .drop("_dl", "_dn", "_dup"))
     flipped = F.when(F.col(split_col) == TRAIN, F.lit(TEST)).otherwise(F.lit(TRAIN))
     return (out.withColumn(split_col, F.when(F.col("_move"), flipped).otherwise(F.col(split_col)))
             .drop("_move", "_skey", "_n", "_ntrain"))

@@ -138,3 +138,15 @@ def test_auto_switches_to_range_for_hot_classes(spark):
         spark.conf.unset("lumisort.window.maxGroupRows")
         spark.conf.unset("lumisort.range.rowsPerPartition")
     assert got == sorted(map(tuple, w.select("file_name", "split").collect()))
+
+
+def test_rebalance_skips_names_at_destination(spark):
+    # class c0: 6 train names + 2 test names, "c0_0001" present in both splits
+    rows = [(f"c0_{i:04d}.json", "c0", "train") for i in range(6)] + \
+           [("c0_0001.json", "c0", "test"), ("c0_0100.json", "c0", "test")]
+    df = spark.createDataFrame(rows, "file_name string, label_name string, split string")
+    # cutoff 0: every train row is chosen to move
+    assert counts(S.rebalance(df, 0.0))[("c0", "train")] == 0
+    skip = S.rebalance(df, 0.0, skip_existing_at_destination=True)
+    assert counts(skip)[("c0", "train")] == 1
+    assert [r.file_name for r in skip.where("split = 'train'").collect()] == ["c0_0001.json"]
