@@ -146,7 +146,7 @@ def test_rebalance_skips_names_at_destination(spark):
            [("c0_0001.json", "c0", "test"), ("c0_0100.json", "c0", "test")]
     df = spark.createDataFrame(rows, "file_name string, label_name string, split string")
     # cutoff 0: every train row is chosen to move
-    assert counts(S.rebalance(df, 0.0))[("c0", "train")] == 0
+    assert counts(S.rebalance(df, 0.0)).get(("c0", "train"), 0) == 0
     skip = S.rebalance(df, 0.0, skip_existing_at_destination=True)
     assert counts(skip)[("c0", "train")] == 1
     assert [r.file_name for r in skip.where("split = 'train'").collect()] == ["c0_0001.json"]
