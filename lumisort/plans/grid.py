@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumisort.operators.aggregates import accuracy_pivot
-from lumisort.operators.split import rebalance
+from lumisort.operators.split import rebalance, systematic_sample
 from lumisort.plans.evaluate import evaluate
 
 CONF_GRID_MATERIALIZE_ROWS = "lumisort.grid.materializeRows"
@@ -36,8 +36,11 @@ def _ratio_text(c: float) -> str:
 def run_grid(df: DataFrame, classes: Sequence[str], cutoffs: Sequence[float] = (0.3, 0.6, 0.9),
              mode: str = "ovo", model: str = "svm", parallelism: int = 8, seed: int | str = 1,
              solver: str = "owlqn", iterations: int = 100, reg: float | None = None,
-             match: str = "exact", materialize: bool | None = None) -> DataFrame:
-    """Result rows: class1, class0, cutoff, train_test, mode, model, n_train, n_test, tp, tn, accuracy."""
+             match: str = "exact", materialize: bool | None = None, sample_every: int = 1) -> DataFrame:
+    """Result rows: class1, class0, cutoff, train_test, mode, model, n_train, n_test, tp, tn, accuracy.
+
+    ``sample_every=k`` fits and scores on every k-th file per class and split
+    (the notebook's grid uses every 2nd); the rebalance itself always sees all rows."""
     spark = df.sparkSession
     classes = list(dict.fromkeys(classes))
     if mode.lower() in ("ovo", "no"):
@@ -50,7 +53,7 @@ def run_grid(df: DataFrame, classes: Sequence[str], cutoffs: Sequence[float] = (
         states, cur = [], base
         for c in cutoffs:
             cur = rebalance(cur, c, seed)
-            states.append((float(c), cur))
+            states.append((float(c), systematic_sample(cur, sample_every) if sample_every > 1 else cur))
         jobs = [(c, st, p) for c, st in states for p in problems]
 
         # ... then every fit of the grid from one pool: each fit is a chain of

@@ -77,3 +77,12 @@ def test_grid_both_stagings(spark):
     assert ka == kb and len(ka) == 6
     t = grid_table(a, [0.3, 0.6])
     assert t.columns == ["class1", "class0", "0.3/0.7", "0.6/0.4"] and t.count() == 3
+
+
+def test_grid_every_second_file(spark):
+    from lumisort.plans.grid import run_grid
+    s = S.split_positional(embeddings_samples(spark, SF_SMALL, with_split=False), 0.8)
+    full = run_grid(s, ["Persian", "Ragdoll"], [0.6], iterations=10, materialize=False).first()
+    half = run_grid(s, ["Persian", "Ragdoll"], [0.6], iterations=10, materialize=False, sample_every=2).first()
+    assert half.n_train + half.n_test < full.n_train + full.n_test
+    assert abs(2 * (half.n_train + half.n_test) - (full.n_train + full.n_test)) <= 6
