@@ -31,10 +31,31 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
         raise ValueError("fmt must be 'parquet' or 'json'")
 
 
+def dedupe_names(df: DataFrame, label_col: str = "label_name") -> DataFrame:
+    """One row per (split, file_name): a name found in several classes of a
+    split keeps the copy of the smallest class name.  The duplicated names are
+    found on the narrow key columns; when they are provably few they are
+    broadcast and the wide rows are filtered in place, otherwise joined by name."""
+    from lumisort.operators.ranking import small_table
+    dups = (df.groupBy("split", "file_name").agg(F.count(F.lit(1)).alias("_c"), F.min(label_col).alias("_keep"))
+            .where(F.col("_c") > 1).select(F.col("split").alias("_ds"), F.col("file_name").alias("_dn"), "_keep"))
+    dups, rows = small_table(dups, order_col="_dn")
+    if rows is not None and not rows:
+        return df
+    dups = F.broadcast(dups) if rows is not None else dups
+    cond = (df["split"].eqNullSafe(dups["_ds"])) & (df["file_name"] == dups["_dn"])
+    joined = df.join(dups, cond, "left")
+    # unique names pass untouched; only the duplicated ones are deduplicated
+    unique = joined.where(F.col("_dn").isNull())
+    chosen = (joined.where(F.col("_dn").isNotNull() & (F.col(label_col) == F.col("_keep")))
+              .dropDuplicates(["split", "file_name"]))
+    return unique.unionByName(chosen).drop("_ds", "_dn", "_keep")
+
+
 def flatten_for_ova(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> DataFrame:
     """One flat folder per split, no class level.  A name that occurs in two
     classes of one split is kept once (the reference's copy overwrote it)."""
-    flat = df.dropDuplicates(["split", "file_name"])
+    flat = dedupe_names(df)
     w = flat.write.mode(mode).partitionBy("split")
     (w.parquet if fmt == "parquet" else w.json)(path)
     return flat

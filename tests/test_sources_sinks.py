@@ -93,3 +93,15 @@ def test_featurize_bytes_without_decoder(spark):
     df = spark.createDataFrame([(bytearray(b"\x89PNG junk"),)], "content binary")
     r = featurize(df, projection_model(12, 2), "content", image_size=2).first()
     assert r.features is None and r.error.startswith("decode")
+
+
+def test_dedupe_names_keeps_one_copy(spark):
+    from lumisort.sinks.writers import dedupe_names
+    df = spark.createDataFrame([("a.json", "y", "train", [1.0]), ("a.json", "x", "train", [2.0]),
+                                ("a.json", "x", "train", [2.0]), ("a.json", "x", "test", [3.0]),
+                                ("b.json", "x", "train", [4.0])],
+                               "file_name string, label_name string, split string, features array<double>")
+    got = sorted((r.split, r.file_name, r.label_name) for r in dedupe_names(df).collect())
+    assert got == [("test", "a.json", "x"), ("train", "a.json", "x"), ("train", "b.json", "x")]
+    clean = df.where("file_name = 'b.json'")
+    assert dedupe_names(clean).count() == 1
