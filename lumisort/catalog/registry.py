@@ -185,7 +185,9 @@ def q_union_pos_neg(spark, sf_dir):
 @register("flatten_names", samples_ctes() + """
 SELECT DISTINCT split, file_name FROM samples""")
 def q_flatten_names(spark, sf_dir):
-    return _samples(spark, sf_dir).select("split", "file_name").dropDuplicates(["split", "file_name"])
+    """The flat one-vs-all listing: one row per (split, name), class level dropped."""
+    from lumisort.sinks.writers import dedupe_names
+    return dedupe_names(_samples(spark, sf_dir)).select("split", "file_name")
 
 
 # --------------------------------------------------------------- vectors
