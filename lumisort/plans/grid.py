@@ -88,11 +88,13 @@ def stage_by_class(df: DataFrame, materialize: bool | None = None, label_col: st
     if not materialize:
         d = df.persist(StorageLevel.MEMORY_AND_DISK)
         return d, d.unpersist
-    from lumisort.session import scratch_path
-    path = scratch_path(df.sparkSession, "grid-vectors")
+    from lumisort.session import remove_scratch, scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, "grid-vectors")
     df.write.partitionBy(label_col).parquet(path)
-    back = df.sparkSession.read.parquet(path)
-    return back.select(*df.columns), (lambda: None)
+    back = spark.read.parquet(path)
+    # the staged copy is the grid's own scratch table: removed once the fits are done
+    return back.select(*df.columns), (lambda: remove_scratch(spark, path))
 
 
 def score_grid(df: DataFrame, model, classes: Sequence[str], cutoffs: Sequence[float] = (0.3, 0.6, 0.9),

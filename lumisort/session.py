@@ -85,6 +85,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def remove_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete a table this library wrote under the checkpoint folder (refuses
+    anything outside it)."""
+    root = checkpoint_root(spark).rstrip("/")
+    if not path.startswith(root + "/"):
+        raise ValueError(f"{path} is not under the checkpoint folder {root}")
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True))
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (written to the shared folder): cuts lineage and
     survives executor loss.  Meant for small/narrow tables.  The table is

@@ -70,7 +70,11 @@ def test_prediction_engines_agree(spark):
 def test_grid_both_stagings(spark):
     from lumisort.plans.grid import grid_table, run_grid
     s = S.split_positional(embeddings_samples(spark, SF_SMALL, with_split=False), 0.8)
+    import glob
+    from lumisort.session import checkpoint_root
     a = run_grid(s, ["Persian", "Ragdoll", "Siamese"], [0.3, 0.6], parallelism=3, materialize=True, iterations=20)
+    root = checkpoint_root(spark).replace("file:", "")
+    assert not glob.glob(os.path.join(root, "grid-vectors-*"))  # the staged copy is removed
     b = run_grid(s, ["Persian", "Ragdoll", "Siamese"], [0.3, 0.6], parallelism=3, materialize=False, iterations=20)
     ka = sorted((r.class1, r.class0, r.train_test, r.n_train, r.n_test) for r in a.collect())
     kb = sorted((r.class1, r.class0, r.train_test, r.n_train, r.n_test) for r in b.collect())
