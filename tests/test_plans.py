@@ -33,3 +33,13 @@ def test_train_wins_filters_wide_rows_in_place(spark):
     p = _plan(_queries()["train_wins"](spark, SF_CHECK))
     assert "SortMergeJoin" not in p and "Exchange hashpartitioning(file_name" not in p
     assert "LeftAnti" in p
+
+
+def test_no_registered_query_pairs_rows(spark):
+    import sys
+    sys.path.insert(0, ROOT)
+    import __spark_entry__ as E
+    qs = E.queries()
+    for name in sorted(E.oracle_sql()):
+        p = _plan(qs[name](spark, SF_CHECK))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
