@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lumisort.llm import quality
+from lumisort.llm import quality, urls
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -19,7 +19,17 @@ def op10_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
+#: Fixed values of the contract of op8: (action, rule).
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def op8_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or link-graph verdict of every page."""
+    return urls.url_verdicts(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_link_graph": op8_link_graph,
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
 }
 
