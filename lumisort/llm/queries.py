@@ -6,14 +6,30 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lumisort.llm import quality, urls
+from lumisort.llm import bpe, quality, urls
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the bytes they decode to, as digests."""
+    return bpe_digests(read_table(spark, sf_dir, "documents"))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    path = public_tokenizers.path(BYTE_RANKS)
+    ranks = bpe.read_ranks(path)
+    ids = F.col("ids")
+    return bpe.bpe_encode(docs, path, public_tokenizers.PATTERN).select(
+        "doc_id", F.size(ids).cast("bigint").alias("n_tokens"),
+        F.sha2(bpe.little_endian(ids, len(ranks)), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode_ids(ids, ranks), 256).alias("decoded_sha256"))
+
+
 def op10_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, fertility of the tokeniser and the verdict, per document."""
     return quality.quality_rules(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
@@ -30,6 +46,7 @@ def op8_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_link_graph": op8_link_graph,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
 }
 
