@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.llm import bpe, quality, urls
+from lumisort.llm import bpe, quality, templates, urls
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -35,6 +35,14 @@ def op10_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
+def op7_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document and how many of them recur; what is left, as text digest."""
+    out = templates.drop_recurring_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_dd_lines").cast("bigint").alias("n_lines"),
+                      F.col("_dd_dropped").cast("bigint").alias("n_dropped"),
+                      F.length("text").cast("bigint").alias("n_chars_kept"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 #: Fixed values of the contract of op8: (action, rule).
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
@@ -45,6 +53,7 @@ def op8_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_template_lines": op7_template_lines,
     "op8_link_graph": op8_link_graph,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
