@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.llm import bpe, quality, templates, urls
+from lumisort.llm import bpe, langid, quality, templates, urls
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -35,6 +35,15 @@ def op10_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
+def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(langid.fold(F.col("doc_id")) == 2, F.lit(False))
+    model = langid.fit(docs.where(langid.fold(F.col("doc_id")) != 2))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected",
+                                              "entropy")
+
+
 def op7_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document and how many of them recur; what is left, as text digest."""
     out = templates.drop_recurring_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -53,6 +62,7 @@ def op8_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kneser_ney": op1_kneser_ney,
     "op7_template_lines": op7_template_lines,
     "op8_link_graph": op8_link_graph,
     "op9_byte_bpe": op9_byte_bpe,
