@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.llm import bpe, langid, quality, templates, urls
+from lumisort.llm import bpe, langid, minhash, quality, templates, urls
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -44,6 +44,11 @@ def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "entropy")
 
 
+def op6_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op7_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document and how many of them recur; what is left, as text digest."""
     out = templates.drop_recurring_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -63,6 +68,7 @@ def op8_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
+    "op6_bbit_minhash": op6_bbit_minhash,
     "op7_template_lines": op7_template_lines,
     "op8_link_graph": op8_link_graph,
     "op9_byte_bpe": op9_byte_bpe,
