@@ -26,7 +26,7 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     ids = F.col("ids")
     return bpe.bpe_encode(docs, path, public_tokenizers.PATTERN).select(
         "doc_id", F.size(ids).cast("bigint").alias("n_tokens"),
-        F.sha2(bpe.little_endian(ids, len(ranks)), 256).alias("ids_sha256"),
+        F.sha2("ids_le", 256).alias("ids_sha256"),
         F.sha2(bpe.decode_ids(ids, ranks), 256).alias("decoded_sha256"))
 
 
