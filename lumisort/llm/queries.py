@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.llm import bpe, langid, minhash, quality, templates, urls
+from lumisort.llm import bpe, langid, minhash, quality, templates, urls, vectors
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -44,6 +44,11 @@ def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "entropy")
 
 
+def op5_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return vectors.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -68,6 +73,7 @@ def op8_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
+    "op5_pca_tiles": op5_pca_tiles,
     "op6_bbit_minhash": op6_bbit_minhash,
     "op7_template_lines": op7_template_lines,
     "op8_link_graph": op8_link_graph,
