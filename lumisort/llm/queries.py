@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.llm import bpe, langid, minhash, quality, templates, urls, vectors
+from lumisort.llm import bpe, langid, minhash, mixing, quality, templates, urls, vectors
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -44,6 +44,29 @@ def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "entropy")
 
 
+#: Parts of all tokens that the domains of the labels table should have.
+MIX_TARGETS = {"clean": 0.92, "low": 0.06, "toxic": 0.02}
+MIX_STRETCH = 1.05
+
+
+def label_domains(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labels table."""
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, F.lit("toxic")).when(F.col("quality") == 0, F.lit("low"))
+                         .when(F.col("quality") == 1, F.lit("clean")).alias("domain"))
+
+
+def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain membership and rate of every document."""
+    rates, report = mixing.mixing_rates(read_table(spark, sf_dir, "documents"),
+                                        label_domains(read_table(spark, sf_dir, "labels")), MIX_TARGETS,
+                                        stretch=MIX_STRETCH)
+    names = F.array(*[F.lit(x) for x in report.get("domains", [])]).cast("array<string>")
+    likely = F.array_max("posterior")
+    return rates.select("doc_id", F.col("tokens").alias("n_tokens"),
+                        F.get(names, (F.array_position("posterior", likely) - 1).cast("int")).alias("domain"),
+                        likely.alias("membership"), "rate")
+
+
 def op5_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors."""
     return vectors.near_vectors(read_table(spark, sf_dir, "embeddings"))
@@ -73,6 +96,7 @@ def op8_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
+    "op3_soft_mixing": op3_soft_mixing,
     "op5_pca_tiles": op5_pca_tiles,
     "op6_bbit_minhash": op6_bbit_minhash,
     "op7_template_lines": op7_template_lines,
