@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumisort._compat import ship_by_value
@@ -56,6 +56,12 @@ def file_bytes(path: str) -> bytes:
         return f.read()
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once (a fold over nothing; unlike
+    ``transform`` it doesn't copy the value)."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda v, _: v, body)
+
+
 def ascii_lower(c):
     """Lower-cases A-Z only."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
