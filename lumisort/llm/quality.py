@@ -34,6 +34,9 @@ from lumisort.llm.common import WORD_RE, bound_arrow, file_bytes
 SYMBOLS = "#*$%&|<>"
 
 
+BATCH_BYTES = 8 << 20
+
+
 @dataclass(frozen=True)
 class Band:
     """Limits of what is kept; ends are kept."""
@@ -144,47 +147,68 @@ def base_counts(text: str | None) -> tuple[list[str], int, int, int, int]:
     return words, sum(map(len, words)), n_symbols, len(lines) - len(set(lines)), repeated
 
 
-def quality_rules(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-                  lang_col: str | None = None, bands: Mapping[str, Band] | None = None,
-                  min_words: int = 50, max_repeat_pct: int = 50) -> DataFrame:
-    """One row per row of ``df``: the id, word counts, the three fertility figures,
-    ``base_failed`` and ``kept``.  ``bands`` is by script, or by ``lang_col`` value
-    where that value has a band of its own."""
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens"]
+RESULTS = ([(c, pa.int64()) for c in COUNTS] + [("script", pa.string())]
+           + [(c, pa.float64()) for c in ("chars_per_token", "byte_share", "token_entropy")]
+           + [(c, pa.bool_()) for c in ("base_failed", "kept")])
+
+
+def _judge_of(df: DataFrame, model_path: str, bands: Mapping[str, Band] | None, min_words: int, max_repeat_pct: int):
+    """A function (texts, languages) -> columns of ``RESULTS`` for the workers."""
     spark = df.sparkSession
-    bound_arrow(spark, 8 << 20)
+    bound_arrow(spark, BATCH_BYTES)
     model = spark.sparkContext.broadcast(file_bytes(model_path))
     limits = dict(BANDS if bands is None else bands)
     key = f"fertility:{model_path}"
-    cols = [id_col, text_col] + ([lang_col] if lang_col else [])
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens"]
-    kind = df.schema[id_col].dataType.simpleString()
-    out = (f"`{id_col}` {kind}, " + ", ".join(f"{n} bigint" for n in names)
-           + ", script string, chars_per_token double, byte_share double, token_entropy double,"
-             " base_failed boolean, kept boolean")
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(texts: list[str | None], langs: list[str | None]) -> list[pa.Array]:
         cache = worker_cache()
         if key not in cache:
             cache[key] = Fertility(model.value)
+        base = [base_counts(x) for x in texts]
+        n, n_byte, entropy = cache[key].measure([x[0] for x in base])
+        got = []
+        for i, (words, chars, symbols, dup, rep) in enumerate(base):
+            script = script_of(texts[i]) if texts[i] else "none"
+            nt, nw = int(n[i]), len(words)
+            cpt, byte = (chars / nt, int(n_byte[i]) / nt) if nt else (0.0, 0.0)
+            failed = nw < min_words or 100 * rep > max_repeat_pct * nw
+            band = limits.get(langs[i]) or limits.get(script) or limits.get("other")
+            ok = not failed and (band is None or band.holds(cpt, byte, float(entropy[i]), symbols / max(nw, 1)))
+            got.append((nw, chars, symbols, dup, rep, nt, script, cpt, byte, float(entropy[i]), failed, ok))
+        return [pa.array(c, t) for c, (_, t) in zip(zip(*got) if got else [[]] * len(RESULTS), RESULTS)]
+
+    return judge
+
+
+def quality_rules(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
+                  lang_col: str | None = None, bands: Mapping[str, Band] | None = None,
+                  min_words: int = 50, max_repeat_pct: int = 50) -> DataFrame:
+    """One row per row of ``df``: the id, word counts, the three fertility figures,
+    ``base_failed`` and ``kept``.  ``bands`` is by script, or by ``lang_col`` value
+    where that value has a band of its own."""
+    judge = _judge_of(df, model_path, bands, min_words, max_repeat_pct)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             langs = b.column(2).to_pylist() if lang_col else [None] * b.num_rows
-            texts = b.column(1).to_pylist()
-            base = [base_counts(x) for x in texts]
-            n, n_byte, entropy = cache[key].measure([x[0] for x in base])
-            got = []
-            for i, (words, chars, symbols, dup, rep) in enumerate(base):
-                script = script_of(texts[i]) if texts[i] else "none"
-                nt, nw = int(n[i]), len(words)
-                cpt, byte = (chars / nt, int(n_byte[i]) / nt) if nt else (0.0, 0.0)
-                failed = nw < min_words or 100 * rep > max_repeat_pct * nw
-                band = limits.get(langs[i]) or limits.get(script) or limits.get("other")
-                ok = not failed and (band is None or band.holds(cpt, byte, float(entropy[i]), symbols / max(nw, 1)))
-                got.append((nw, chars, symbols, dup, rep, nt, script, cpt, byte, float(entropy[i]), failed, ok))
-            kinds = [pa.int64()] * 6 + [pa.string()] + [pa.float64()] * 3 + [pa.bool_()] * 2
-            arrays = [pa.array(c, t) for c, t in zip(zip(*got) if got else [[]] * 12, kinds)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *arrays], [id_col, *names, "script", "chars_per_token",
-                                                                      "byte_share", "token_entropy", "base_failed",
-                                                                      "kept"])
-
-    return df.select(*cols).mapInArrow(rows, out)
+            yield pa.RecordBatch.from_arrays([b.column(0), *judge(b.column(1).to_pylist(), langs)],
+                                             [id_col, *(name for name, _ in RESULTS)])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    sql = {pa.int64(): "bigint", pa.string(): "string", pa.float64(): "double", pa.bool_(): "boolean"}
+    return df.select(id_col, text_col, *([lang_col] if lang_col else [])).mapInArrow(
+        rows, f"`{id_col}` {kind}, " + ", ".join(f"{name} {sql[t]}" for name, t in RESULTS))
+
+
+def keep_good(df: DataFrame, model_path: str, text_col: str = "text", lang_col: str | None = None,
+              bands: Mapping[str, Band] | None = None, min_words: int = 50, max_repeat_pct: int = 50) -> DataFrame:
+    """The rows of ``df`` that ``quality_rules`` keeps, all columns, without a join."""
+    judge = _judge_of(df, model_path, bands, min_words, max_repeat_pct)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            langs = b.column(lang_col).to_pylist() if lang_col else [None] * b.num_rows
+            yield b.filter(judge(b.column(text_col).to_pylist(), langs)[-1])
 
+    return df.mapInArrow(rows, df.schema)
