@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.llm import bpe, langid, minhash, mixing, quality, templates, urls, vectors
+from lumisort.llm import bpe, langid, minhash, mixing, quality, substring, templates, urls, vectors
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -44,6 +44,14 @@ def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "entropy")
 
 
+def op2_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeated strings of 400 bytes cover."""
+    out = substring.remove_repeated_bytes(read_table(spark, sf_dir, "documents"), 400)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 #: Parts of all tokens that the domains of the labels table should have.
 MIX_TARGETS = {"clean": 0.92, "low": 0.06, "toxic": 0.02}
 MIX_STRETCH = 1.05
@@ -96,6 +104,7 @@ def op8_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
+    "op2_run_length_index": op2_run_length_index,
     "op3_soft_mixing": op3_soft_mixing,
     "op5_pca_tiles": op5_pca_tiles,
     "op6_bbit_minhash": op6_bbit_minhash,
