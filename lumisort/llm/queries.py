@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.llm import bpe, langid, minhash, mixing, quality, substring, templates, urls, vectors
+from lumisort.llm import bpe, langid, minhash, mixing, phrases, quality, substring, templates, urls, vectors
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -75,6 +75,13 @@ def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         likely.alias("membership"), "rate")
 
 
+def op4_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that passages of 13 words of earlier documents cover."""
+    out = phrases.remove_repeated_passages(read_table(spark, sf_dir, "documents"), 13)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+    return out.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors."""
     return vectors.near_vectors(read_table(spark, sf_dir, "embeddings"))
@@ -106,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_run_length_index": op2_run_length_index,
     "op3_soft_mixing": op3_soft_mixing,
+    "op4_phrase_automata": op4_phrase_automata,
     "op5_pca_tiles": op5_pca_tiles,
     "op6_bbit_minhash": op6_bbit_minhash,
     "op7_template_lines": op7_template_lines,
