@@ -4,18 +4,21 @@
   a signature: per hash function, the low ``BITS`` bits of the smallest hash, packed
   as bit planes.  Documents with equal sets are one class, named by its smallest id.
 * Class representatives that agree on all values of a band share a bucket.  Each
-  member is paired with its bucket's smallest id.
-* A pair's similarity is estimated by bit counts over the planes, corrected for
-  chance agreement of ``BITS`` bits; pairs whose estimate lies well below the
-  threshold go.  The rest is confirmed on the full sets of both texts.
-* Components come from the confirmed links.  Buckets that still hold several
-  components have every member outside their largest component compared with the
-  members of other components, so no link is missed that a bucket shows; pairs
-  inside one component need no comparison.
-
-Nothing grows with the square of a group: copies collapse into classes, a bucket
-gives one pair a member, and the texts of a leader's members are confirmed in salted
-groups of about ``GROUP`` with a copy of the leader's text in each.
+  member is paired with the smallest id of its buckets that looks most similar.
+* Similarity is estimated by bit counts over the planes, corrected for chance
+  agreement of ``BITS`` bits.  Pairs whose estimate lies well below the threshold go;
+  the rest is confirmed on the full sets of both texts.
+* Components come from the confirmed links.  In buckets that still hold several
+  components, members outside the bucket's largest are compared, in blocks and with
+  longer signatures, with the members of other components: first each is tried on
+  the one that looks most similar, which joins most of them, then whoever is left on
+  all that could reach the threshold.  Pairs inside a component need no comparison,
+  so no link between components is missed that a bucket shows.
+
+Copies collapse into classes, and a bucket gives at most one pair a member until the
+last step, whose pairs are those that only full sets can tell apart.  Blocks bound
+what a task holds; the texts of a leader's members are confirmed in salted groups of
+about ``GROUP`` with a copy of the leader's text in each.
 
 Empty sets (null text, no words) link with nothing.  Rows with one id are one
 document.  Rows without an id are returned with null component and kept.  Only the
@@ -31,13 +34,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from lumisort.llm.common import bound_arrow, stored
+from lumisort.llm.common import bound_arrow, shuffle_partitions, stored
 from lumisort.llm.graph import components
 
 BITS, BAND_ROWS, BANDS = 8, 4, 32
 HASHES = BAND_ROWS * BANDS
 WORDS64 = HASHES // 64
+FINE = 512  # hashes of the longer signatures
+BLOCK_ROWS, SHARD_ROWS = 1000, 20_000
 GROUP = 200
 SHINGLE = 5
 BATCH_BYTES = 8 << 20
@@ -88,10 +94,10 @@ class Shingles:
         return np.unique(_mix(out))
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """uint8[documents, HASHES]: low bits of each minimum (BITS = 8); zeros for empty sets."""
-    out = np.zeros((len(sets), HASHES), np.uint8)
-    mult, add = _multipliers(HASHES, 20)
+def signatures(sets: list[np.ndarray], hashes: int = HASHES, seed: int = 20) -> np.ndarray:
+    """uint8[documents, hashes]: low bits of each minimum (BITS = 8); zeros for empty sets."""
+    out = np.zeros((len(sets), hashes), np.uint8)
+    mult, add = _multipliers(hashes, seed)
     i = 0
     full = [k for k, s in enumerate(sets) if len(s)]
     while i < len(full):
@@ -102,8 +108,8 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
         part = full[i:j]
         h = np.concatenate([sets[k] for k in part])
         start = np.cumsum([0] + [len(sets[k]) for k in part[:-1]])
-        low = np.empty((len(part), HASHES), np.uint64)
-        for f in range(HASHES):
+        low = np.empty((len(part), hashes), np.uint64)
+        for f in range(hashes):
             low[:, f] = np.minimum.reduceat(h * mult[f] + add[f], start)
         out[part] = (low & np.uint64(0xFF)).astype(np.uint8)
         i = j
@@ -111,10 +117,10 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _planes(sig: np.ndarray) -> np.ndarray:
-    """int64[documents, BITS * WORDS64]: bit p of all values, side by side, for each p."""
+    """int64[documents, BITS * hashes / 64]: bit p of all values, side by side, for each p."""
     bits = np.unpackbits(sig[:, :, None], axis=2, bitorder="little")  # documents, hashes, bits
     packed = np.packbits(bits.transpose(0, 2, 1).reshape(len(sig), -1), axis=1, bitorder="little")
-    return packed.view(np.int64).reshape(len(sig), BITS * WORDS64)
+    return packed.view(np.int64).reshape(len(sig), BITS * sig.shape[1] // 64)
 
 
 def _bands(sig: np.ndarray) -> np.ndarray:
@@ -162,12 +168,95 @@ def estimate(x: Column, y: Column) -> Column:
     return (equal / float(HASHES) - chance) / (1.0 - chance)
 
 
-def plausible(pairs: DataFrame, reps: DataFrame, threshold: float, sigmas: float) -> DataFrame:
-    """Pairs (x, y) whose estimate is not below the threshold by more than ``sigmas`` deviations."""
+def least_estimate(threshold: float, sigmas: float, hashes: int) -> float:
+    return threshold - sigmas * (threshold * (1 - threshold) / hashes) ** 0.5
+
+
+def most_similar(pairs: DataFrame, reps: DataFrame, least: float) -> DataFrame:
+    """For each x of the pairs (x, y) the y with the best estimate, if that is ``least`` or more."""
     planes = reps.select("id", "planes")
-    least = threshold - sigmas * (threshold * (1 - threshold) / HASHES) ** 0.5
-    both = (pairs.join(planes.toDF("x", "px"), "x").join(planes.toDF("y", "py"), "y"))
-    return both.where(estimate(F.col("px"), F.col("py")) >= least).select("x", "y")
+    both = pairs.join(planes.toDF("x", "px"), "x").join(planes.toDF("y", "py"), "y")
+    guess = both.select("x", "y", estimate(F.col("px"), F.col("py")).alias("e")).where(F.col("e") >= least)
+    return guess.groupBy("x").agg(F.max_by("y", "e").alias("y"))
+
+
+def fine_sketches(texts: DataFrame) -> DataFrame:
+    """(id, sketch): signatures of FINE hashes as bit planes."""
+    id_type = texts.schema["id"].dataType.simpleString()
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles()
+        for b in batches:
+            planes = _planes(signatures([shingles.of(x) for x in b.column(1).to_pylist()], FINE, 21))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([p.tobytes() for p in planes], pa.binary())],
+                                             ["id", "sketch"])
+
+    return texts.select("id", "text").mapInArrow(rows, f"id {id_type}, sketch binary")
+
+
+def across(named: DataFrame, sketch: DataFrame, least: float, best_only: bool) -> DataFrame:
+    """Pairs (x, y, e) of open buckets: x outside the bucket's largest component, y in
+    another component than x, estimate at least ``least``; the best of each x and
+    block if ``best_only``.  ``named``: (band, x, c)."""
+    spark = named.sparkSession
+    sizes = named.groupBy("band", "c").agg(F.count(F.lit(1)).alias("k"))
+    main = sizes.groupBy("band").agg(F.max(F.struct("k", "c")).alias("m"), F.sum("k").alias("n"),
+                                     F.count(F.lit(1)).alias("parts")).where(F.col("parts") > 1)
+    blocks = main.select("band", F.col("m.c").alias("main"),
+                         F.ceil((F.col("n") - F.col("m.k")) / float(BLOCK_ROWS)).alias("lefts"),
+                         F.ceil(F.col("n") / float(BLOCK_ROWS)).alias("rights"))
+    rows = named.join(blocks, "band").join(sketch.withColumnRenamed("id", "x"), "x")
+    shards = max(shuffle_partitions(spark), -(-named.count() // SHARD_ROWS))
+    small = (F.col("lefts") == 1) & (F.col("rights") == 1)
+    h = F.xxhash64("x", "band")
+
+    def dealt(left: bool) -> DataFrame:
+        own, other = ("lefts", "rights") if left else ("rights", "lefts")
+        some = rows.where(F.col("c") != F.col("main")) if left else rows
+        some = some.withColumn("own", F.pmod(h, F.col(own))).withColumn(
+            "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)))
+        return some.select(F.when(small, F.pmod(F.xxhash64("band"), F.lit(shards))).otherwise(F.col("band")).alias("g"),
+                           F.when(small, F.lit(-1).cast("bigint")).otherwise(F.col("own" if left else "other")).alias("i"),
+                           F.when(small, F.lit(-1).cast("bigint")).otherwise(F.col("other" if left else "own")).alias("j"),
+                           "band", F.lit(left).alias("left"), "x", "c", "sketch")
+
+    kind = to_arrow_type(named.schema["x"].dataType)
+    chance = 2.0 ** -BITS
+
+    def compare(t: pa.Table) -> pa.Table:
+        order = np.argsort(t.column("band").to_numpy(), kind="stable")
+        band, left = t.column("band").to_numpy()[order], t.column("left").to_numpy()[order]
+        x, c = t.column("x").to_numpy()[order], t.column("c").to_numpy()[order]
+        planes = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(x), BITS, -1)[order]
+        cut = np.flatnonzero(band[1:] != band[:-1]) + 1
+        out = [[], [], []]
+        for rows_ in np.split(np.arange(len(x)), cut):
+            a, b = rows_[left[rows_]], rows_[~left[rows_]]
+            if not len(a) or not len(b):
+                continue
+            agree = np.zeros((len(a), len(b)), np.int32)
+            for w in range(planes.shape[2]):
+                differ = np.zeros((len(a), len(b)), np.uint64)
+                for p in range(BITS):
+                    differ |= planes[a, p, w][:, None] ^ planes[b, p, w][None]
+                agree += 64 - np.bitwise_count(differ).astype(np.int32)
+            e = (agree / FINE - chance) / (1 - chance)
+            e[(c[a][:, None] == c[b][None]) | (e < least)] = -1
+            if best_only:
+                j = e.argmax(axis=1)
+                i = np.flatnonzero(e[np.arange(len(a)), j] > 0)
+                j = j[i]
+            else:
+                i, j = np.nonzero(e > 0)
+            for o, v in zip(out, (x[a[i]], x[b[j]], e[i, j])):
+                o.append(v)
+        cols = [np.concatenate(o) if o else np.zeros(0) for o in out]
+        return pa.table([pa.array(cols[0].astype(x.dtype), kind), pa.array(cols[1].astype(x.dtype), kind),
+                         pa.array(cols[2], pa.float64())], ["x", "y", "e"])
+
+    id_type = named.schema["x"].dataType.simpleString()
+    return (dealt(True).unionByName(dealt(False)).groupBy("g", "i", "j")
+            .applyInArrow(compare, f"x {id_type}, y {id_type}, e double"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -197,13 +286,23 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                 near.append(x)
         yield pa.RecordBatch.from_arrays([pa.array(near, kind), pa.array([leader] * len(near), kind)], ["x", "y"])
 
-    from pyspark.sql.pandas.types import to_arrow_type
     kind = to_arrow_type(pairs.schema["x"].dataType)
     return sent.groupBy("y", "salt").applyInArrow(check, f"x {id_type}, y {id_type}")
 
 
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (x, c) after more links, worked out between components only."""
+    ends = links.join(label.toDF("x", "cx"), "x", "left").join(label.toDF("y", "cy"), "y", "left").select(
+        "x", "y", F.coalesce("cx", "x").alias("cx"), F.coalesce("cy", "y").alias("cy"))
+    ends = stored(ends, "component-links")
+    merged = stored(components(ends, "cx", "cy").toDF("c", "m"), "merged-components")
+    new = ends.select("x", F.col("cx").alias("c")).union(ends.select("y", "cy")).distinct()
+    every = label.unionByName(new.join(label, "x", "left_anti"))
+    return stored(every.join(merged, "c", "left").select("x", F.coalesce("m", "c").alias("c")), "components")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
-                    sigmas: float = 5.0) -> DataFrame:
+                    sigmas: float = 4.5) -> DataFrame:
     """(id, n_shingles, component_id, kept), a row per row of ``df``."""
     rows = stored(sketches(df, id_col, text_col), "sketches")
     full = rows.where(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
@@ -217,33 +316,32 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lead = (member.groupBy("band").agg(F.min("id").alias("y"), F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > 1).select("band", "y"))
     bucket = stored(member.join(lead, "band").select("band", F.col("id").alias("x"), "y"), "buckets")
-    first = bucket.where(F.col("x") != F.col("y")).select("x", "y").distinct()
-    first = stored(plausible(first, reps, percent / 100, sigmas), "plausible")
-    in_question = first.select("x").union(first.select("y")).distinct().withColumnRenamed("x", "id")
-    likely = stored(texts.join(in_question, "id", "left_semi").dropDuplicates(["id"]), "likely-texts")
-    links = stored(confirmed(first, likely, percent), "links")
-    label = components(links, "x", "y")
-
-    # what is left: buckets that still hold more than one component
-    named = (bucket.select("band", "x").join(label.toDF("x", "c"), "x", "left")
-             .select("band", "x", F.coalesce("c", "x").alias("c")))
-    several = (named.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-               .where(F.col("lo") != F.col("hi")).select("band"))
-    named = stored(named.join(several, "band", "left_semi"), "open-buckets")
-    largest = (named.groupBy("band", "c").agg(F.count(F.lit(1)).alias("k"))
-               .groupBy("band").agg(F.max(F.struct("k", "c")).alias("m")).select("band", F.col("m.c").alias("main")))
-    apart = named.join(largest, "band").where(F.col("c") != F.col("main")).select("band", F.col("x").alias("p"),
-                                                                                F.col("c").alias("cp"))
-    rest = (apart.join(named.toDF("band", "q", "cq"), "band").where(F.col("cp") != F.col("cq"))
-            .select(F.greatest("p", "q").alias("x"), F.least("p", "q").alias("y")).distinct()
-            .join(first, ["x", "y"], "left_anti"))
-    rest = stored(plausible(rest, reps, percent / 100, sigmas), "plausible-rest")
-    if rest.limit(1).count():
-        in_question = rest.select("x").union(rest.select("y")).distinct().withColumnRenamed("x", "id")
-        more = texts.join(in_question, "id", "left_semi").dropDuplicates(["id"])
-        more = stored(confirmed(rest, stored(more, "rest-texts"), percent), "links-rest")
-        if more.limit(1).count():
-            label = components(links.unionByName(more), "x", "y")
+    likely = stored(texts.join(bucket.select(F.col("x").alias("id")).distinct(), "id", "left_semi")
+                    .dropDuplicates(["id"]), "likely-texts")
+    threshold = percent / 100
+    first = most_similar(bucket.where(F.col("x") != F.col("y")).select("x", "y").distinct(), reps,
+                         least_estimate(threshold, sigmas, HASHES))
+    label = stored(components(confirmed(first, likely, percent), "x", "y").toDF("x", "c"), "components")
+
+    # buckets that still hold more than one component
+    sketch, least = None, least_estimate(threshold, sigmas, FINE)
+    for best_only in (True, True, False):
+        named = (bucket.select("band", "x").join(label, "x", "left")
+                 .select("band", "x", F.coalesce("c", "x").alias("c")))
+        several = (named.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+                   .where(F.col("lo") != F.col("hi")).select("band"))
+        named = stored(named.join(several, "band", "left_semi"), "open-buckets")
+        if sketch is None:
+            open_ids = named.select(F.col("x").alias("id")).distinct()
+            sketch = stored(fine_sketches(likely.join(open_ids, "id", "left_semi")), "fine-sketches")
+        pairs = across(named, sketch, least, best_only)
+        if best_only:
+            pairs = pairs.groupBy("x").agg(F.max_by("y", "e").alias("y"))
+        else:
+            pairs = pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+        links = stored(confirmed(pairs, likely, percent), "links")
+        if links.limit(1).count():
+            label = _joined(label, links)
 
     by_id = (full.select("id", *same).join(classes, same).select("id", "rep")
              .join(label.toDF("rep", "c"), "rep", "left").groupBy("id")
