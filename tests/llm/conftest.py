@@ -13,7 +13,7 @@ def prose(rng: random.Random, n: int, syllables=SYLLABLES) -> str:
 def odd_docs(spark):
     """Nulls in every column, empty and long texts, repeated rows, clashing extra columns."""
     rng = random.Random(11)
-    text = prose(rng, 80)
+    text = prose(rng, 150)
     rows = [(1, text, "en", "a", 1), (2, text, "en", "a", 1), (2, text, "en", "a", 1), (3, None, "en", None, None),
             (4, "", None, "a", 0), (None, text, "en", "a", 1), (None, None, None, None, None),
             (5, " \t\n\n ", "en", "a", 4), (6, "x" * 50_000, "de", "a", 5), (7, prose(rng, 20_000), "de", "b", 9),
