@@ -191,9 +191,9 @@ class RepeatedPassages(Job):
         edge = np.zeros(len(s.codes) + 1, np.int32)
         for d, a, b in zip(s.ids.tolist(), s.starts[:-1].tolist(), s.starts[1:].tolist()):
             if b - a >= self.window:
-                for end, (size, above) in automaton.iter(text, a * width, b * width):
+                for end, (size, above) in automaton.iter(text[a * width:b * width]):  # it copies what it is given
                     if d > above:
-                        stop = end // width + 1
+                        stop = a + end // width + 1
                         edge[stop - size] += 1
                         edge[stop] -= 1
         return np.cumsum(edge[:-1]) > 0
