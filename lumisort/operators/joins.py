@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumisort.functions.naming import ratio_label
-from lumisort.operators.ranking import small_side, small_table
+from lumisort.operators.ranking import sized, small_side
 
 
 def resolve_split(train: DataFrame, test: DataFrame, key: str = "file_name", split_col: str = "split",
@@ -31,18 +31,18 @@ def resolve_split(train: DataFrame, test: DataFrame, key: str = "file_name", spl
     # then they are broadcast and the wide test rows are filtered in place;
     # otherwise the anti join shuffles by name (names are unique, no skew).
     dups = test.select(key).join(winners.select(key), key, "left_semi").distinct()
-    dups, rows = small_table(dups, order_col=key)
-    losers_ok = test.join(F.broadcast(dups) if rows is not None else dups, key, "left_anti")
+    losers_ok = test.join(sized(dups)[0], key, "left_anti")
     kept_train = train if valid_col is None else winners
     return kept_train.unionByName(losers_ok)
 
 
-def skip_existing(df: DataFrame, existing: DataFrame, key: str = "file_name",
+def skip_existing(df: DataFrame, existing: DataFrame, key: str | Sequence[str] = "file_name",
                   existing_key: str | None = None) -> DataFrame:
-    """Rows whose output does not exist yet (anti join; put it before inference)."""
-    ek = existing_key or key
-    ex = existing.select(F.col(ek).alias(key))
-    return df.join(ex, key, "left_anti")
+    """Rows whose output does not exist yet (anti join; put it before inference).
+    ``key``: one column or several; ``existing_key``: the one column's name in ``existing``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    ex = existing.select(F.col(existing_key or keys[0]).alias(keys[0]), *keys[1:])
+    return df.join(ex, keys, "left_anti")
 
 
 def attach_features(assignment: DataFrame, features: DataFrame, key: str = "file_name",
@@ -67,10 +67,13 @@ def grid_points(pairs: DataFrame, cutoffs: Sequence[float]) -> DataFrame:
             .withColumn("train_test", ratio_label(F.col("cutoff"))))
 
 
-def pair_counts(pairs: DataFrame, counts: DataFrame, n_classes_bound: int, label_col: str = "label_name") -> DataFrame:
-    """Attach each side's per-class counts (``counts`` has one row per class)."""
+def pair_counts(pairs: DataFrame, counts: DataFrame, n_classes: int, label_col: str = "label_name") -> DataFrame:
+    """Attach each side's per-class counts.  ``n_classes``: classes that the caller's
+    pairs name; counts are cut down to those first, so that is their row bound too."""
+    named = pairs.select(F.col("class1").alias(label_col)).union(pairs.select("class0")).distinct()
+    counts = counts.join(small_side(named, n_classes), label_col, "left_semi")
     cols = [c for c in counts.columns if c != label_col]
     c1 = counts.select(F.col(label_col).alias("class1"), *[F.col(c).alias(f"class1_{c}") for c in cols])
     c0 = counts.select(F.col(label_col).alias("class0"), *[F.col(c).alias(f"class0_{c}") for c in cols])
-    return (pairs.join(small_side(c1, n_classes_bound), "class1", "left")
-            .join(small_side(c0, n_classes_bound), "class0", "left"))
+    return (pairs.join(small_side(c1, n_classes), "class1", "left")
+            .join(small_side(c0, n_classes), "class0", "left"))

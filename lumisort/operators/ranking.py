@@ -20,9 +20,9 @@ first run one cheap aggregate (group count, largest group, total rows) and pick:
 ``flag_first_k`` never shuffles the wide rows: it finds each group's boundary key
 (the key of its k-th row, one row per group) on the narrow keys and joins that
 small table back, so the result is "key <= boundary key" -- identical to
-``rank() <= k``, ties at the boundary included.  Small tables are broadcast only
-when their row bound (known from the aggregate) is under
-``lumisort.broadcast.maxRows``; above it the join is left to the planner.
+``rank() <= k``, ties at the boundary included.  Tables are hinted for broadcast
+only when their row count (known from an aggregate or counted on a stored copy) is
+under ``lumisort.broadcast.maxRows``; above it the join is left to the planner.
 """
 
 from __future__ import annotations
@@ -63,63 +63,13 @@ def group_stats(df: DataFrame, group_cols: Sequence[str]) -> GroupStats:
     return GroupStats(int(r["g"] or 0), int(r["m"] or 0), int(r["t"] or 0))
 
 
-def small_table(df: DataFrame, row_bound: int | None = None,
-                order_col: str | None = None) -> tuple[DataFrame, list | None]:
-    """Materialise a table expected to be small, behind a size check.
-
-    Within ``lumisort.broadcast.maxRows`` rows the rows become a literal table
-    (no lineage, nothing to recompute after an executor loss -- the same rows a
-    broadcast would ship) and are returned too.  With a known ``row_bound`` the
-    check is free; otherwise an ordered ``limit(max + 1)`` (a single top-k job)
-    proves it.  Larger tables are checkpointed to the shared folder and
-    ``None`` is returned: callers then keep the join distributed."""
-    limit = conf_int(df.sparkSession, CONF_BROADCAST_MAX_ROWS, DEFAULT_BROADCAST_MAX_ROWS)
-    if row_bound is not None and row_bound <= limit:
-        rows = df.collect()
-    elif row_bound is None:
-        rows = df.orderBy(order_col or df.columns[0]).limit(limit + 1).collect()
-        if len(rows) > limit:
-            rows = None
-    else:
-        rows = None
-    if rows is None:
-        return durable(df), None
-    return literal_table(df.sparkSession, rows, df.schema), rows
-
-
-LITERAL_VALUES_MAX_ROWS = 2000
-
-
-def _sql_literal(v, t) -> str:
-    from pyspark.sql import types as T
-    if v is None:
-        return f"CAST(NULL AS {t.simpleString()})"
-    if isinstance(t, T.StringType):
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if isinstance(t, T.BooleanType):
-        return "true" if v else "false"
-    if isinstance(t, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        return f"CAST({int(v)} AS {t.simpleString()})"
-    if isinstance(t, (T.DoubleType, T.FloatType)):
-        return f"CAST('{float(v)!r}' AS {t.simpleString()})"
-    raise TypeError(t)
-
-
-def literal_table(spark, rows: list, schema) -> DataFrame:
-    """Rows held by the driver as a table.  Up to ``LITERAL_VALUES_MAX_ROWS``
-    rows of simple types it is an inline ``VALUES`` table (a local relation:
-    broadcasting it runs no job); otherwise a parallelised local collection."""
-    from pyspark.sql import types as T
-    simple = (T.StringType, T.BooleanType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType,
-              T.FloatType)
-    fields = schema.fields
-    if not rows or len(rows) > LITERAL_VALUES_MAX_ROWS or not all(isinstance(f.dataType, simple) for f in fields):
-        return spark.createDataFrame(rows, schema)
-    values = ", ".join("(" + ", ".join(_sql_literal(r[i], f.dataType) for i, f in enumerate(fields)) + ")"
-                       for r in rows)
-    cols = ", ".join(f"c{i}" for i in range(len(fields)))
-    t = spark.sql(f"SELECT * FROM VALUES {values} AS t({cols})")
-    return t.select(*[F.col(f"c{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
+def sized(df: DataFrame) -> tuple[DataFrame, int]:
+    """A reliable copy of a narrow table and its row count.  The copy carries a
+    broadcast hint when the count is within ``lumisort.broadcast.maxRows``; beyond
+    it joins with the copy stay distributed.  Rows are the same either way."""
+    copy = durable(df)
+    n = copy.count()
+    return small_side(copy, n), n
 
 
 def small_side(df: DataFrame, row_bound: int) -> DataFrame:
@@ -195,10 +145,9 @@ def boundary_keys(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
              .where(F.col("_rn") == F.least(F.col("_k"), F.col("_gn")))
              .select(*group_cols, *bcols))
         return b, stats
-    ranged = _ranged(narrow, group_cols, order_cols, _range_partitions(narrow, stats))
-    # Both branches below read every narrow column (the offsets need group, order
-    # and k; the boundary lookup returns them), so the two range exchanges are
-    # identical and AQE runs the shuffle once: ids agree by construction.
+    # Written once to the shared checkpoint folder: the offsets and the boundary
+    # lookup read the same stored row ids, whatever the session's settings.
+    ranged = durable(_ranged(narrow, group_cols, order_cols, _range_partitions(narrow, stats)))
     off = _offsets(ranged, group_cols, [F.max("_k").alias("_k")])
     off = off.withColumn("_total", F.sum("_n").over(Window.partitionBy(*group_cols)))
     kk = F.least(F.col("_k"), F.col("_total"))
@@ -214,15 +163,14 @@ def flag_first_k(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     ``order_cols`` order (``rank() <= k``).  Wide columns of ``df`` are never shuffled."""
     group_cols, order_cols = list(group_cols), list(order_cols)
     b, stats = boundary_keys(df, group_cols, order_cols, k, strategy, stats)
-    # The boundary table has one row per group and is exact whatever the
-    # partitioning: materialise it (literal table, or a checkpoint beyond the
-    # size bound) so the caller's lineage stays one scan plus a small join, even
-    # over chained calls.
-    b, rows = small_table(b, stats.groups)
+    # The boundary table has at most one row per group and is exact whatever the
+    # partitioning: store it so the caller's lineage stays one scan plus a small
+    # join, even over chained calls.
+    b = durable(b)
     gnames = [f"_g{i}" for i in range(len(group_cols))]
     b = b.select(*[F.col(c).alias(g) for c, g in zip(group_cols, gnames)],
                  *[F.col(f"_b{i}") for i in range(len(order_cols))], F.lit(True).alias("_has"))
-    b = F.broadcast(b) if rows is not None else b
+    b = small_side(b, stats.groups)
     joined = df.join(b, _null_safe_on(df, b, group_cols, gnames), "left")
     le = _lex_le([df[c] for c in order_cols], [F.col(f"_b{i}") for i in range(len(order_cols))])
     flag = F.coalesce(F.col("_has") & le, F.lit(False))

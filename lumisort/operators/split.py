@@ -17,7 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumisort.operators.ranking import GroupStats, flag_first_k, row_positions, small_table
+from lumisort.operators.ranking import GroupStats, flag_first_k, row_positions, sized, small_side
+from lumisort.session import durable
 
 DEFAULT_CUTOFF = 0.8
 TRAIN, TEST = "train", "test"
@@ -38,24 +39,17 @@ def sampling_key(name_col: str = "file_name", seed: int | str = 1) -> Column:
 
 def _with_class_counts(df: DataFrame, label_col: str, split_col: str | None):
     """Attach per-class ``_n`` (and ``_ntrain``) and return the group statistics
-    of the (class) and (class, split) groups, from one small aggregate (one row
-    per class: a literal table behind a size check, else a checkpoint)."""
+    of the (class) and (class, split) groups, from one small stored aggregate (one
+    row per class)."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     if split_col:
         aggs.append(F.count_if(F.col(split_col) == TRAIN).alias("_ntrain"))
-    counts, rows = small_table(df.groupBy(label_col).agg(*aggs).withColumnRenamed(label_col, "_lbl"),
-                               order_col="_lbl")
-    if rows is not None:
-        ns = [r["_n"] for r in rows]
-        trs = [r["_ntrain"] if split_col else 0 for r in rows]
-        g, m, t = len(rows), max(ns, default=0), sum(ns)
-        ms = max((max(a, n - a) for a, n in zip(trs, ns)), default=0)
-        counts = F.broadcast(counts)
-    else:
-        ntrain = F.col("_ntrain") if split_col else F.lit(0)
-        r = counts.agg(F.count(F.lit(1)).alias("g"), F.max("_n").alias("m"), F.sum("_n").alias("t"),
-                       F.max(F.greatest(ntrain, F.col("_n") - ntrain)).alias("ms")).first()
-        g, m, t, ms = (int(r[x] or 0) for x in ("g", "m", "t", "ms"))
+    counts = durable(df.groupBy(label_col).agg(*aggs).withColumnRenamed(label_col, "_lbl"))
+    ntrain = F.col("_ntrain") if split_col else F.lit(0)
+    r = counts.agg(F.count(F.lit(1)).alias("g"), F.max("_n").alias("m"), F.sum("_n").alias("t"),
+                   F.max(F.greatest(ntrain, F.col("_n") - ntrain)).alias("ms")).first()
+    g, m, t, ms = (int(r[x] or 0) for x in ("g", "m", "t", "ms"))
+    counts = small_side(counts, g)
     by_class = GroupStats(g, m, t)
     by_class_split = GroupStats(2 * g, ms, t)
     joined = df.join(counts, df[label_col].eqNullSafe(counts["_lbl"]), "left").drop("_lbl")
@@ -102,8 +96,7 @@ def rebalance(df: DataFrame, cutoff: float | None = None, seed: int | str = 1, l
         both = (df.select(label_col, name_col, split_col).groupBy(label_col, name_col)
                 .agg(F.countDistinct(split_col).alias("_ns")).where(F.col("_ns") > 1)
                 .select(F.col(label_col).alias("_dl"), F.col(name_col).alias("_dn")))
-        both, rows = small_table(both, order_col="_dn")
-        both = (F.broadcast(both) if rows is not None else both).withColumn("_dup", F.lit(True))
+        both = sized(both)[0].withColumn("_dup", F.lit(True))
         cond = out[label_col].eqNullSafe(both["_dl"]) & (out[name_col] == both["_dn"])
         out = (out.join(both, cond, "left")
                .withColumn("_move", F.col("_move") & F.col("_dup").isNull())
@@ -126,8 +119,8 @@ def systematic_sample(df: DataFrame, k: int, partition_by: Sequence[str] = ("lab
     """Every ``k``-th row (positions 1, k+1, 2k+1, ...) per group in ``order_by`` order.
 
     Positions are computed on the key columns only; when ``df`` carries more
-    (vectors, bytes) the chosen keys are semi-joined back -- broadcast when the
-    selection is provably small -- so wide rows are not ranked or checkpointed.
+    (vectors, bytes) the chosen keys are semi-joined back -- broadcast when their
+    stored copy counts as small -- so wide rows are not ranked or checkpointed.
     The order keys must be unique within a group (file names are)."""
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -137,22 +130,9 @@ def systematic_sample(df: DataFrame, k: int, partition_by: Sequence[str] = ("lab
               .where((F.col("_pos") - 1) % F.lit(int(k)) == 0).drop("_pos"))
     if set(df.columns) == set(keys):
         return chosen.select(*df.columns)
-    sel, rows = small_table(chosen, order_col=keys[0])
-    sel = sel.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(keys)])
-    sel = F.broadcast(sel) if rows is not None else sel
+    sel = sized(chosen.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(keys)]))[0]
     cond = None
     for i, c in enumerate(keys):
         e = df[c].eqNullSafe(sel[f"_s{i}"])
         cond = e if cond is None else cond & e
     return df.join(sel, cond, "left_semi")
-
-
-def rebalance_chain(df: DataFrame, cutoffs: Sequence[float], seed: int | str = 1, **kw) -> list[DataFrame]:
-    """Successive rebalances, each starting from the previous assignment (as the
-    reference's grid does).  Each step's assignment is cut from the lineage by the
-    caller (see ``plans.grid``)."""
-    out, cur = [], df
-    for c in cutoffs:
-        cur = rebalance(cur, c, seed, **kw)
-        out.append(cur)
-    return out

@@ -1,3 +1,4 @@
+import pytest
 """Group ranks: the range path equals the window path, hot groups included."""
 
 from pyspark.sql import functions as F
@@ -40,18 +41,47 @@ def test_boundary_k_beyond_group(spark):
         assert got["hot"] == "n000049"
 
 
-def test_range_plan_reuses_the_exchange(spark):
-    df = skewed(spark, hot=500, cold=10)
-    b, _ = boundary_keys(df, ["g"], ["k"], F.lit(5), strategy="range")
-    b.collect()
-    plan = b._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in plan or plan.count("rangepartitioning") == 1
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_range_equals_window_whatever_is_reused(spark, reuse):
+    """Positions read one stored table, so no optimisation of the session matters."""
+    from lumisort.operators.split import split_positional
+    df = spark.range(300_000).select(F.concat(F.lit("f"), (F.col("id") * 7919 % 300_007).cast("string")).alias("file_name"),
+                                     F.when(F.col("id") % 3 == 0, F.lit("a")).otherwise(F.lit("b")).alias("label_name"))
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        out = {}
+        for strategy in ("window", "range"):
+            d = split_positional(df, 0.5, strategy=strategy).where("split = 'train'")
+            out[strategy] = [tuple(r) for r in d.groupBy("label_name").agg(
+                F.count(F.lit(1)), F.sum(F.xxhash64("file_name") % 1000003)).orderBy("label_name").collect()]
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert out["window"] == out["range"] and sum(r[1] for r in out["window"]) == 150_000
 
 
-def test_literal_table_round_trip(spark):
-    from lumisort.operators.ranking import literal_table
-    schema = "s string, n long, d double, b boolean"
-    rows = [("it's a \\ back\\slash", 1, 0.1, True), ("ünï\ncode 'q'", None, None, None), (None, -5, 1e-300, False)]
-    t = literal_table(spark, rows, spark.createDataFrame([], schema).schema)
-    assert [tuple(r) for r in t.collect()] == rows
-    assert "LocalTableScan" in t._jdf.queryExecution().executedPlan().toString()
+NASTY = ["${spark.app.name}", "${env:HOME}", "it's \"q\"", "back\\slash \\'", "a;b--c", "%s {0} é"]
+
+
+def test_names_are_data_not_sql(spark):
+    from lumisort.operators import split as S
+    rows = [(f"{c}_{i}.json", c) for c in NASTY for i in range(10)]
+    df = spark.createDataFrame(rows, "file_name string, label_name string").repartition(3)
+    for strategy in ("window", "range"):
+        out = S.split_positional(df, 0.6, strategy=strategy)
+        assert {r.label_name: (r.tr, r.n) for r in out.groupBy("label_name").agg(
+            F.count_if(F.col("split") == "train").alias("tr"), F.count(F.lit(1)).alias("n")).collect()} == {
+                c: (6, 10) for c in NASTY}
+        moved = S.rebalance(out, 0.3, strategy=strategy)
+        assert moved.where("split = 'train'").count() == 3 * len(NASTY)
+        assert S.sample_per_class(df, 4, strategy=strategy).count() == 4 * len(NASTY)
+        assert S.systematic_sample(out, 2, strategy=strategy).count() == 5 * len(NASTY)
+
+
+def test_no_ordered_limit_anywhere(spark):
+    from lumisort.operators import joins as J
+    from lumisort.operators import split as S
+    from lumisort.sinks.writers import dedupe_names
+    rows = [(f"c{i % 3}_{i}.json", f"c{i % 3}", "train" if i % 2 else "test", [1.0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "file_name string, label_name string, split string, features array<double>")
+    for out in (S.systematic_sample(df, 2), J.resolve_split(df.where("split = 'train'"), df), dedupe_names(df)):
+        assert "TakeOrderedAndProject" not in out._jdf.queryExecution().toString()
