@@ -41,6 +41,7 @@ def to_ml_vector(c) -> Column:
 
 
 def from_ml_vector(c) -> Column:
+    """ML vector -> ``array<double>`` (the way back from the model boundary)."""
     return vector_to_array(col_of(c), "float64")
 
 
@@ -50,9 +51,10 @@ def weights_literal(weights: Sequence[float]) -> Column:
 
 
 def dot(c, w: Column) -> Column:
-    """Dot product of two equally long arrays (NULL if either is NULL)."""
+    """Dot product of two arrays (NULL if either is NULL or their lengths differ)."""
     prods = F.zip_with(col_of(c).cast("array<double>"), w, lambda x, y: x * y)
-    return F.aggregate(prods, F.lit(0.0), lambda acc, x: acc + x)
+    total = F.aggregate(prods, F.lit(0.0), lambda acc, x: acc + x)
+    return F.when(F.size(col_of(c)) == F.size(w), total)
 
 
 def linear_margin(c, weights: Sequence[float] | Column, intercept: float = 0.0) -> Column:

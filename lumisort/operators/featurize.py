@@ -12,6 +12,7 @@ so the default is a fixed linear projection (deterministic, SQL-checkable).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -71,23 +72,38 @@ def _model(factory: ModelFactory):
     return m
 
 
+def _error(what: str, e: Exception) -> str:
+    return f"{what}: {type(e).__name__}: {e}"
+
+
 def _run_model(model, rows: list, batch_size: int) -> tuple[list, list]:
-    """Model over the decodable rows in chunks of ``batch_size``; a chunk whose
-    call fails marks its rows with the error."""
+    """Model over the decodable rows, in chunks of ``batch_size`` rows of one shape.
+    If a chunk fails its rows are tried one by one, so only rows that fail on
+    their own get an error, wherever batch borders fall."""
     feats, errs = [None] * len(rows), [None] * len(rows)
-    ok = [i for i, r in enumerate(rows) if not isinstance(r, str)]
+    shapes: dict[tuple, list[int]] = {}
     for i, r in enumerate(rows):
         if isinstance(r, str):
             errs[i] = r
-    for s in range(0, len(ok), max(1, batch_size)):
-        idx = ok[s:s + batch_size]
-        try:
-            out = np.asarray(model(np.stack([rows[i] for i in idx])), dtype=np.float64)
-            for k, i in enumerate(idx):
-                feats[i] = out[k].tolist()
-        except Exception as e:  # noqa: BLE001 - a failed batch becomes NULL features
-            for i in idx:
-                errs[i] = f"model: {type(e).__name__}: {e}"[:500]
+        else:
+            shapes.setdefault(r.shape, []).append(i)
+
+    def run(idx: list[int]) -> None:
+        out = np.asarray(model(np.stack([rows[i] for i in idx])), dtype=np.float64)
+        for k, i in enumerate(idx):
+            feats[i] = out[k].tolist()
+
+    for same in shapes.values():
+        for s in range(0, len(same), max(1, batch_size)):
+            idx = same[s:s + max(1, batch_size)]
+            try:
+                run(idx)
+            except Exception:  # noqa: BLE001 - find the rows that fail
+                for i in idx:
+                    try:
+                        run([i])
+                    except Exception as e:  # noqa: BLE001 - a failed row becomes NULL features
+                        feats[i], errs[i] = None, _error("model", e)
     return feats, errs
 
 
@@ -108,24 +124,7 @@ def _vector_udf(factory: ModelFactory, batch_size: int):
     def run(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = _model(factory)
         for s in it:
-            mat = None
-            if len(s) and not s.isna().any():
-                try:  # the common case: one matrix for the whole batch, no per-row work
-                    mat = np.stack(s.to_numpy()).astype(np.float64)
-                except ValueError:
-                    mat = None
-            if mat is not None and mat.ndim == 2 and mat.shape[1] and not np.isnan(mat).any():
-                feats, errs = [], []
-                for start in range(0, len(mat), max(1, batch_size)):
-                    chunk = mat[start:start + batch_size]
-                    try:
-                        feats.extend(np.asarray(model(chunk), dtype=np.float64).tolist())
-                        errs.extend([None] * len(chunk))
-                    except Exception as e:  # noqa: BLE001 - a failed batch becomes NULL features
-                        feats.extend([None] * len(chunk))
-                        errs.extend([f"model: {type(e).__name__}: {e}"[:500]] * len(chunk))
-            else:
-                feats, errs = _run_model(model, _vector_rows(s), batch_size)
+            feats, errs = _run_model(model, _vector_rows(s), batch_size)
             yield pd.DataFrame({"features": feats, "error": errs})
     return run
 
@@ -181,7 +180,7 @@ def _bytes_udf(factory: ModelFactory, batch_size: int, size: int):
                 try:
                     rows.append(bytes_to_array(d, size))
                 except Exception as e:  # noqa: BLE001
-                    rows.append(f"decode: {type(e).__name__}: {e}"[:500])
+                    rows.append(_error("decode", e))
             feats, errs = _run_model(model, rows, batch_size)
             yield pd.DataFrame({"features": feats, "error": errs})
     return run
@@ -197,7 +196,7 @@ def _image_udf(factory: ModelFactory, batch_size: int, size: int):
                 try:
                     rows.append(image_to_array(h, w, c, d, size))
                 except Exception as e:  # noqa: BLE001
-                    rows.append(f"decode: {type(e).__name__}: {e}"[:500])
+                    rows.append(_error("decode", e))
             feats, errs = _run_model(model, rows, batch_size)
             yield pd.DataFrame({"features": feats, "error": errs})
     return run
@@ -225,19 +224,24 @@ def featurize(df: DataFrame, model_fn: ModelFactory, input_col: str, batch_size:
             .drop("_fz"))
 
 
+def escape_glob(path: str) -> str:
+    """A path that Spark's readers take literally."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def read_images(spark, root, glob: str = "*") -> DataFrame:
     """Spark's image source (decodes on the JVM; invalid files kept with height -1)
     plus split / class / file name from ``root/{split}/{label}/{file}``.
-    ``root`` is a folder or a list of image paths."""
+    ``root`` is a folder or a list of image paths (taken as they are, not as globs)."""
+    from lumisort.sources.files import path_columns, path_of_uri
     reader = spark.read.format("image").option("dropInvalid", "false")
     if isinstance(root, str):
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    else:
+        root = [escape_glob(p) for p in root]
     r = reader.load(root)
-    parts = F.split(F.col("image.origin"), "/")
-    n = F.size(parts)
-    return r.select(F.col("image.origin").alias("path"), F.element_at(parts, n - 2).alias("split"),
-                    F.element_at(parts, n - 1).alias("label_name"), F.element_at(parts, n).alias("file_name"),
-                    "image")
+    return r.select(path_of_uri("image.origin").alias("path"), "image").select(
+        "path", *path_columns("path"), "image")
 
 
 def failure_count(df: DataFrame, error_col: str = "error") -> DataFrame:

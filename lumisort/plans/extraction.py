@@ -1,54 +1,93 @@
 """Feature extraction as one job: list images, skip those already done,
-featurise the rest, append to the feature table."""
+featurise the rest, add them to the feature table.
+
+An image is known by (split, class, name).  The folder is listed without reading
+contents, the listing is anti-joined with the keys already extracted, and the
+narrow todo list is stored once in the shared folder.  Its files are then read in
+chunks of ``chunk_files``, each chunk a distributed job over exactly those files; the
+driver holds the paths of one chunk at a time.
+"""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.functions.naming import basename, stem
+from lumisort.functions.naming import stem
 from lumisort.operators.featurize import featurize, read_images
 from lumisort.operators.joins import skip_existing
-from lumisort.operators.ranking import small_table
+from lumisort.session import durable, remove_scratch, scratch_path
 from lumisort.sinks.writers import write_features
+from lumisort.sources.files import read_image_tree
+
+KEY = ["split", "label_name", "file_name"]
+CHUNK_FILES = 20_000
 
 
 def _feature_name(c):
     return F.concat(stem(c), F.lit(".json"))
 
 
+def todo_images(spark: SparkSession, image_root: str, done: DataFrame | None, glob: str = "*") -> DataFrame:
+    """(path, split, label_name, file_name) of the images whose features are not in
+    ``done``, by those of the key columns that ``done`` has (``file_name`` at least)."""
+    listing = (read_image_tree(spark, image_root, glob, with_content=False)
+               .withColumn("file_name", _feature_name("file_name")))
+    if done is None:
+        return listing
+    keys = [c for c in KEY if c in done.columns]
+    return skip_existing(listing, done.select(*keys), keys)
+
+
 def extract_all(spark: SparkSession, image_root: str, out_path: str, model_fn, existing: DataFrame | None = None,
                 retry_failed: bool = False, batch_size: int = 64, image_size: int = 224, glob: str = "*",
-                write: bool = True) -> DataFrame:
-    """Features for every image not yet extracted.
-
-    Skip-existing runs before any decoding: the folder is listed without
-    reading file contents and anti-joined with the existing names.  When the
-    remaining list is provably small (``lumisort.broadcast.maxRows``), only
-    those files are read and decoded; otherwise every file is read and the
-    anti join filters the decoded rows before inference (Catalyst does not move
-    a Python UDF past a join, so the order written here is the order executed).
-    With ``retry_failed`` earlier failures (NULL features) are extracted again."""
-    done = None
-    if existing is not None:
-        done = (existing.where(F.col("features").isNotNull()) if retry_failed else existing).select("file_name")
-    if done is None:
-        imgs = read_images(spark, image_root, glob)
+                write: bool = True, chunk_files: int = CHUNK_FILES) -> DataFrame:
+    """Features for every image not yet extracted; returns the rows of this run as written.
+
+    With ``retry_failed`` earlier failures (NULL features) are extracted again and
+    the new rows replace them.  Without ``write`` the rows stay in a scratch table
+    under the shared folder."""
+    done = existing
+    if existing is not None and retry_failed:
+        done = existing.where(F.col("features").isNotNull())
+    todo = durable(todo_images(spark, image_root, done, glob))
+    chunks = max(1, math.ceil(todo.count() / max(1, chunk_files)))
+    todo = todo.withColumn("_chunk", F.pmod(F.xxhash64("path"), F.lit(chunks)))
+    staged = scratch_path(spark, "extracted")
+    schema = None
+    for k in range(chunks):
+        paths = [r["path"] for r in todo.where(F.col("_chunk") == k).select("path").collect()]  # one chunk
+        if not paths and schema is not None:
+            continue
+        imgs = read_images(spark, paths) if paths else read_images(spark, image_root, glob).limit(0)
+        imgs = imgs.withColumn("file_name", _feature_name("file_name"))
+        feats = featurize(imgs, model_fn, "image", batch_size, image_size=image_size)
+        out = feats.select("file_name", "label_name", "split", "features", "error")
+        schema = out.schema
+        out.write.mode("append").parquet(staged)
+    new = spark.read.schema(schema).parquet(staged)
+    if not write:
+        return new
+    if existing is not None and retry_failed:
+        _replace(spark, new, out_path)
     else:
-        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                   .option("pathGlobFilter", glob).load(image_root).select("path")
-                   .withColumn("file_name", _feature_name(basename(F.col("path")))))
-        _todo, rows = small_table(skip_existing(listing, done).select("path"), order_col="path")
-        if rows is not None:
-            paths = [r["path"] for r in rows]
-            imgs = read_images(spark, paths) if paths else read_images(spark, image_root, glob).limit(0)
-        else:
-            imgs = read_images(spark, image_root, glob)
-            keyed = imgs.withColumn("_fname", _feature_name(F.col("file_name")))
-            imgs = keyed.join(done.select(F.col("file_name").alias("_fname")), "_fname", "left_anti").drop("_fname")
-    imgs = imgs.withColumn("file_name", _feature_name(F.col("file_name")))
-    feats = featurize(imgs, model_fn, "image", batch_size, image_size=image_size)
-    out = feats.select("file_name", "label_name", "split", "features", "error")
-    if write:
-        write_features(out, out_path, fmt="parquet", mode="append")
-    return out
+        write_features(new, out_path, fmt="parquet", mode="append")
+    written = spark.read.schema(new.schema).parquet(out_path).join(todo.select(*KEY), KEY, "left_semi")
+    remove_scratch(spark, staged)
+    return written.select(*new.columns)
+
+
+def _replace(spark: SparkSession, new: DataFrame, out_path: str) -> None:
+    """New rows take the place of rows with the same key; only the class folders they
+    touch are written again."""
+    old = spark.read.schema(new.schema).parquet(out_path)
+    touched = new.select("split", "label_name").distinct()
+    kept = old.join(touched, ["split", "label_name"], "left_semi").join(new.select(*KEY), KEY, "left_anti")
+    merged = scratch_path(spark, "replaced")
+    kept.select(*new.columns).unionByName(new).write.parquet(merged)
+    (spark.read.schema(new.schema).parquet(merged).hint("rebalance", "split", "label_name")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("split", "label_name")
+     .parquet(out_path))
+    remove_scratch(spark, merged)

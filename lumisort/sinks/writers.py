@@ -19,8 +19,9 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     of ``featurize``): the writer itself only appends.  ``fmt='json'`` writes JSON
     lines ``{file_name, features, ...}`` readable by ``read_feature_json(layout='lines')``.
     """
-    w = df.write.mode(mode)
     cols = [c for c in partition_by if c in df.columns]
+    # rows of a class meet in few tasks (large classes in several), so folders get few files
+    w = (df.hint("rebalance", *cols) if cols else df).write.mode(mode)
     if cols:
         w = w.partitionBy(*cols)
     if fmt == "parquet":
@@ -36,13 +37,12 @@ def dedupe_names(df: DataFrame, label_col: str = "label_name") -> DataFrame:
     split keeps the copy of the smallest class name.  The duplicated names are
     found on the narrow key columns; when they are provably few they are
     broadcast and the wide rows are filtered in place, otherwise joined by name."""
-    from lumisort.operators.ranking import small_table
+    from lumisort.operators.ranking import sized
     dups = (df.groupBy("split", "file_name").agg(F.count(F.lit(1)).alias("_c"), F.min(label_col).alias("_keep"))
             .where(F.col("_c") > 1).select(F.col("split").alias("_ds"), F.col("file_name").alias("_dn"), "_keep"))
-    dups, rows = small_table(dups, order_col="_dn")
-    if rows is not None and not rows:
+    dups, n = sized(dups)
+    if not n:
         return df
-    dups = F.broadcast(dups) if rows is not None else dups
     cond = (df["split"].eqNullSafe(dups["_ds"])) & (df["file_name"] == dups["_dn"])
     joined = df.join(dups, cond, "left")
     # unique names pass untouched; only the duplicated ones are deduplicated
@@ -54,11 +54,12 @@ def dedupe_names(df: DataFrame, label_col: str = "label_name") -> DataFrame:
 
 def flatten_for_ova(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> DataFrame:
     """One flat folder per split, no class level.  A name that occurs in two
-    classes of one split is kept once (the reference's copy overwrote it)."""
+    classes of one split is kept once (the reference's copy overwrote it).  Returns
+    the written table."""
     flat = dedupe_names(df)
-    w = flat.write.mode(mode).partitionBy("split")
+    w = flat.hint("rebalance", "split").write.mode(mode).partitionBy("split")
     (w.parquet if fmt == "parquet" else w.json)(path)
-    return flat
+    return df.sparkSession.read.schema(flat.schema).format(fmt).load(path).select(*flat.columns)
 
 
 def write_predictions(df: DataFrame, path: str, mode: str = "overwrite") -> None:

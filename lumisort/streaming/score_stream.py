@@ -8,7 +8,7 @@ independent, and the checkpoint makes the sink exactly-once across restarts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,22 +20,41 @@ from lumisort.operators.models import LinearModel, predict
 def score_frame(df: DataFrame, model: LinearModel, names: tuple[str, str], features_col: str = "features",
                 model_fn=None, input_col: str | None = None, batch_size: int = 64) -> DataFrame:
     """Batch or streaming: reply rows ``success``, ``prediction`` (class name),
-    ``margin``.  ``names`` = (class for 0, class for 1)."""
+    ``margin``, ``error`` (NULL on success).  ``names`` = (class for 0, class for 1).
+    A row succeeds if it has a prediction."""
     d = df
     if model_fn is not None:
         d = featurize(d, model_fn, input_col or "image", batch_size, output_col=features_col)
     d = predict(model, d, features_col)
     neg, pos = names
-    return (d.withColumn("success", F.col(features_col).isNotNull())
+    found = F.col("prediction").isNotNull()
+    size = F.size(F.col(features_col))
+    why = F.when(F.col(features_col).isNull(), F.lit("features: NULL vector")).otherwise(
+        F.concat(F.lit("features: length "), size.cast("string"), F.lit(f" instead of {len(model.weights)}")))
+    if "error" in d.columns:
+        why = F.coalesce(F.col("error"), why)
+    return (d.withColumn("error", F.when(~found, why)).withColumn("success", found)
             .withColumn("prediction", prediction_to_class(F.col("prediction"), neg, pos)))
 
 
+def stream_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table as a stream, be it a folder of part files or a single file."""
+    reader = spark.readStream.schema(schema)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        raise FileNotFoundError(path)
+    if fs.getFileStatus(p).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", p.getName()).parquet(p.getParent().toString())
+
+
 def score_stream(stream_df: DataFrame, model: LinearModel, names: tuple[str, str], sink_path: str,
                  checkpoint: str, keep=("file_name",), fmt: str = "parquet", available_now: bool = True,
                  **kw) -> StreamingQuery:
     """Start the scoring stream into ``sink_path`` (``checkpoint`` in the shared folder)."""
     scored = score_frame(stream_df, model, names, **kw)
-    cols = [c for c in keep if c in scored.columns] + ["success", "prediction", "margin"]
+    cols = [c for c in keep if c in scored.columns] + ["success", "prediction", "margin", "error"]
     w = (scored.select(*cols).writeStream.format(fmt).option("checkpointLocation", checkpoint)
          .option("path", sink_path).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

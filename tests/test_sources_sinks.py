@@ -105,3 +105,49 @@ def test_dedupe_names_keeps_one_copy(spark):
     assert got == [("test", "a.json", "x"), ("train", "a.json", "x"), ("train", "b.json", "x")]
     clean = df.where("file_name = 'b.json'")
     assert dedupe_names(clean).count() == 1
+
+
+def test_archives_are_unpacked_once_and_problems_reported(spark, tmp_dir, monkeypatch):
+    import tarfile
+
+    from lumisort.plans.raw_split import split_archives
+    names = [f"Persian_{i}.jpg" for i in range(9)]
+    archive(os.path.join(tmp_dir, "a.tar.gz"), names)
+    with open(os.path.join(tmp_dir, "broken.tar.gz"), "wb") as f:
+        f.write(b"\x1f\x8bnot a gzip stream")
+    with tarfile.open(os.path.join(tmp_dir, "flat.tar.gz"), "w:gz") as tf:
+        info = tarfile.TarInfo("no_root_1.jpg")
+        info.size = 0
+        tf.addfile(info)
+    log = os.path.join(tmp_dir, "unpacked.log")
+    original = SRC._explode_archives
+
+    def counted(batches):
+        def watched():
+            for pdf in batches:
+                with open(log, "a") as f:
+                    f.writelines(f"{p}\n" for p in pdf["path"])
+                yield pdf
+        yield from original(watched())
+
+    monkeypatch.setattr(SRC, "_explode_archives", counted)
+    for k, again in enumerate((None, 0.3)):
+        if os.path.exists(log):
+            open(log, "w").close()
+        out, problems = os.path.join(tmp_dir, f"layout{k}"), os.path.join(tmp_dir, f"problems{k}")
+        df = split_archives(spark, tmp_dir, 0.6, out_path=out, rebalance_to=again, problems_path=problems)
+        assert df.count() == 9
+        seen = open(log).read().split()
+        assert len(seen) == 3 and len(set(seen)) == 3
+        reasons = {os.path.basename(r.archive): r.reason for r in spark.read.json(problems).collect()}
+        assert set(reasons) == {"broken.tar.gz", "flat.tar.gz"} and reasons["flat.tar.gz"] == "no root folder"
+
+
+def test_names_of_per_file_features(spark, tmp_dir):
+    names = {"x [1]_2.json": "a b", "p+q_3.json": "c%41", "r_4.json": "plain"}
+    for name, folder in names.items():
+        os.makedirs(os.path.join(tmp_dir, folder))
+        with open(os.path.join(tmp_dir, folder, name), "w") as f:
+            f.write("[1.0, 2.0]")
+    got = {r.file_name: r.folder for r in SRC.read_feature_json(spark, tmp_dir).collect()}
+    assert got == names
