@@ -10,7 +10,7 @@ import math
 
 from lumisort.sources.samples import CLASS_NAMES, FAILED_EXTRACTION_MOD, FAILED_EXTRACTION_REM
 
-# The reference's grid: four classes, three cutoffs (notebook section 3.3).
+# The parameters of the reference's grid, four classes and three cutoffs.
 GRID_CLASSES = ["Ragdoll", "Siamese", "Persian", "Egyptian_Mau"]
 GRID_CUTOFFS = [0.3, 0.6, 0.9]
 OVO_PAIR = ("Persian", "Ragdoll")
@@ -25,11 +25,6 @@ def probe_weights(d: int = EMBEDDING_DIM) -> list[float]:
     return [round(math.sin(j + 1), 3) for j in range(d)]
 
 
-def projection_weight(i: int, j: int) -> float:
-    """Default feature model: fixed projection matrix W[i][j] = ((7i + 13j) mod 17 - 8) / 8."""
-    return ((7 * i + 13 * j) % 17 - 8) / 8.0
-
-
 def sql_list(values) -> str:
     return "[" + ", ".join(repr(float(v)) for v in values) + "]::DOUBLE[]"
 
@@ -74,3 +69,73 @@ def rebalance_cte(name: str, src: str, cutoff: float, seed=SEED) -> str:
 
 def samples_ctes(cutoff: float = 0.8) -> str:
     return "WITH " + NAMED_CTE + ",\n" + positional_cte("samples", "named", cutoff)
+
+
+# ---------------------------------------------------------------- fits in SQL
+# ``prob`` below is a CTE (pid, file_name, split, label 0/1, x DOUBLE[]): the rows
+# of one or more binary problems.  The fits are recursive CTEs over whole batches.
+
+def svm_cte(iterations: int, tolerance: float, reg: float = 0.1, step: float = 1.0, d: int = EMBEDDING_DIM) -> str:
+    """``svm(pid, w)``: batch subgradient descent on hinge loss + L2, step / sqrt(t), as the
+    reference's solver runs it; stops when a step is below ``tolerance`` (0: never)."""
+    return f"""
+trn AS (SELECT pid, 2 * label - 1 AS s, x, count(*) OVER (PARTITION BY pid) AS n FROM prob WHERE split = 'train'),
+walk(pid, i, w, done) AS (
+  SELECT DISTINCT pid, 0, list_transform(range({d}), lambda j: 0.0::DOUBLE), false FROM trn
+  UNION ALL
+  SELECT pid, i + 1, list(v ORDER BY j),
+         i >= 1 AND sqrt(sum((v - u) * (v - u))) < {tolerance!r} * greatest(sqrt(sum(v * v)), 1.0)
+  FROM (SELECT pid, i, j, any_value(w[j]) AS u,
+               any_value(w[j]) * (1 - {step!r} / sqrt(i + 1) * {reg!r}) + {step!r} / sqrt(i + 1) * sum(c * x[j]) / any_value(n) AS v
+        FROM (SELECT walk.pid, i, w, x, n, CASE WHEN 1 > s * list_dot_product(w, x) THEN s ELSE 0.0 END AS c
+              FROM walk JOIN trn ON walk.pid = trn.pid WHERE NOT done AND i < {iterations}), range(1, {d + 1}) r(j)
+        GROUP BY pid, i, j)
+  GROUP BY pid, i),
+svm AS (SELECT pid, arg_max(w, i) AS w FROM walk GROUP BY pid)"""
+
+
+def logreg_cte(iterations: int = 800, reg: float = 0.01, d: int = EMBEDDING_DIM) -> str:
+    """``logreg(pid, w, b)``: logistic loss + L2 on standardised features (intercept free),
+    by accelerated gradient steps to the one minimum."""
+    kappa = (0.25 * (d + 1) + reg) / reg
+    beta = (kappa ** 0.5 - 1) / (kappa ** 0.5 + 1)
+    size = 1 / (0.25 * (d + 1) + reg)
+    return f"""
+raw AS (SELECT pid, label, x, count(*) OVER (PARTITION BY pid) AS n FROM prob WHERE split = 'train'),
+scale AS (SELECT pid, list(m ORDER BY j) AS m, list(s ORDER BY j) AS s FROM (
+            SELECT pid, j, avg(x[j]) AS m, stddev_samp(x[j]) AS s FROM raw, range(1, {d + 1}) r(j) GROUP BY pid, j) GROUP BY pid),
+trn AS (SELECT raw.pid, label, n, list_append(list_transform(range(1, {d + 1}), lambda j: (x[j] - m[j]) / s[j]), 1.0::DOUBLE) AS z
+        FROM raw JOIN scale ON raw.pid = scale.pid),
+walk(pid, i, w, y) AS (
+  SELECT DISTINCT pid, 0, list_transform(range({d + 1}), lambda j: 0.0::DOUBLE), list_transform(range({d + 1}), lambda j: 0.0::DOUBLE) FROM trn
+  UNION ALL
+  SELECT pid, i + 1, list(v ORDER BY j), list(v + {beta!r} * (v - u) ORDER BY j)
+  FROM (SELECT pid, i, j, any_value(w[j]) AS u,
+               any_value(y[j]) - {size!r} * (sum(e * z[j]) / any_value(n) + CASE WHEN j <= {d} THEN {reg!r} * any_value(y[j]) ELSE 0 END) AS v
+        FROM (SELECT walk.pid, i, w, y, z, n, 1 / (1 + exp(-list_dot_product(y, z))) - label AS e
+              FROM walk JOIN trn ON walk.pid = trn.pid WHERE i < {iterations}), range(1, {d + 2}) r(j)
+        GROUP BY pid, i, j)
+  GROUP BY pid, i),
+last AS (SELECT pid, arg_max(w, i) AS w FROM walk GROUP BY pid),
+logreg AS (SELECT last.pid, list_transform(range(1, {d + 1}), lambda j: w[j] / s[j]) AS w,
+                  w[{d + 1}] - list_sum(list_transform(range(1, {d + 1}), lambda j: w[j] * m[j] / s[j])) AS b
+           FROM last JOIN scale ON last.pid = scale.pid)"""
+
+
+def problem_cte(src: str, class1: str, class0: str | None) -> str:
+    """``prob`` of one problem over ``src`` (file_name, label_name, split, features)."""
+    rows = f"label_name IN ('{class1}', '{class0}') AND " if class0 else ""
+    return f"""prob AS (SELECT 0 AS pid, file_name, split, CASE WHEN label_name = '{class1}' THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
+                 features AS x FROM {src} WHERE {rows}features IS NOT NULL AND len(features) > 0)"""
+
+
+def evaluation_sql(class1: str, class0: str | None, model: str, prediction: str) -> str:
+    """The evaluation row; ``prediction`` is a boolean expression over prob p and the model m."""
+    return f"""
+SELECT '{class1}' AS class1, '{class0 or "all"}' AS class0, '{"ovo" if class0 else "ova"}' AS mode, '{model}' AS model,
+       (SELECT count(*) FROM prob WHERE split = 'train') AS n_train, count(*) AS n_test,
+       CAST(sum(CASE WHEN {prediction} AND label = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS tp,
+       CAST(sum(CASE WHEN NOT ({prediction}) AND label = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS tn,
+       round(100.0::DOUBLE * sum(CASE WHEN ({prediction}) = (label = 1) THEN 1 ELSE 0 END) / count(*), 6) AS accuracy,
+       CAST(NULL AS VARCHAR) AS note
+FROM prob p JOIN {model} m USING (pid) WHERE split = 'test'"""

@@ -19,11 +19,15 @@ from lumisort.catalog.fixtures import (
     NAMED_CTE,
     OVO_PAIR,
     SEED,
+    evaluation_sql,
+    logreg_cte,
     positional_cte,
     probe_weights,
+    problem_cte,
     rebalance_cte,
     samples_ctes,
     sql_list,
+    svm_cte,
 )
 from lumisort.functions import naming as N
 from lumisort.functions import vectors as V
@@ -222,7 +226,7 @@ SELECT s.file_name, d.margin FROM samples s LEFT JOIN (
   SELECT file_name, round(list_dot_product(features, {W_SQL}), 6) AS margin FROM samples WHERE features IS NOT NULL
 ) d USING (file_name)""")
 def q_linear_score(spark, sf_dir):
-    s = _samples(spark, sf_dir)
+    s = embeddings_samples(spark, sf_dir, with_split=False)
     return s.select("file_name", F.round(V.linear_margin(F.col("features"), W), 6).alias("margin"))
 
 
@@ -231,14 +235,14 @@ def q_linear_score(spark, sf_dir):
 @register("distinct_labels", samples_ctes() + """
 SELECT label_name, count(*) AS n_files, min(file_name) AS first_file FROM samples GROUP BY label_name""")
 def q_distinct_labels(spark, sf_dir):
-    return A.distinct_labels(_samples(spark, sf_dir))
+    return A.distinct_labels(embeddings_samples(spark, sf_dir, with_split=False))
 
 
 @register("names_by_label", samples_ctes() + """
 SELECT label_name, file_name, CAST(row_number() OVER (PARTITION BY label_name ORDER BY file_name) AS INTEGER) AS position
 FROM samples""")
 def q_names_by_label(spark, sf_dir):
-    return A.names_by_label(_samples(spark, sf_dir))
+    return A.names_by_label(embeddings_samples(spark, sf_dir, with_split=False))
 
 
 @register("split_counts", samples_ctes() + """
@@ -278,10 +282,9 @@ _CHAIN_SQL = (samples_ctes() + ",\n" + rebalance_cte("r1", "samples", 0.3) + ",\
 
 @register("rebalance_chain", _CHAIN_SQL + "\nSELECT file_name, label_name, split FROM r3")
 def q_rebalance_chain(spark, sf_dir):
-    cur = _samples(spark, sf_dir)
-    for c in GRID_CUTOFFS:
-        cur = S.rebalance(cur, c, SEED)
-    return cur.select("file_name", "label_name", "split")
+    from lumisort.plans.grid import chained_splits
+    chain = chained_splits(_samples(spark, sf_dir).select("label_name", "file_name", "split"), GRID_CUTOFFS, SEED)
+    return chain.select("file_name", "label_name", "split")
 
 
 @register("sample_k_per_class", samples_ctes() + """
@@ -364,7 +367,7 @@ SELECT pair_idx, class1, class0, cutoff_idx, cutoff,
 FROM pairs, cuts""")
 def q_grid_points(spark, sf_dir):
     # the pairs come from the grid's class list, validated against the data's classes
-    present = _samples(spark, sf_dir).select("label_name").distinct()
+    present = embeddings_samples(spark, sf_dir, with_split=False).select("label_name").distinct()
     pairs = J.class_pairs(spark, GRID_CLASSES)
     pairs = pairs.join(present.withColumnRenamed("label_name", "class1"), "class1", "left_semi")
     pairs = pairs.join(present.withColumnRenamed("label_name", "class0"), "class0", "left_semi")
@@ -382,7 +385,7 @@ FROM pairs p LEFT JOIN c c1 ON c1.label_name = p.class1 LEFT JOIN c c0 ON c0.lab
 def q_pair_counts(spark, sf_dir):
     counts = A.split_counts(_samples(spark, sf_dir))
     pairs = J.class_pairs(spark, GRID_CLASSES)
-    return J.pair_counts(pairs, counts, len(GRID_CLASSES) + 64).select(
+    return J.pair_counts(pairs, counts, len(GRID_CLASSES)).select(
         F.col("pair_idx").cast("int"), "class1", "class0", "class1_n_train", "class1_n_test",
         "class0_n_train", "class0_n_test")
 
@@ -463,48 +466,169 @@ def q_accuracy_pivot(spark, sf_dir):
     return piv.select("class1", "class0", *[F.round(F.col(f"`{c}`"), 6).alias(c) for c in piv.columns[2:]])
 
 
-# ------------------------------------------- fitted models (rows-only checks)
+# ---------------------------------------------------------- fitted models
+# The SQL twins fit the same problems on their own: the reference's solver step by
+# step for MLlib's, the same descent run on for the solvers that go to the minimum.
 
 def _eval_row(df, class1, class0, mode, model="svm", solver="owlqn"):
     from lumisort.plans.evaluate import evaluate
     row, _ = evaluate(df, class1, class0, mode, model, solver=solver)
-    return row
+    return row.withColumn("accuracy", F.round("accuracy", 6))
+
+
+_SVM_TO_MINIMUM = svm_cte(600, 0.0)
+_SVM_HIT = "list_dot_product(m.w, p.x) > 0"
+_POSITIONAL_06 = "WITH RECURSIVE " + NAMED_CTE + ",\n" + positional_cte("s6", "named", 0.6) + ",\n"
+_REBALANCED_06 = (samples_ctes().replace("WITH ", "WITH RECURSIVE ", 1) + ",\n" + rebalance_cte("r6", "samples", 0.6) + ",\n")
+
 
+def _positional_06(spark, sf_dir):
+    return S.split_positional(embeddings_samples(spark, sf_dir, with_split=False), 0.6)
 
-@register("svm_ovo")
+
+@register("svm_ovo", _POSITIONAL_06 + problem_cte("s6", *OVO_PAIR) + "," + _SVM_TO_MINIMUM
+          + evaluation_sql(*OVO_PAIR, "svm", _SVM_HIT))
 def q_svm_ovo(spark, sf_dir):
     """Positional split 0.6, linear SVM Persian vs Ragdoll, test accuracy."""
-    s = S.split_positional(embeddings_samples(spark, sf_dir, with_split=False), 0.6)
-    return _eval_row(s, OVO_PAIR[0], OVO_PAIR[1], "ovo")
+    return _eval_row(_positional_06(spark, sf_dir), OVO_PAIR[0], OVO_PAIR[1], "ovo")
 
 
-@register("svm_sgd_ovo")
+@register("svm_sgd_ovo", _POSITIONAL_06 + problem_cte("s6", *OVO_PAIR) + "," + svm_cte(100, 0.001)
+          + evaluation_sql(*OVO_PAIR, "svm", _SVM_HIT))
 def q_svm_sgd_ovo(spark, sf_dir):
     """The same problem with the reference's solver (MLlib SGD)."""
-    s = S.split_positional(embeddings_samples(spark, sf_dir, with_split=False), 0.6)
-    return _eval_row(s, OVO_PAIR[0], OVO_PAIR[1], "ovo", solver="sgd")
+    return _eval_row(_positional_06(spark, sf_dir), OVO_PAIR[0], OVO_PAIR[1], "ovo", solver="sgd")
 
 
-@register("svm_ova")
+@register("svm_ova", _REBALANCED_06 + problem_cte("r6", "Persian", None) + "," + _SVM_TO_MINIMUM
+          + evaluation_sql("Persian", None, "svm", _SVM_HIT))
 def q_svm_ova(spark, sf_dir):
     """One-vs-all (Persian vs every other class) after a 0.6 rebalance."""
     s = S.rebalance(_samples(spark, sf_dir), 0.6, SEED)
     return _eval_row(s, "Persian", None, "ova")
 
 
-@register("logreg_ovo")
+@register("logreg_ovo", _REBALANCED_06 + problem_cte("r6", *OVO_PAIR) + "," + logreg_cte()
+          + evaluation_sql(*OVO_PAIR, "logreg", "list_dot_product(m.w, p.x) + m.b > 0"))
 def q_logreg_ovo(spark, sf_dir):
     """Logistic regression, one-vs-one, after a 0.6 rebalance."""
     s = S.rebalance(_samples(spark, sf_dir), 0.6, SEED)
     return _eval_row(s, OVO_PAIR[0], OVO_PAIR[1], "ovo", model="logreg")
 
 
-@register("svm_grid")
+@register("logreg_predictions", _REBALANCED_06 + problem_cte("r6", *OVO_PAIR) + "," + logreg_cte() + """
+SELECT file_name, label, round(1 / (1 + exp(-(list_dot_product(m.w, p.x) + m.b))), 3) AS probability,
+       CASE WHEN list_dot_product(m.w, p.x) + m.b > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+FROM prob p JOIN logreg m USING (pid) WHERE split = 'test'""")
+def q_logreg_predictions(spark, sf_dir):
+    """Logistic regression test predictions: label, probability of class 1,
+    prediction (the reference's ``select('label','probability','prediction')``)."""
+    from lumisort.plans.evaluate import fit
+    prob = P.select_problem(S.rebalance(_samples(spark, sf_dir), 0.6, SEED), OVO_PAIR[0], OVO_PAIR[1], "ovo")
+    m = fit(prob.where(F.col("split") == "train"), "logreg")
+    test = predict(m, prob.where(F.col("split") == "test"))
+    return test.select("file_name", "label", F.round("probability", 3).alias("probability"), "prediction")
+
+
+def _grid_fit_sql() -> str:
+    labels = [f"{c}/{round(1 - c, 2)}" for c in GRID_CUTOFFS]
+    steps, src = [], "samples"
+    for i, c in enumerate(GRID_CUTOFFS):
+        steps.append(rebalance_cte(f"r{i}", src, c))
+        src = f"r{i}"
+    states = " UNION ALL ".join(f"SELECT {i} AS cut, file_name, label_name, split, features FROM r{i}"
+                                for i in range(len(GRID_CUTOFFS)))
+    cols = ", ".join(f"round(max(CASE WHEN cut = {i} THEN accuracy END), 6) AS \"{lab}\"" for i, lab in enumerate(labels))
+    return (samples_ctes().replace("WITH ", "WITH RECURSIVE ", 1) + ",\n" + ",\n".join(steps) + ",\n" + _pairs_sql() + f""",
+states AS ({states}),
+prob AS (SELECT s.cut * 100 + p.pair_idx AS pid, s.cut, p.class1, p.class0, file_name, split, features AS x,
+                CASE WHEN label_name = p.class1 THEN 1.0 ELSE 0.0 END::DOUBLE AS label
+         FROM states s JOIN pairs p ON s.label_name IN (p.class1, p.class0) WHERE features IS NOT NULL AND len(features) > 0),
+""" + svm_cte(400, 0.0) + f""",
+acc AS (SELECT class1, class0, cut, 100.0::DOUBLE * sum(CASE WHEN ({_SVM_HIT}) = (label = 1) THEN 1 ELSE 0 END) / count(*) AS accuracy
+        FROM prob p JOIN svm m USING (pid) WHERE split = 'test' GROUP BY class1, class0, cut)
+SELECT class1, class0, {cols} FROM acc GROUP BY class1, class0""")
+
+
+@register("svm_grid", _grid_fit_sql())
 def q_svm_grid(spark, sf_dir):
     """The reference's grid: 3 chained cutoffs x 6 pairs = 18 fits, pivoted."""
     from lumisort.plans.grid import grid_table, run_grid
     res = run_grid(_samples(spark, sf_dir), GRID_CLASSES, GRID_CUTOFFS, mode="ovo", parallelism=9, seed=SEED)
-    return grid_table(res, GRID_CUTOFFS)
+    piv = grid_table(res, GRID_CUTOFFS)
+    return piv.select("class1", "class0", *[F.round(F.col(f"`{c}`"), 6).alias(c) for c in piv.columns[2:]])
+
+
+_OVERLAP_SQL = "WITH RECURSIVE " + NAMED_CTE + ",\n" + positional_cte("a", "named", 0.8) + ",\n" + \
+    positional_cte("b", "named", 0.5) + """,
+mixed AS (SELECT * FROM a WHERE split = 'train' UNION ALL
+         SELECT * FROM b WHERE split = 'test' AND file_name NOT IN (SELECT file_name FROM a WHERE split = 'train')),
+"""
+
+
+@register("evaluate_overlap", _OVERLAP_SQL + problem_cte("mixed", *OVO_PAIR) + "," + _SVM_TO_MINIMUM
+          + evaluation_sql(*OVO_PAIR, "svm", _SVM_HIT))
+def q_evaluate_overlap(spark, sf_dir):
+    """Evaluation of a table that holds names in both splits: they are trained on only."""
+    s = embeddings_samples(spark, sf_dir, with_split=False)
+    both = (S.split_positional(s, 0.8).where(F.col("split") == "train")
+            .unionByName(S.split_positional(s, 0.5).where(F.col("split") == "test")))
+    return _eval_row(both, OVO_PAIR[0], OVO_PAIR[1], "ovo")
+
+
+@register("model_roundtrip", _POSITIONAL_06 + problem_cte("s6", *OVO_PAIR) + "," + _SVM_TO_MINIMUM + f"""
+SELECT file_name, label, CASE WHEN {_SVM_HIT} THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+FROM prob p JOIN svm m USING (pid) WHERE split = 'test'""")
+def q_model_roundtrip(spark, sf_dir):
+    """Test predictions of a fitted model that was saved and loaded again."""
+    from lumisort.operators.models import load_model, save_model
+    from lumisort.plans.evaluate import fit
+    from lumisort.session import remove_scratch, scratch_path
+    prob = P.select_problem(_positional_06(spark, sf_dir), OVO_PAIR[0], OVO_PAIR[1], "ovo")
+    path = scratch_path(spark, "model")
+    save_model(fit(prob.where(F.col("split") == "train")), path)
+    model = load_model(path)
+    remove_scratch(spark, path)
+    return predict(model, prob.where(F.col("split") == "test")).select("file_name", "label", "prediction")
+
+
+@register("run_summary", _POSITIONAL_06 + problem_cte("s6", *OVO_PAIR) + "," + _SVM_TO_MINIMUM + f""",
+row AS ({evaluation_sql(*OVO_PAIR, "svm", _SVM_HIT)})
+SELECT class1, class0, 0.6::DOUBLE AS cutoff, round(100.0::DOUBLE * n_train / (n_train + n_test), 6) AS train_pct,
+       printf('%.2f', accuracy) AS accuracy_text, accuracy FROM row""")
+def q_run_summary(spark, sf_dir):
+    """The summary of one run, written as JSON and read back (K6, P16, P17)."""
+    from lumisort.session import durable, remove_scratch, scratch_path
+    from lumisort.sinks.writers import write_run_summary
+    path = scratch_path(spark, "run-summary")
+    write_run_summary(_eval_row(_positional_06(spark, sf_dir), OVO_PAIR[0], OVO_PAIR[1], "ovo"), path, 0.6)
+    back = durable(spark.read.schema("class1 string, class0 string, cutoff double, train_pct double, "
+                                     "accuracy_text string, accuracy double").json(path))
+    remove_scratch(spark, path)
+    return back.withColumn("train_pct", F.round("train_pct", 6))
+
+
+@register("predictions_roundtrip", samples_ctes() + "," + _PRED_SQL + """
+SELECT file_name, label, prediction FROM pred WHERE split = 'test'""")
+def q_predictions_roundtrip(spark, sf_dir):
+    """Predictions written as JSON lines and read back (K5)."""
+    from lumisort.session import durable, remove_scratch, scratch_path
+    from lumisort.sinks.writers import write_predictions
+    path = scratch_path(spark, "predictions")
+    write_predictions(_probe_predictions(_samples(spark, sf_dir), "Persian", None, "ova").where(F.col("split") == "test"), path)
+    back = durable(spark.read.schema("file_name string, label double, prediction double").json(path))
+    remove_scratch(spark, path)
+    return back
+
+
+@register("vector_forms", "WITH " + NAMED_CTE + """
+SELECT file_name, CAST(len(features) AS BIGINT) AS n, round(list_sum(features), 6) AS total FROM named WHERE features IS NOT NULL""")
+def q_vector_forms(spark, sf_dir):
+    """Arrays to ML vectors and back (P12, P18)."""
+    s = embeddings_samples(spark, sf_dir, with_split=False).where(F.col("features").isNotNull())
+    s = s.select("file_name", V.from_ml_vector(V.to_ml_vector("features")).alias("v"))
+    return s.select("file_name", F.size("v").cast("long").alias("n"),
+                    F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
 # ---------------------------------------------------- featurise and stream
@@ -530,28 +654,74 @@ def q_featurize_projection(spark, sf_dir):
         "vec_id", F.col("dim").cast("long"), F.round("value", 5).alias("value"))
 
 
+@register("featurize_failures", """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 10 = 5 THEN NULL WHEN vec_id % 10 = 3 THEN list_slice(e, 1, 63) ELSE e END AS x
+  FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),
+f AS (SELECT vec_id, x IS NULL OR len(x) <> 64 AS failed, x FROM v)
+SELECT vec_id, failed, CASE WHEN NOT failed THEN round(list_sum(list_transform(range(64),
+         lambda i: x[i + 1] * list_sum(list_transform(range(8), lambda j: (((7 * i + 13 * j) % 17) - 8) / 8.0)))), 5) END AS total FROM f""")
+def q_featurize_failures(spark, sf_dir):
+    """Rows that cannot be processed (missing or short vectors) fail alone: no
+    features, an error, and the rest of their batch unharmed."""
+    from lumisort.catalog.fixtures import EMBEDDING_DIM, PROJECTION_DIM
+    from lumisort.operators.featurize import featurize, projection_model
+    k = F.col("vec_id") % 10
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", F.when(k == 5, F.lit(None)).when(
+        k == 3, F.slice("embedding", 1, EMBEDDING_DIM - 1)).otherwise(F.col("embedding")).alias("v"))
+    f = featurize(emb, projection_model(EMBEDDING_DIM, PROJECTION_DIM), "v", batch_size=64)
+    return f.select("vec_id", (F.col("features").isNull() & F.col("error").isNotNull()).alias("failed"),
+                    F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
+
+
+def _image_sql() -> str:
+    from lumisort.operators.featurize import BGR_MEANS
+    return f"""WITH px AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(abs(x) * 1000) % 256) AS b FROM embeddings),
+cell AS (SELECT vec_id, r, c, k, b[(2 * r) * 8 + 2 * c + 1] - [{', '.join(map(repr, BGR_MEANS))}][k + 1] AS v
+         FROM px, range(4) a(r), range(4) d(c), range(3) e(k))
+SELECT vec_id, CAST(j AS BIGINT) AS dim, CASE WHEN vec_id % 25 <> 4 THEN
+         round(sum(v * (((7 * ((r * 4 + c) * 3 + k) + 13 * j) % 17) - 8) / 8.0), 6) END AS value
+FROM cell, range(5) o(j) GROUP BY vec_id, j"""
+
+
+@register("image_featurize", _image_sql())
+def q_image_featurize(spark, sf_dir):
+    """Image steps on given data: 8 x 8 grey images made of the embeddings, some
+    with a byte missing; three channels, resize to 4 x 4, mean-centred, model."""
+    from lumisort.operators.featurize import featurize, projection_model
+    hexes = F.transform("embedding", lambda x: F.lpad(F.hex((F.floor(F.abs(x.cast("double")) * 1000) % 256).cast("bigint")), 2, "0"))
+    data = F.unhex(F.array_join(hexes, ""))
+    data = F.when(F.col("vec_id") % 25 == 4, F.substring(data, 1, 63)).otherwise(data)
+    img = F.struct(F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), data.alias("data"))
+    f = featurize(table(spark, sf_dir, "embeddings").select("vec_id", img.alias("image")), projection_model(48, 5), "image",
+                  image_size=4)
+    five = F.coalesce("features", F.array_repeat(F.lit(None).cast("double"), 5))
+    return f.select("vec_id", F.posexplode(five).alias("dim", "value")).select(
+        "vec_id", F.col("dim").cast("long"), F.round("value", 6).alias("value"))
+
+
 @register("stream_score", samples_ctes() + f"""
 SELECT n.file_name, n.features IS NOT NULL AS success,
        CASE WHEN d.margin IS NULL THEN NULL WHEN d.margin > 0 THEN '{OVO_PAIR[0]}' ELSE '{OVO_PAIR[1]}' END AS prediction,
-       round(d.margin, 6) AS margin
+       round(d.margin, 6) AS margin, CASE WHEN n.features IS NULL THEN 'features: NULL vector' END AS error
 FROM named n LEFT JOIN (SELECT file_name, list_dot_product(features, {W_SQL}) AS margin FROM named
                         WHERE features IS NOT NULL) d USING (file_name)""")
 def q_stream_score(spark, sf_dir):
     """Structured Streaming over the embeddings files (availableNow): samples
     projection -> margin -> class name -> Parquet sink; returns the sink."""
-    from lumisort.session import scratch_path
+    from lumisort.session import durable, remove_scratch, scratch_path
     from lumisort.sources.samples import CLASS_NAMES, FAILED_EXTRACTION_MOD, FAILED_EXTRACTION_REM, samples_from_table
-    from lumisort.streaming.score_stream import score_stream
-    schema = "vec_id bigint, embedding array<float>, label int"
-    src = (spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet")
-           .option("maxFilesPerTrigger", 16).parquet(sf_dir))
+    from lumisort.streaming.score_stream import score_stream, stream_table
+    src = stream_table(spark, f"{sf_dir.rstrip('/')}/embeddings.parquet", "vec_id bigint, embedding array<float>, label int")
     failed = (F.col("vec_id") % FAILED_EXTRACTION_MOD) == FAILED_EXTRACTION_REM
     s = samples_from_table(src, "vec_id", "embedding", "label", CLASS_NAMES, failed)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
     q = score_stream(s, PROBE_MODEL, (OVO_PAIR[1], OVO_PAIR[0]), sink, ckpt)
     q.awaitTermination()
-    out = spark.read.schema("file_name string, success boolean, prediction string, margin double").parquet(sink)
-    return out.select("file_name", "success", "prediction", F.round("margin", 6).alias("margin"))
+    out = durable(spark.read.schema("file_name string, success boolean, prediction string, margin double, error string")
+                  .parquet(sink))
+    remove_scratch(spark, sink)
+    remove_scratch(spark, ckpt)
+    return out.select("file_name", "success", "prediction", F.round("margin", 6).alias("margin"), "error")
 
 
 # ------------------------------------------------------ sink -> source trips
@@ -562,17 +732,19 @@ SELECT file_name, label_name, split, features IS NULL AS is_null, CAST(len(featu
 def q_feature_roundtrip(spark, sf_dir):
     """Write the feature table (JSON lines, partitioned by split and class) to
     the shared folder and read it back with the feature reader."""
-    from lumisort.session import scratch_path
+    from lumisort.session import durable, remove_scratch, scratch_path
     from lumisort.sinks.writers import write_features
-    from lumisort.sources.files import read_feature_json
+    from lumisort.sources.files import path_of_uri, read_feature_json
     path = scratch_path(spark, "features-json")
     write_features(_samples(spark, sf_dir), path, fmt="json", mode="overwrite")
     back = read_feature_json(spark, path, layout="lines").withColumn(
-        "split", F.regexp_extract(F.col("_metadata.file_path"), r"/split=([^/]+)/", 1)).withColumn(
-        "label_name", F.regexp_extract(F.col("_metadata.file_path"), r"/label_name=([^/]+)/", 1))
-    return back.select("file_name", "label_name", "split", F.col("features").isNull().alias("is_null"),
-                       F.size("features").cast("long").alias("n"),
-                       F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+        "split", F.regexp_extract(path_of_uri("_metadata.file_path"), r"/split=([^/]+)/", 1)).withColumn(
+        "label_name", F.regexp_extract(path_of_uri("_metadata.file_path"), r"/label_name=([^/]+)/", 1))
+    out = durable(back.select("file_name", "label_name", "split", F.col("features").isNull().alias("is_null"),
+                              F.size("features").cast("long").alias("n"),
+                              F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("total")))
+    remove_scratch(spark, path)
+    return out
 
 
 def _results_sql() -> str:
@@ -586,22 +758,13 @@ def _results_sql() -> str:
 def q_results_roundtrip(spark, sf_dir):
     """The fixed-model grid results written as CSV and read back (S9/K7)."""
     from lumisort.plans.grid import score_grid
-    from lumisort.session import scratch_path
+    from lumisort.session import durable, remove_scratch, scratch_path
     from lumisort.sinks.writers import write_results
     from lumisort.sources.files import read_results
     res = score_grid(_samples(spark, sf_dir), PROBE_MODEL, GRID_CLASSES, GRID_CUTOFFS, seed=SEED)
     res = res.select("class1", "class0", "cutoff", "train_test", F.round("accuracy", 6).alias("accuracy"))
     path = scratch_path(spark, "results-csv")
     write_results(res, path)
-    return read_results(spark, path, "class1 string, class0 string, cutoff double, train_test string, accuracy double")
-
-
-@register("logreg_predictions")
-def q_logreg_predictions(spark, sf_dir):
-    """Logistic regression test predictions: label, probability of class 1,
-    prediction (the reference's ``select('label','probability','prediction')``)."""
-    from lumisort.plans.evaluate import fit_problem
-    s = S.rebalance(_samples(spark, sf_dir), 0.6, SEED)
-    m, prob = fit_problem(s, OVO_PAIR[0], OVO_PAIR[1], "ovo", "logreg")
-    test = prob.where(F.col("split") == "test")
-    return predict(m, test).select("file_name", "label", F.round("probability", 6).alias("probability"), "prediction")
+    out = durable(read_results(spark, path, "class1 string, class0 string, cutoff double, train_test string, accuracy double"))
+    remove_scratch(spark, path)
+    return out

@@ -74,6 +74,11 @@ def ratio_label(c) -> Column:
     return F.concat(c.cast("string"), F.lit("/"), F.round(F.lit(1.0) - c, 2).cast("string"))
 
 
+def ratio_text(cutoff: float) -> str:
+    """``ratio_label`` of a parameter."""
+    return f"{float(cutoff)}/{round(1 - float(cutoff), 2)}"
+
+
 def format_percent(c) -> Column:
     """Report form ``'%.2f'`` of an accuracy already in percent.
 

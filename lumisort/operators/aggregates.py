@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumisort.functions.naming import ratio_label
+from lumisort.functions.naming import ratio_text
 from lumisort.operators.ranking import row_positions
 
 
@@ -65,16 +65,8 @@ def accuracy_pivot(results: DataFrame, cutoffs: Sequence[float] | None = None,
     """Rows (class1, class0), one column per ratio label (``0.3/0.7`` ...), first
     value per cell, sorted by class1, class0 -- the reference's result table."""
     if cutoffs is not None:
-        labels = [_ratio_text(c) for c in cutoffs]
+        labels = [ratio_text(c) for c in cutoffs]
         piv = results.groupBy("class1", "class0").pivot("train_test", labels)
     else:
         piv = results.groupBy("class1", "class0").pivot("train_test")
     return piv.agg(F.first(value_col)).orderBy("class1", "class0")
-
-
-def _ratio_text(c: float) -> str:
-    return f"{float(c)}/{round(1 - float(c), 2)}"
-
-
-def with_ratio_label(df: DataFrame, cutoff_col: str = "cutoff") -> DataFrame:
-    return df.withColumn("train_test", ratio_label(F.col(cutoff_col)))

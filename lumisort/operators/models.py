@@ -3,7 +3,8 @@
 ``train_svm`` minimises the reference's objective (hinge loss + L2, no
 intercept, no scaling): by default with ``LinearSVC`` (OWL-QN, DataFrame API),
 or with MLlib's ``SVMWithSGD`` (``solver='sgd'``, the reference's solver) for
-parity.  Both return a model wrapped as ``LinearModel`` so prediction,
+parity only: its API takes an RDD, so rows pass through Python one by one, and the
+grid does not offer it.  Both return a model wrapped as ``LinearModel`` so prediction,
 scoring and persistence are the same DataFrame code.
 """
 
@@ -83,7 +84,8 @@ def predict(model: LinearModel, df: DataFrame, features_col: str = "features", e
     product, several times faster than SQL lambdas on wide vectors); ``sql``
     computes ``w . x + b`` with SQL array functions (works for any weights,
     e.g. an MLlib SGD model or fixed weights); ``auto`` takes ``ml`` when the
-    model has one.  NULL vectors give NULL margin and prediction either way."""
+    model has one.  NULL vectors and vectors of another length give NULL margin and
+    prediction either way."""
     if engine not in ENGINES:
         raise ValueError(f"engine must be one of {ENGINES}")
     has_ml = isinstance(model.ml_model, (LinearSVCModel, LogisticRegressionModel))
@@ -97,13 +99,15 @@ def predict(model: LinearModel, df: DataFrame, features_col: str = "features", e
         return out
     dim = len(model.weights)
     feats = F.col(features_col).cast("array<double>")
-    x = df.withColumn("_vec", to_ml_vector(F.coalesce(feats, F.array_repeat(F.lit(0.0), dim))))
+    # a vector of another length is as unusable as a missing one
+    usable = F.coalesce(F.size(feats) == dim, F.lit(False))
+    x = df.withColumn("_vec", to_ml_vector(F.when(usable, feats).otherwise(F.array_repeat(F.lit(0.0), dim))))
     mm = model.ml_model.copy()
     mm.setFeaturesCol("_vec").setPredictionCol("_pred").setRawPredictionCol("_raw")
     if isinstance(mm, LogisticRegressionModel):
         mm.setProbabilityCol("_prob")
     out = mm.transform(x)
-    missing = F.col(features_col).isNull()
+    missing = ~usable
     null = F.lit(None).cast("double")
     out = (out.withColumn("margin", F.when(missing, null).otherwise(vector_to_array("_raw")[1]))
            .withColumn("prediction", F.when(missing, null).otherwise(F.col("_pred"))))
@@ -112,18 +116,6 @@ def predict(model: LinearModel, df: DataFrame, features_col: str = "features", e
     return out.drop("_vec", "_raw", "_pred", "_prob")
 
 
-def linear_score(df: DataFrame, weights, intercept: float = 0.0, features_col: str = "features",
-                 out_col: str = "margin") -> DataFrame:
-    """The arithmetic inside SVM prediction as a table operator: ``w . x + b``."""
-    from lumisort.functions.vectors import linear_margin
-    return df.withColumn(out_col, linear_margin(F.col(features_col), weights, intercept))
-
-
-def predict_ml(model: LinearModel, df: DataFrame, features_col: str = "features") -> DataFrame:
-    """Prediction through the Spark ML model's own transform."""
-    return predict(model, df, features_col, engine="ml")
-
-
 def save_model(model: LinearModel, path: str, if_absent: bool = True) -> bool:
     """Save a model; with ``if_absent`` an existing model is kept. Returns True if written."""
     if if_absent and _exists(path):

@@ -5,60 +5,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
+from lumisort.operators.joins import resolve_split
 from lumisort.operators.models import LinearModel, predict, train_logreg, train_svm
 from lumisort.operators.problems import resolve_mode, select_problem
 
 MODEL_KINDS = ("svm", "logreg")
 
 
-def fit_problem(df: DataFrame, class1: str, class0: str | None = None, mode: str = "ova", model: str = "svm",
-                match: str = "exact", solver: str = "owlqn", iterations: int = 100, reg: float | None = None,
-                split_col: str = "split") -> tuple[LinearModel, DataFrame]:
-    """Fit on the problem's train rows; return the model and the problem rows."""
+def resolve_samples(df: DataFrame, split_col: str = "split", key: str = "file_name") -> DataFrame:
+    """A name in both splits counts as train only (before any vector is dropped)."""
+    return resolve_split(df.where(F.col(split_col) == "train"), df.where(F.col(split_col) == "test"), key,
+                         split_col).select(*df.columns)
+
+
+def fit(train: DataFrame, model: str = "svm", solver: str = "owlqn", iterations: int = 100,
+        reg: float | None = None) -> LinearModel:
+    """Fit on the labelled rows of one problem."""
     if model not in MODEL_KINDS:
         raise ValueError(f"model must be one of {MODEL_KINDS}")
-    prob = select_problem(df, class1, class0, mode, match)
-    train = prob.where(F.col(split_col) == "train")
     if model == "svm":
-        m = train_svm(train, iterations, 0.1 if reg is None else reg, solver)
-    else:
-        m = train_logreg(train, iterations, 0.01 if reg is None else reg)
-    return m, prob
+        return train_svm(train, iterations, 0.1 if reg is None else reg, solver)
+    return train_logreg(train, iterations, 0.01 if reg is None else reg)
 
 
 def evaluate(df: DataFrame, class1: str, class0: str | None = None, mode: str = "ova", model: str = "svm",
              match: str = "exact", solver: str = "owlqn", iterations: int = 100, reg: float | None = None,
-             split_col: str = "split") -> tuple[DataFrame, LinearModel]:
-    """One row: class1, class0, mode, model, n_train, n_test, tp, tn, accuracy (percent)."""
+             split_col: str = "split", resolve: bool = True) -> tuple[DataFrame, LinearModel | None]:
+    """One row: class1, class0, mode, model, n_train, n_test, tp, tn, accuracy
+    (percent), note.  Names in both splits are trained on only (``resolve``).  A train
+    set of one class cannot be fitted: NULL tp, tn and accuracy, a note, no model."""
     m_mode = resolve_mode(mode)
-    m, prob = fit_problem(df, class1, class0, m_mode, model, match, solver, iterations, reg, split_col)
-    # only test rows are scored; train rows are just counted, in the same job
-    scored = predict(m, prob.where(F.col(split_col) == "test")).select(
-        F.lit(0).alias("_train"), F.col("label").cast("double").alias("y"), F.col("prediction").alias("p"))
-    trained = prob.where(F.col(split_col) == "train").select(
-        F.lit(1).alias("_train"), F.lit(None).cast("double").alias("y"), F.lit(None).cast("double").alias("p"))
-    y, p = F.col("y"), F.col("p")
-    row = scored.unionByName(trained).agg(
-        F.sum("_train").cast("long").alias("n_train"),
-        F.count_if(F.col("_train") == 0).alias("n_test"),
-        F.coalesce(F.sum(y * p), F.lit(0.0)).alias("tp"),
-        F.coalesce(F.sum((1 - y) * (1 - p)), F.lit(0.0)).alias("tn"),
-    )
-    row = row.select(
-        F.lit(class1).alias("class1"),
-        F.lit(class0 if m_mode == "ovo" else "all").alias("class0"),
-        F.lit(m_mode).alias("mode"), F.lit(model).alias("model"),
-        F.coalesce(F.col("n_train"), F.lit(0)).alias("n_train"), "n_test", "tp", "tn",
-        (F.lit(100.0) * (F.col("tp") + F.col("tn")) / F.nullif(F.col("n_test"), F.lit(0))).alias("accuracy"))
-    return row, m
-
-
-def test_predictions(df: DataFrame, model: LinearModel, class1: str, class0: str | None = None,
-                     mode: str = "ova", match: str = "exact", split_col: str = "split") -> DataFrame:
-    """Test rows of the problem with label, margin and prediction."""
-    prob = select_problem(df, class1, class0, mode, match)
-    return predict(model, prob.where(F.col(split_col) == "test"))
-
-
-__all__ = ["evaluate", "fit_problem", "test_predictions"]
+    if model not in MODEL_KINDS:
+        raise ValueError(f"model must be one of {MODEL_KINDS}")
+    prob = select_problem(resolve_samples(df, split_col) if resolve else df, class1, class0, m_mode, match)
+    train, test = (prob.where(F.col(split_col) == x) for x in ("train", "test"))
+    sides = train.agg(F.count_if(F.col("label") == 1.0).alias("pos"), F.count_if(F.col("label") != 1.0).alias("neg")).first()
+    head = [F.lit(class1).alias("class1"), F.lit(class0 if m_mode == "ovo" else "all").alias("class0"),
+            F.lit(m_mode).alias("mode"), F.lit(model).alias("model"),
+            F.lit(int(sides["pos"] + sides["neg"])).cast("long").alias("n_train")]
+    if not sides["pos"] or not sides["neg"]:
+        null = F.lit(None).cast("double")
+        row = test.agg(F.count(F.lit(1)).alias("n_test")).select(
+            *head, "n_test", null.alias("tp"), null.alias("tn"), null.alias("accuracy"),
+            F.lit("train set has one class").alias("note"))
+        return row, None
+    m = fit(train, model, solver, iterations, reg)
+    y, p = F.col("label").cast("double"), F.col("prediction")
+    row = predict(m, test).agg(F.count(F.lit(1)).alias("n_test"), F.coalesce(F.sum(y * p), F.lit(0.0)).alias("tp"),
+                               F.coalesce(F.sum((1 - y) * (1 - p)), F.lit(0.0)).alias("tn"))
+    accuracy = F.lit(100.0) * (F.col("tp") + F.col("tn")) / F.nullif(F.col("n_test"), F.lit(0))
+    return row.select(*head, "n_test", "tp", "tn", accuracy.alias("accuracy"),
+                      F.lit(None).cast("string").alias("note")), m
+
+
+__all__ = ["evaluate", "fit", "resolve_samples"]

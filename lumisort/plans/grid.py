@@ -1,11 +1,11 @@
 """The reference's simulation grid: cutoffs x class pairs, one fit per point.
 
 Per cutoff the assignment is rebalanced *from the previous cutoff's
-assignment* (the reference moves files and never resets them).  Each
-rebalance only adds a join with a small checkpointed boundary table, so the
-lineage stays one scan deep.  The vector table is persisted once for the
-whole grid; fits of one cutoff run concurrently from a thread pool (each fit
-is a sequence of Spark jobs, so concurrency fills the cluster).  Each run
+assignment* (the reference moves files and never resets them).  The chain runs on a
+stored narrow table (class, name, split); its split columns are attached to the
+vectors in one join.  The vector table is persisted or staged once for the whole
+grid; fits run concurrently from a thread pool, each in a scheduler pool of its own
+(each fit is a sequence of Spark jobs, so concurrency fills the cluster).  Each run
 yields one result row; the grid's results are (cutoffs x pairs) rows.
 """
 
@@ -13,86 +13,98 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import combinations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumisort.functions.naming import ratio_label, ratio_text
 from lumisort.operators.aggregates import accuracy_pivot
+from lumisort.operators.joins import class_pairs
+from lumisort.operators.models import predict
+from lumisort.operators.problems import resolve_mode
+from lumisort.operators.ranking import small_side
 from lumisort.operators.split import rebalance, systematic_sample
-from lumisort.plans.evaluate import evaluate
-
-CONF_GRID_MATERIALIZE_ROWS = "lumisort.grid.materializeRows"
+from lumisort.plans.evaluate import evaluate, resolve_samples
+from lumisort.session import durable
 
 RESULT_SCHEMA = ("class1 string, class0 string, cutoff double, train_test string, mode string, model string, "
-                 "n_train long, n_test long, tp double, tn double, accuracy double")
+                 "n_train long, n_test long, tp double, tn double, accuracy double, note string")
+KEY = ["label_name", "file_name"]
 
 
-def _ratio_text(c: float) -> str:
-    return f"{float(c)}/{round(1 - float(c), 2)}"
+def chained_splits(narrow: DataFrame, cutoffs: Sequence[float], seed: int | str = 1) -> DataFrame:
+    """``narrow`` (class, name, split, ...) with a column ``split_<i>`` per cutoff: the
+    assignment after rebalancing to it from the one before.  Every step is stored."""
+    cur = durable(narrow)
+    for i, c in enumerate(cutoffs):
+        moved = rebalance(cur, c, seed)
+        cur = durable(moved.withColumn(f"split_{i}", F.col("split")))
+    return cur
 
 
 def run_grid(df: DataFrame, classes: Sequence[str], cutoffs: Sequence[float] = (0.3, 0.6, 0.9),
              mode: str = "ovo", model: str = "svm", parallelism: int = 8, seed: int | str = 1,
-             solver: str = "owlqn", iterations: int = 100, reg: float | None = None,
-             match: str = "exact", materialize: bool | None = None, sample_every: int = 1) -> DataFrame:
-    """Result rows: class1, class0, cutoff, train_test, mode, model, n_train, n_test, tp, tn, accuracy.
+             iterations: int = 100, reg: float | None = None,
+             match: str = "exact", materialize: bool = False, sample_every: int = 1) -> DataFrame:
+    """Result rows: class1, class0, cutoff, train_test, mode, model, n_train, n_test, tp, tn, accuracy, note.
 
     ``sample_every=k`` fits and scores on every k-th file per class and split
-    (the notebook's grid uses every 2nd); the rebalance itself always sees all rows."""
+    (the notebook's grid uses every 2nd); the rebalance itself always sees all rows.
+    ``materialize``: stage the vectors by class in the shared folder instead of
+    persisting them (for tables beyond the executors' memory)."""
     spark = df.sparkSession
     classes = list(dict.fromkeys(classes))
-    if mode.lower() in ("ovo", "no"):
-        problems = list(combinations(classes, 2))
-    else:
-        problems = [(c, None) for c in classes]
-    base, cleanup = stage_by_class(df, materialize)
+    mode = resolve_mode(mode)
+    problems = list(combinations(classes, 2)) if mode == "ovo" else [(c, None) for c in classes]
+    narrow = resolve_samples(df.select(*KEY, "split"))
+    splits = chained_splits(narrow, cutoffs, seed).drop("split")
+    cols = [c for c in df.columns if c != "split"]
+    # one row per file: a name in both splits keeps its train row
+    files = resolve_samples(df).drop("split").dropDuplicates(KEY).join(splits, KEY)
+    base, cleanup = stage_by_class(files, materialize)
     try:
-        # the chained assignments first (cheap: narrow keys, small joins) ...
-        states, cur = [], base
-        for c in cutoffs:
-            cur = rebalance(cur, c, seed)
-            states.append((float(c), systematic_sample(cur, sample_every) if sample_every > 1 else cur))
-        jobs = [(c, st, p) for c, st in states for p in problems]
-
-        # ... then every fit of the grid from one pool: each fit is a chain of
-        # small Spark jobs, so concurrent fits keep the cluster busy
+        jobs = []
+        for i, c in enumerate(cutoffs):
+            state = base.select(*cols, F.col(f"split_{i}").alias("split"))
+            state = systematic_sample(state, sample_every) if sample_every > 1 else state
+            jobs += [(float(c), state, p) for p in problems]
+
         def run(job):
             cut, data, p = job
-            r, _ = evaluate(data, p[0], p[1], mode, model, match, solver, iterations, reg)
-            return cut, r.first()
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"grid-{cut}-{p[0]}-{p[1]}")
+            try:
+                r, _ = evaluate(data, p[0], p[1], mode, model, match, "owlqn", iterations, reg, resolve=False)
+                return cut, r.first()
+            finally:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
         rows = []
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
             for cut, r in ex.map(run, jobs):
-                rows.append((r["class1"], r["class0"], cut, _ratio_text(cut), r["mode"], r["model"],
-                             int(r["n_train"]), int(r["n_test"]), float(r["tp"] or 0.0), float(r["tn"] or 0.0),
-                             None if r["accuracy"] is None else float(r["accuracy"])))
+                rows.append((r["class1"], r["class0"], cut, ratio_text(cut), r["mode"], r["model"], int(r["n_train"]),
+                             int(r["n_test"]), r["tp"], r["tn"], r["accuracy"], r["note"]))
     finally:
         cleanup()
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
-def stage_by_class(df: DataFrame, materialize: bool | None = None, label_col: str = "label_name"):
+def stage_by_class(df: DataFrame, materialize: bool = False, label_col: str = "label_name"):
     """The grid reads the vector table once per fit.  ``materialize``: write it
     once to the shared checkpoint folder, partitioned by class -- a one-vs-one
     fit then reads only its two classes' files (partition pruning), rebalancing
     reads only the name columns, and the table survives executor loss.
-    Otherwise persist it (memory and disk).  ``None``: write when the table has
-    more than ``lumisort.grid.materializeRows`` rows (default 1,000,000)."""
-    if materialize is None:
-        from lumisort.session import conf_int
-        limit = conf_int(df.sparkSession, CONF_GRID_MATERIALIZE_ROWS, 1_000_000)
-        materialize = df.count() > limit
+    Otherwise persist it (memory and disk)."""
     if not materialize:
         d = df.persist(StorageLevel.MEMORY_AND_DISK)
         return d, d.unpersist
     from lumisort.session import remove_scratch, scratch_path
     spark = df.sparkSession
     path = scratch_path(spark, "grid-vectors")
-    df.write.partitionBy(label_col).parquet(path)
-    back = spark.read.parquet(path)
+    df.hint("rebalance", label_col).write.partitionBy(label_col).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
     # the staged copy is the grid's own scratch table: removed once the fits are done
     return back.select(*df.columns), (lambda: remove_scratch(spark, path))
 
@@ -100,42 +112,35 @@ def stage_by_class(df: DataFrame, materialize: bool | None = None, label_col: st
 def score_grid(df: DataFrame, model, classes: Sequence[str], cutoffs: Sequence[float] = (0.3, 0.6, 0.9),
                mode: str = "ovo", seed: int | str = 1) -> DataFrame:
     """The grid with a given model (no fitting): per cutoff (chained rebalance)
-    and class pair, accuracy of ``model`` on the pair's test rows.  One lazy
-    plan: rows join the (small, parameter-sized) pair table by class with two
-    equi joins -- one for the positive side, one for the negative side."""
-    from lumisort.operators.aggregates import accuracy
-    from lumisort.operators.joins import class_pairs
-    from lumisort.operators.models import predict
-    from lumisort.operators.problems import drop_null_features
-    from lumisort.operators.ranking import small_side
+    and class pair, accuracy of ``model`` on the pair's test rows.
 
+    Every vector is scored once.  The stored narrow table (class, name, split,
+    prediction) is rebalanced, counted by class, cutoff and prediction, and those
+    few counts are joined to the (parameter-sized) pair table."""
     spark = df.sparkSession
     classes = list(dict.fromkeys(classes))
-    states, cur = [], df
-    for c in cutoffs:
-        cur = rebalance(cur, c, seed)
-        states.append(cur.select("label_name", "split", "features", F.lit(float(c)).alias("cutoff")))
-    rows = states[0]
-    for st in states[1:]:
-        rows = rows.unionByName(st)
-    rows = drop_null_features(rows)
-    if mode.lower() in ("ovo", "no"):
-        pairs = class_pairs(spark, classes).select("class1", "class0")
-        n_pairs = len(classes) * (len(classes) - 1) // 2
-        pairs = small_side(pairs, n_pairs)  # a parameter-sized table: its size is known
-        pos = rows.join(pairs, rows["label_name"] == pairs["class1"]).withColumn("label", F.lit(1.0))
-        neg = rows.join(pairs, rows["label_name"] == pairs["class0"]).withColumn("label", F.lit(0.0))
+    mode = resolve_mode(mode)
+    usable = F.col("features").isNotNull() & (F.size("features") > 0)
+    scored = predict(model, df.withColumn("_usable", usable)).select(*KEY, "split", "_usable", "prediction")
+    chain = chained_splits(scored, cutoffs, seed)
+    counts = reduce(DataFrame.unionByName, [
+        chain.where((F.col(f"split_{i}") == "test") & F.col("_usable"))
+        .groupBy("label_name", "prediction").agg(F.count(F.lit(1)).alias("n")).withColumn("cutoff", F.lit(float(c)))
+        for i, c in enumerate(cutoffs)])
+    if mode == "ovo":
+        pairs = small_side(class_pairs(spark, classes).select("class1", "class0"), len(classes) * (len(classes) - 1) // 2)
+        pos = counts.join(pairs, F.col("label_name") == F.col("class1")).withColumn("label", F.lit(1.0))
+        neg = counts.join(pairs, F.col("label_name") == F.col("class0")).withColumn("label", F.lit(0.0))
         prob = pos.unionByName(neg)
     else:
-        # every row takes part in every one-vs-all problem: a generator over the
-        # (parameter) class list, no join
-        prob = rows.withColumn("class1", F.explode(F.array(*[F.lit(c) for c in classes])))
+        prob = counts.withColumn("class1", F.explode(F.array(*[F.lit(c) for c in classes])))
         prob = prob.withColumn("class0", F.lit("all")).withColumn(
             "label", F.when(F.col("label_name") == F.col("class1"), 1.0).otherwise(0.0))
-    scored = predict(model, prob.where(F.col("split") == "test"))
-    acc = accuracy(scored, ["class1", "class0", "cutoff"])
-    return acc.withColumn("train_test", F.concat(F.col("cutoff").cast("string"), F.lit("/"),
-                                                 F.round(F.lit(1.0) - F.col("cutoff"), 2).cast("string")))
+    right = F.coalesce(F.col("label") == F.col("prediction"), F.lit(False))
+    acc = prob.groupBy("class1", "class0", "cutoff").agg(
+        F.sum("n").alias("n_test"), F.coalesce(F.sum(F.when(right, F.col("n"))), F.lit(0)).alias("n_correct"))
+    return (acc.withColumn("accuracy", F.lit(100.0) * F.col("n_correct") / F.col("n_test"))
+            .withColumn("train_test", ratio_label(F.col("cutoff"))))
 
 
 def grid_table(results: DataFrame, cutoffs: Sequence[float] = (0.3, 0.6, 0.9)) -> DataFrame:
@@ -143,4 +148,4 @@ def grid_table(results: DataFrame, cutoffs: Sequence[float] = (0.3, 0.6, 0.9)) -
     return accuracy_pivot(results, cutoffs)
 
 
-__all__ = ["run_grid", "score_grid", "grid_table", "stage_by_class"]
+__all__ = ["chained_splits", "run_grid", "score_grid", "grid_table", "stage_by_class"]

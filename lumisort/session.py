@@ -37,6 +37,8 @@ def build_session(master: str | None = None, app_name: str = "lumisort",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # concurrent fits of a grid share the cluster
+        "spark.scheduler.mode": "FAIR",
         # bound the Arrow batches handed to Python workers (decoded images are big)
         "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     }
@@ -59,6 +61,16 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+def _on_one_machine(spark: SparkSession, path: str) -> bool:
+    """A ``file:`` path, or one without a scheme that Hadoop resolves to the local file system."""
+    scheme, colon, _ = path.partition(":")
+    if colon and "/" not in scheme:
+        return scheme == "file"
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
@@ -75,6 +87,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder; it is needed to cut lineage")
         d = tempfile.mkdtemp(prefix="lumisort-ckpt-")
+    if not is_local(spark) and _on_one_machine(spark, d):
+        raise RuntimeError(f"{d} is a folder of one machine; set spark.checkpoint.dir to a shared one")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

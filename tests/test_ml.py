@@ -90,3 +90,40 @@ def test_grid_every_second_file(spark):
     half = run_grid(s, ["Persian", "Ragdoll"], [0.6], iterations=10, materialize=False, sample_every=2).first()
     assert half.n_train + half.n_test < full.n_train + full.n_test
     assert abs(2 * (half.n_train + half.n_test) - (full.n_train + full.n_test)) <= 6
+
+
+def test_one_class_train_set_gives_a_row(spark):
+    rows = [(f"a_{i}.json", "a", "train" if i < 6 else "test", [float(i), 1.0]) for i in range(10)]
+    rows += [(f"b_{i}.json", "b", "test", [float(-i), 1.0]) for i in range(4)]
+    df = spark.createDataFrame(rows, "file_name string, label_name string, split string, features array<double>")
+    row, model = evaluate(df, "a", "b", "ovo")
+    r = row.first()
+    assert model is None and r.accuracy is None and r.n_train == 6 and r.n_test == 8 and "one class" in r.note
+
+
+def test_grid_modes(spark):
+    import pytest
+
+    from lumisort.plans.grid import score_grid
+    from lumisort.operators.models import LinearModel
+    rows = [(f"{c}_{i}.json", c, "train" if i % 2 else "test", [float(i), 1.0]) for c in "abc" for i in range(10)]
+    df = spark.createDataFrame(rows, "file_name string, label_name string, split string, features array<double>")
+    model = LinearModel([1.0, -4.0], 0.0, "svm")
+    ovo = score_grid(df, model, ["a", "b"], [0.5], mode="onevsone").collect()
+    assert [(r.class1, r.class0, r.n_test) for r in ovo] == [("a", "b", 10)]
+    ova = score_grid(df, model, ["a", "b"], [0.5], mode="yes").collect()
+    assert sorted((r.class1, r.class0, r.n_test) for r in ova) == [("a", "all", 15), ("b", "all", 15)]
+    with pytest.raises(ValueError):
+        score_grid(df, model, ["a", "b"], [0.5], mode="typo")
+
+
+def test_score_grid_scans_vectors_once(spark, tmp_dir):
+    import os
+
+    from lumisort.operators.models import LinearModel
+    from lumisort.plans.grid import score_grid
+    rows = [(f"{c}_{i}.json", c, "train" if i % 2 else "test", [float(i), 1.0]) for c in "abc" for i in range(10)]
+    path = os.path.join(tmp_dir, "v")
+    spark.createDataFrame(rows, "file_name string, label_name string, split string, features array<double>").write.parquet(path)
+    out = score_grid(spark.read.parquet(path), LinearModel([1.0, -4.0], 0.0, "svm"), ["a", "b", "c"], [0.3, 0.6, 0.9])
+    assert "features" not in out._jdf.queryExecution().executedPlan().toString()

@@ -29,6 +29,11 @@ class _Spark:
         self.sparkContext, self.conf = sc, _Conf(conf or {})
 
 
+def test_cluster_refuses_a_folder_of_one_machine():
+    with pytest.raises(RuntimeError):
+        checkpoint_root(_Spark(_SC("yarn"), {"spark.checkpoint.dir": "file:///tmp/ckpt"}))
+
+
 def test_cluster_folder_is_used():
     s = _Spark(_SC("yarn"), {"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
     assert checkpoint_root(s) == "hdfs:///shared/ckpt"
