@@ -194,10 +194,11 @@ def fine_sketches(texts: DataFrame) -> DataFrame:
     return texts.select("id", "text").mapInArrow(rows, f"id {id_type}, sketch binary")
 
 
-def across(named: DataFrame, sketch: DataFrame, least: float, best_only: bool) -> DataFrame:
+def across(named: DataFrame, sketch: DataFrame, reps: DataFrame, least: float, best_only: bool) -> DataFrame:
     """Pairs (x, y, e) of open buckets: x outside the bucket's largest component, y in
-    another component than x, estimate at least ``least``; the best of each x and
-    block if ``best_only``.  ``named``: (band, x, c)."""
+    another component than x, estimate at least ``least``.  If ``best_only`` the best of
+    each x and block; else all, each from the first band that its two ends share.
+    ``named``: (band, x, c)."""
     spark = named.sparkSession
     sizes = named.groupBy("band", "c").agg(F.count(F.lit(1)).alias("k"))
     main = sizes.groupBy("band").agg(F.max(F.struct("k", "c")).alias("m"), F.sum("k").alias("n"),
@@ -205,7 +206,9 @@ def across(named: DataFrame, sketch: DataFrame, least: float, best_only: bool) -
     blocks = main.select("band", F.col("m.c").alias("main"),
                          F.ceil((F.col("n") - F.col("m.k")) / float(BLOCK_ROWS)).alias("lefts"),
                          F.ceil(F.col("n") / float(BLOCK_ROWS)).alias("rights"))
-    rows = named.join(blocks, "band").join(sketch.withColumnRenamed("id", "x"), "x")
+    keys = reps.select(F.col("id").alias("x"), (F.lit(None).cast("array<bigint>") if best_only else F.col("bands"))
+                       .alias("bands"))
+    rows = named.join(blocks, "band").join(sketch.withColumnRenamed("id", "x"), "x").join(keys, "x")
     shards = max(shuffle_partitions(spark), -(-named.count() // SHARD_ROWS))
     small = (F.col("lefts") == 1) & (F.col("rights") == 1)
     h = F.xxhash64("x", "band")
@@ -218,7 +221,7 @@ def across(named: DataFrame, sketch: DataFrame, least: float, best_only: bool) -
         return some.select(F.when(small, F.pmod(F.xxhash64("band"), F.lit(shards))).otherwise(F.col("band")).alias("g"),
                            F.when(small, F.lit(-1).cast("bigint")).otherwise(F.col("own" if left else "other")).alias("i"),
                            F.when(small, F.lit(-1).cast("bigint")).otherwise(F.col("other" if left else "own")).alias("j"),
-                           "band", F.lit(left).alias("left"), "x", "c", "sketch")
+                           "band", F.lit(left).alias("left"), "x", "c", "sketch", "bands")
 
     kind = to_arrow_type(named.schema["x"].dataType)
     chance = 2.0 ** -BITS
@@ -228,6 +231,8 @@ def across(named: DataFrame, sketch: DataFrame, least: float, best_only: bool) -
         band, left = t.column("band").to_numpy()[order], t.column("left").to_numpy()[order]
         x, c = t.column("x").to_numpy()[order], t.column("c").to_numpy()[order]
         planes = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(x), BITS, -1)[order]
+        if not best_only:
+            bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(len(x), -1)[order]
         cut = np.flatnonzero(band[1:] != band[:-1]) + 1
         out = [[], [], []]
         for rows_ in np.split(np.arange(len(x)), cut):
@@ -248,6 +253,9 @@ def across(named: DataFrame, sketch: DataFrame, least: float, best_only: bool) -
                 j = j[i]
             else:
                 i, j = np.nonzero(e > 0)
+                shared = (bands[a[i]] == bands[b[j]]).argmax(axis=1)  # they share this band at least
+                here = bands[a[i], shared] == band[rows_[0]]
+                i, j = i[here], j[here]
             for o, v in zip(out, (x[a[i]], x[b[j]], e[i, j])):
                 o.append(v)
         cols = [np.concatenate(o) if o else np.zeros(0) for o in out]
@@ -334,7 +342,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if sketch is None:
             open_ids = named.select(F.col("x").alias("id")).distinct()
             sketch = stored(fine_sketches(likely.join(open_ids, "id", "left_semi")), "fine-sketches")
-        pairs = across(named, sketch, least, best_only)
+        pairs = across(named, sketch, reps, least, best_only)
         if best_only:
             pairs = pairs.groupBy("x").agg(F.max_by("y", "e").alias("y"))
         else:
