@@ -12,9 +12,10 @@ aggregate of as many numbers as there are domains.  A document's rate is a funct
 of its own posterior and the steps so far, so rates are never shuffled or stored
 while the fit runs; they come out of one pass at the end.
 
-Targets are weights (parts of all tokens).  The total T is the largest at which no
-domain needs more than it has, times ``stretch``, unless the caller gives one; at 1
-rates stay near or below 1.  A rate above 1 asks for repetition.
+Targets are weights (parts of all tokens).  The total T is what the domain with the
+largest weight can fill once, times ``stretch``, unless the caller gives one: its
+documents get rates near 1, and a domain too scarce for its part asks for repetition
+by rates above 1 instead of pulling everything else down.
 
 The classifier is softmax regression on hashed distinct words (unit-length idf
 vectors), learned from a sample of at most about ``rows_per_label`` labelled
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from lumisort.llm.common import WORD_RE, bound_arrow, stored
 
 BUCKETS = 1 << 16
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 @dataclass
@@ -77,7 +78,7 @@ class _Hashed:
 
 
 def fit_softmax(rows: np.ndarray, at: np.ndarray, label: np.ndarray, importance: np.ndarray, names: list[str],
-                steps: int = 120, penalty: float = 2e-5) -> Domains:
+                steps: int = 80, penalty: float = 2e-5) -> Domains:
     """Softmax regression on unit-length idf vectors (Adam on the whole sample).
     ``at``: distinct buckets of all texts; ``rows``: how many each text has."""
     n, k = len(rows), len(names)
@@ -107,7 +108,7 @@ def fit_softmax(rows: np.ndarray, at: np.ndarray, label: np.ndarray, importance:
 
 
 def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  domain_col: str = "domain", rows_per_label: int = 2500) -> Domains:
+                  domain_col: str = "domain", rows_per_label: int = 1500) -> Domains:
     """Softmax regression over hashed words. ``labels``: (id, domain)."""
     bound_arrow(docs.sparkSession, BATCH_BYTES)
     known = labels.select(F.col(id_col).alias("_id"), F.col(domain_col).cast("string").alias("domain")).dropna()
@@ -189,7 +190,10 @@ def fit_rates(members: DataFrame, names: list[str], targets: Mapping[str, float]
     have = totals(F.lit(1.0))
     if have.sum() <= 0:
         return F.lit(1.0), {"targets": {}, "expected": {}, "steps": 0}
-    whole = float(total) if total else stretch * float(min(h / w for h, w in zip(have, weight) if w > 0))
+    most = int(weight.argmax())
+    whole = float(total) if total else stretch * float(have[most] / weight[most])
+    if whole <= 0:
+        return F.lit(1.0), {"targets": {}, "expected": {}, "steps": 0}
     goal = weight * whole
     curve = np.array([x or 0.0 for x in moments]).reshape(k, k) / whole
     size = 1.0 / (float(np.linalg.eigvalsh((curve + curve.T) / 2).max()) + ridge)
