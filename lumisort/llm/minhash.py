@@ -46,7 +46,7 @@ FINE = 512  # hashes of the longer signatures
 BLOCK_ROWS, SHARD_ROWS = 1000, 20_000
 GROUP = 200
 SHINGLE = 5
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -81,7 +81,7 @@ class Shingles:
         if not words:
             return np.zeros(0, np.uint64)
         have = self.words
-        if len(have) > 500_000:
+        if len(have) > 150_000:
             have.clear()
         for w in set(words).difference(have):
             have[w] = self.hash(w)

@@ -70,7 +70,7 @@ class _Hashed:
 
     def of(self, text: str | None) -> np.ndarray:
         words = WORD_RE.findall(text) if text else []
-        if len(self.known) > 500_000:
+        if len(self.known) > 150_000:
             self.known.clear()
         for w in set(words).difference(self.known):
             self.known[w] = self.hash(w.encode("utf-8", "replace")) % BUCKETS
