@@ -30,20 +30,23 @@ def fit(train: DataFrame, model: str = "svm", solver: str = "owlqn", iterations:
 
 def evaluate(df: DataFrame, class1: str, class0: str | None = None, mode: str = "ova", model: str = "svm",
              match: str = "exact", solver: str = "owlqn", iterations: int = 100, reg: float | None = None,
-             split_col: str = "split", resolve: bool = True) -> tuple[DataFrame, LinearModel | None]:
+             split_col: str = "split", resolve: bool = True, sides: tuple[int, int] | None = None) -> tuple[DataFrame, LinearModel | None]:
     """One row: class1, class0, mode, model, n_train, n_test, tp, tn, accuracy
     (percent), note.  Names in both splits are trained on only (``resolve``).  A train
-    set of one class cannot be fitted: NULL tp, tn and accuracy, a note, no model."""
+    set of one class cannot be fitted: NULL tp, tn and accuracy, a note, no model.
+    ``sides``: positive and negative train rows, where the caller has counted them."""
     m_mode = resolve_mode(mode)
     if model not in MODEL_KINDS:
         raise ValueError(f"model must be one of {MODEL_KINDS}")
     prob = select_problem(resolve_samples(df, split_col) if resolve else df, class1, class0, m_mode, match)
     train, test = (prob.where(F.col(split_col) == x) for x in ("train", "test"))
-    sides = train.agg(F.count_if(F.col("label") == 1.0).alias("pos"), F.count_if(F.col("label") != 1.0).alias("neg")).first()
+    if sides is None:
+        sides = tuple(train.agg(F.count_if(F.col("label") == 1.0), F.count_if(F.col("label") != 1.0)).first())
+    pos, neg = sides
     head = [F.lit(class1).alias("class1"), F.lit(class0 if m_mode == "ovo" else "all").alias("class0"),
             F.lit(m_mode).alias("mode"), F.lit(model).alias("model"),
-            F.lit(int(sides["pos"] + sides["neg"])).cast("long").alias("n_train")]
-    if not sides["pos"] or not sides["neg"]:
+            F.lit(int(pos + neg)).cast("long").alias("n_train")]
+    if not pos or not neg:
         null = F.lit(None).cast("double")
         row = test.agg(F.count(F.lit(1)).alias("n_test")).select(
             *head, "n_test", null.alias("tp"), null.alias("tn"), null.alias("accuracy"),

@@ -60,23 +60,34 @@ def run_grid(df: DataFrame, classes: Sequence[str], cutoffs: Sequence[float] = (
     mode = resolve_mode(mode)
     problems = list(combinations(classes, 2)) if mode == "ovo" else [(c, None) for c in classes]
     narrow = resolve_samples(df.select(*KEY, "split"))
-    splits = chained_splits(narrow, cutoffs, seed).drop("split")
+    splits = chained_splits(narrow, cutoffs, seed).drop("split").dropDuplicates(KEY)
     cols = [c for c in df.columns if c != "split"]
-    # one row per file: a name in both splits keeps its train row
-    files = resolve_samples(df).drop("split").dropDuplicates(KEY).join(splits, KEY)
-    base, cleanup = stage_by_class(files, materialize)
+    base, cleanup = stage_by_class(resolve_samples(df).drop("split").join(splits, KEY), materialize)
     try:
+        # train rows per class and cutoff, from one job: which points can be fitted
+        usable = F.col("features").isNotNull() & (F.size("features") > 0)
+        per_class = {r["label_name"]: r for r in base.where(F.col("label_name").isin(classes) | F.lit(mode == "ova"))
+                     .groupBy("label_name").agg(*[F.count_if(usable & (F.col(f"split_{i}") == "train")).alias(f"n{i}")
+                                                  for i in range(len(cutoffs))]).collect()}
+
+        def sides(i: int, p) -> tuple[int, int] | None:
+            if match != "exact":
+                return None
+            n = {k: r[f"n{i}"] for k, r in per_class.items()}
+            return n.get(p[0], 0), n.get(p[1], 0) if mode == "ovo" else sum(n.values()) - n.get(p[0], 0)
+
         jobs = []
         for i, c in enumerate(cutoffs):
             state = base.select(*cols, F.col(f"split_{i}").alias("split"))
             state = systematic_sample(state, sample_every) if sample_every > 1 else state
-            jobs += [(float(c), state, p) for p in problems]
+            jobs += [(float(c), state, p, sides(i, p) if sample_every == 1 else None) for p in problems]
 
         def run(job):
-            cut, data, p = job
+            cut, data, p, counts = job
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"grid-{cut}-{p[0]}-{p[1]}")
             try:
-                r, _ = evaluate(data, p[0], p[1], mode, model, match, "owlqn", iterations, reg, resolve=False)
+                r, _ = evaluate(data, p[0], p[1], mode, model, match, "owlqn", iterations, reg, resolve=False,
+                                sides=counts)
                 return cut, r.first()
             finally:
                 spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
