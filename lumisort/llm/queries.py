@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.llm import bpe, langid, minhash, mixing, phrases, quality, substring, templates, urls, vectors
+from lumisort.llm import bpe, langid, minhash, mixing, oracles, phrases, quality, substring, templates, urls, vectors
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -106,7 +106,8 @@ URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 
 def op8_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule or link-graph verdict of every page."""
-    return urls.url_verdicts(read_table(spark, sf_dir, "pages"), URL_RULES)
+    out = urls.url_verdicts(read_table(spark, sf_dir, "pages"), URL_RULES)
+    return out.select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -122,4 +123,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
 }
 
-ORACLE: dict[str, str] = {}
+#: SQL of what SQL can express; the others are held against brute force in the tests.
+ORACLE: dict[str, str] = {
+    "op2_run_length_index": oracles.repeated_bytes_sql(400),
+    "op4_phrase_automata": oracles.repeated_passages_sql(13),
+    "op5_pca_tiles": oracles.near_vectors_sql(0.95),
+    "op6_bbit_minhash": oracles.near_documents_sql(75),
+    "op7_template_lines": oracles.template_lines_sql(),
+    "op8_link_graph": oracles.url_verdicts_sql(URL_RULES),
+}
