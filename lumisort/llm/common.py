@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumisort._compat import ship_by_value
-from lumisort.session import checkpoint_root, scratch_path
+from lumisort.session import checkpoint_root, remove_scratch, scratch_path
 
 #: Words of a text: maximal runs of anything but the six ASCII blanks.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -40,7 +40,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def drop_stored(*tables: DataFrame | None) -> None:
+    """Removes tables made by ``stored`` that nothing reads any more."""
+    for t in tables:
+        path = getattr(t, "_stored_at", None)
+        if path:
+            remove_scratch(t.sparkSession, path)
+            t._stored_at = None
 
 
 def shared_checkpoint(df: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lumisort.llm.common import bound_arrow, shuffle_partitions, stored
+from lumisort.llm.common import bound_arrow, drop_stored, shuffle_partitions, stored
 from lumisort.llm.graph import components
 
 BITS, BAND_ROWS, BANDS = 8, 4, 32
@@ -268,7 +268,7 @@ def across(named: DataFrame, sketch: DataFrame, reps: DataFrame, least: float, b
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) with 100 * intersection >= ``percent`` * union of their full sets.
+    """Pairs (x, y) with 100 * intersection >= ``percent`` * union of their full sets, stored.
     ``texts``: (id, text).  y's text goes to every salted group of y's pairs."""
     pairs = stored(pairs, "near-pairs")
     groups = pairs.groupBy("y").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(GROUP))).cast("int").alias("salts"))
@@ -295,7 +295,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(near, kind), pa.array([leader] * len(near), kind)], ["x", "y"])
 
     kind = to_arrow_type(pairs.schema["x"].dataType)
-    return sent.groupBy("y", "salt").applyInArrow(check, f"x {id_type}, y {id_type}")
+    links = stored(sent.groupBy("y", "salt").applyInArrow(check, f"x {id_type}, y {id_type}"), "links")
+    drop_stored(pairs)
+    return links
 
 
 def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
@@ -306,7 +308,9 @@ def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
     merged = stored(components(ends, "cx", "cy").toDF("c", "m"), "merged-components")
     new = ends.select("x", F.col("cx").alias("c")).union(ends.select("y", "cy")).distinct()
     every = label.unionByName(new.join(label, "x", "left_anti"))
-    return stored(every.join(merged, "c", "left").select("x", F.coalesce("m", "c").alias("c")), "components")
+    out = stored(every.join(merged, "c", "left").select("x", F.coalesce("m", "c").alias("c")), "components")
+    drop_stored(ends, merged)
+    return out
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
@@ -329,7 +333,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     threshold = percent / 100
     first = most_similar(bucket.where(F.col("x") != F.col("y")).select("x", "y").distinct(), reps,
                          least_estimate(threshold, sigmas, HASHES))
-    label = stored(components(confirmed(first, likely, percent), "x", "y").toDF("x", "c"), "components")
+    links = confirmed(first, likely, percent)
+    label = stored(components(links, "x", "y").toDF("x", "c"), "components")
+    drop_stored(links)
 
     # buckets that still hold more than one component
     sketch, least = None, least_estimate(threshold, sigmas, FINE)
@@ -347,9 +353,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             pairs = pairs.groupBy("x").agg(F.max_by("y", "e").alias("y"))
         else:
             pairs = pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
-        links = stored(confirmed(pairs, likely, percent), "links")
+        links = confirmed(pairs, likely, percent)
         if links.limit(1).count():
-            label = _joined(label, links)
+            old, label = label, _joined(label, links)
+            drop_stored(old)
+        drop_stored(links, named)
+    drop_stored(reps, bucket, likely, sketch)
 
     by_id = (full.select("id", *same).join(classes, same).select("id", "rep")
              .join(label.toDF("rep", "c"), "rep", "left").groupBy("id")

@@ -26,7 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumisort.llm.common import bound_arrow, shuffle_partitions, stored
+from lumisort.llm.common import bound_arrow, drop_stored, shuffle_partitions, stored
 
 CHUNK_BYTES = 8 << 20
 ASK = "round int, kind int, chunk bigint, bucket bigint, payload binary"
@@ -100,16 +100,18 @@ def run_rounds(df: DataFrame, job: Job, id_col: str, text_col: str, name: str, c
     buckets = max(1, min(chunks, 4 * math.ceil(total / chunk_bytes)))
     docs = (docs.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
             .repartition(chunks, "chunk").persist(StorageLevel.MEMORY_AND_DISK))
+    answers, tables = None, []
     try:
-        answers = None
         for r in range(job.rounds):
             asked = _each(docs, answers, _asking(job, r, buckets), ASK)
             new = asked.groupBy("kind", "bucket").applyInArrow(_answering(job, r), ASK)
             new = stored(new, f"{name}-answers")
+            tables.append(new)
             answers = new if answers is None else answers.unionByName(new)
         return stored(_each(docs, answers, _finishing(job, buckets), job.result), name)
     finally:
         docs.unpersist()
+        drop_stored(*tables)
 
 
 def _each(docs: DataFrame, answers: DataFrame | None, f, schema: str) -> DataFrame:
