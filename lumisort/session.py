@@ -37,6 +37,8 @@ def build_session(master: str | None = None, app_name: str = "lumisort",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # checkpoints go when nothing refers to them any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # concurrent fits of a grid share the cluster
         "spark.scheduler.mode": "FAIR",
         # bound the Arrow batches handed to Python workers (decoded images are big)
