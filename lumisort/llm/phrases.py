@@ -24,6 +24,7 @@ Null text has no words.  Rows that repeat with one id are no copies of each othe
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,26 +49,30 @@ def _grams(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
-def as_characters(codes: np.ndarray, size: int) -> tuple[str, int]:
-    """Word numbers as a string and the characters a word takes: one, or two from
-    disjoint ranges where there are more words than characters."""
-    if size <= 0x10F000:
-        width, points = 1, codes + 1
-    else:
-        width, points = 2, np.stack([codes // 0x4000 + 1, codes % 0x4000 + 0x90000], 1).ravel()
-    points = np.where(points >= 0xD800, points + 0x800, points)  # no surrogates
-    return points.astype("<u4").tobytes().decode("utf-32-le"), width
+WIDTH, FIRST_CHARACTERS = 2, 128
+
+
+def as_characters(codes: np.ndarray) -> str:
+    """Word numbers as a string, ``WIDTH`` characters a word: the first from a small
+    range, as an automaton tries the branches of a state one by one and its root has
+    one for every first character, the second from a range apart from it, so that
+    matches begin where words do."""
+    second = codes // FIRST_CHARACTERS + 0x1000
+    second = np.where(second >= 0xD800, second + 0x800, second)  # no surrogates
+    return np.stack([codes % FIRST_CHARACTERS + 1, second], 1).astype("<u4").tobytes().decode("utf-32-le")
 
 
 class _Chunk:
     def __init__(self, ids: list[int], texts: list[bytes], window: int, gram: int):
         import xxhash
         self.ids = np.array(ids, np.int64)
-        place: dict[bytes, int] = {}
-        codes = [np.array([place.setdefault(w, len(place)) for w in WORDS(t)], np.int64) for t in texts]
-        self.words = list(place)
-        self.starts = np.cumsum([0] + [len(c) for c in codes])
-        self.codes = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+        words = [WORDS(t) for t in texts]
+        self.starts = np.cumsum([0] + [len(w) for w in words])
+        words = list(chain.from_iterable(words))
+        self.words = list(dict.fromkeys(words))
+        place = {w: i for i, w in enumerate(self.words)}
+        self.codes = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        del words
         n = max(0, len(self.codes) - window + 1)
         self.first = np.zeros(0, np.int64)
         if not n:
@@ -178,7 +183,7 @@ class RepeatedPassages(Job):
         at, doc, value = s.first[s.at][counts], s.doc[s.at][counts], s.value[counts]
         if not len(at):
             return gone
-        text, width = as_characters(s.codes, len(s.words))
+        text, width = as_characters(s.codes), WIDTH
         new = np.ones(len(at), bool)
         new[1:] = (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])
         head = np.flatnonzero(new)

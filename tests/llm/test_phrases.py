@@ -56,12 +56,12 @@ def test_query(spark):
 
 
 def test_words_as_characters():
-    codes = np.array([0, 5, 60_000, 1_000_000, 5])
-    for size in (1_000_001, 2_000_000):
-        text, width = phrases.as_characters(codes, size)
-        parts = [text[i:i + width] for i in range(0, len(text), width)]
-        assert len(parts) == 5 and parts[1] == parts[4] and len(set(parts)) == 4
-        text.encode("utf-8")
+    codes = np.array([0, 5, 60_000, 1_000_000, 5, 20_000_000, 127, 128])
+    text = phrases.as_characters(codes)
+    parts = [text[i:i + phrases.WIDTH] for i in range(0, len(text), phrases.WIDTH)]
+    assert len(parts) == 8 and parts[1] == parts[4] and len(set(parts)) == 7
+    assert not {p[0] for p in parts} & {p[1] for p in parts}
+    text.encode("utf-8")
 
 
 def test_odd_and_empty_tables(odd_docs, no_docs):
