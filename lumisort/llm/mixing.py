@@ -92,12 +92,10 @@ def fit_softmax(rows: np.ndarray, at: np.ndarray, label: np.ndarray, importance:
     m, s = np.zeros_like(w), np.zeros_like(w)
     mb, sb = np.zeros(k), np.zeros(k)
     for step in range(1, steps + 1):
-        wv = w[at] * v[:, None]
-        z = np.stack([np.bincount(of, weights=wv[:, c], minlength=n) for c in range(k)], 1) + bias
+        z = np.stack([np.bincount(of, weights=w[at, c] * v, minlength=n) for c in range(k)], 1) + bias
         z = np.exp(z - z.max(axis=1, keepdims=True))
         error = (z / z.sum(axis=1, keepdims=True) - target) * importance[:, None]
-        part = error[of] * v[:, None]
-        grad = np.stack([np.bincount(at, weights=part[:, c], minlength=BUCKETS) for c in range(k)], 1) + penalty * w
+        grad = np.stack([np.bincount(at, weights=error[of, c] * v, minlength=BUCKETS) for c in range(k)], 1) + penalty * w
         grad_b = error.sum(axis=0)
         m, s = 0.9 * m + 0.1 * grad, 0.98 * s + 0.02 * grad ** 2
         mb, sb = 0.9 * mb + 0.1 * grad_b, 0.98 * sb + 0.02 * grad_b ** 2
@@ -137,7 +135,7 @@ def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     # the sample has equal parts of each domain; importance brings the table's shares back
     per = np.array([sizes[x] for x in names]) / np.maximum(np.bincount(label, minlength=len(names)), 1)
     return fit_softmax(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64),
-                       lists.flatten().to_numpy().astype(np.int64), label, per[label], names)
+                       lists.flatten().to_numpy(), label, per[label], names)
 
 
 def posteriors(df: DataFrame, model: Domains, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
