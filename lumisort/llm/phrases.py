@@ -23,22 +23,18 @@ Null text has no words.  Rows that repeat with one id are no copies of each othe
 
 from __future__ import annotations
 
-import re
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumisort.llm.cells import mix, sliding_min
+from lumisort.llm.cells import BLOCK, Prefix, mix, sliding_min
 from lumisort.llm.common import WORD_PATTERN
 from lumisort.llm.rounds import Job, run_rounds
 
 GRAM = 6
 KEY_BYTES = 6  # of a key in the first round, which only filters
 EVERYONE = -(2 ** 63)  # value of a passage that a smaller id outside the chunk holds
-WORDS = re.compile(rb"[^\x20\x09-\x0D]+").findall
 U = np.uint64
 
 
@@ -62,28 +58,62 @@ def as_characters(codes: np.ndarray) -> str:
     return np.stack([codes % FIRST_CHARACTERS + 1, second], 1).astype("<u4").tobytes().decode("utf-32-le")
 
 
+IS_BLANK = np.zeros(256, bool)
+IS_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+LONG = 1 << 16  # bytes of a word that is hashed on its own
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word data[start:stop], from prefix sums over blocks."""
+    out = np.empty(len(start), np.uint64)
+    short = np.flatnonzero(stop - start <= LONG)
+    for k in np.flatnonzero(stop - start > LONG).tolist():
+        import xxhash
+        out[k] = xxhash.xxh3_64_intdigest(data[start[k]:stop[k]].tobytes())
+    a, b, i = start[short], stop[short], 0
+    while i < len(short):
+        j = max(i + 1, int(np.searchsorted(a, a[i] + BLOCK - LONG, "left")))
+        out[short[i:j]] = Prefix(data[a[i]:b[j - 1]]).of(a[i:j] - a[i], b[i:j] - a[i])
+        i = j
+    return out
+
+
 class _Chunk:
     def __init__(self, ids: list[int], texts: list[bytes], window: int, gram: int):
-        import xxhash
         self.ids = np.array(ids, np.int64)
-        words = [WORDS(t) for t in texts]
-        self.starts = np.cumsum([0] + [len(w) for w in words])
-        words = list(chain.from_iterable(words))
-        self.words = list(dict.fromkeys(words))
-        place = {w: i for i, w in enumerate(self.words)}
-        self.codes = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-        del words
-        n = max(0, len(self.codes) - window + 1)
+        # texts end to end, each with a line end after it, so that every word has a blank behind it
+        self.data = np.frombuffer(b"".join(t + b"\n" for t in texts), np.uint8)
+        blank = IS_BLANK[self.data]
+        edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1 if len(blank) else np.zeros(0, np.int64)
+        if len(blank) and not blank[0]:
+            edge = np.append(0, edge)
+        self.word, self.stop = edge[::2], edge[1::2]
+        self.starts = np.searchsorted(self.word, np.cumsum([0] + [len(t) + 1 for t in texts]))
+        self.hash = word_hashes(self.data, self.word, self.stop)
+        n = max(0, len(self.word) - window + 1)
         self.first = np.zeros(0, np.int64)
         if not n:
             return
-        self.hash = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in place), np.uint64, len(place))[self.codes]
         doc = np.searchsorted(self.starts, np.arange(n), "right") - 1
         inside = self.starts[doc + 1] >= np.arange(n) + window
         self.first = np.flatnonzero(inside)  # windows by first word
         self.doc = doc[inside]
         self.key = sliding_min(_grams(self.hash, gram), window - gram + 1)[:n][inside]
 
+    def kept_texts(self, gone: np.ndarray) -> list[str]:
+        """Words that stay, joined by one space, per document."""
+        stay = ~gone
+        edge = np.zeros(len(self.data) + 1, np.int8)
+        edge[self.word[stay]] = 1
+        edge[self.stop[stay] + 1] -= 1  # with the blank behind it
+        take = np.cumsum(edge[:-1], dtype=np.int8) > 0
+        data = self.data.copy()
+        data[self.stop] = 0x20
+        size = np.where(stay, self.stop - self.word + 1, 0)
+        at = np.append(0, np.cumsum(size))[self.starts].tolist()
+        out = data[take].tobytes()
+        return [out[a:b - 1].decode("utf-8", "replace") if b > a else "" for a, b in zip(at, at[1:])]
+
 
 class RepeatedPassages(Job):
     rounds = 2
@@ -162,28 +192,25 @@ class RepeatedPassages(Job):
 
     def finish(self, s):
         gone = self._locate(s)
-        kept, spans, n = [], [], []
+        spans, n = [], np.diff(s.starts)
         for a, b in zip(s.starts[:-1].tolist(), s.starts[1:].tolist()):
-            g = gone[a:b]
-            n.append(b - a)
-            kept.append(b" ".join([s.words[c] for c in s.codes[a:b][~g].tolist()]).decode("utf-8", "replace"))
-            cut = np.flatnonzero(np.diff(np.concatenate([[False], g, [False]]).astype(np.int8)))
+            cut = np.flatnonzero(np.diff(np.concatenate([[False], gone[a:b], [False]]).astype(np.int8)))
             spans.append([{"start": x, "stop": y} for x, y in zip(cut[::2].tolist(), cut[1::2].tolist())])
         span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         return {"id": pa.array(s.ids, pa.int64()), "n_words": pa.array(n, pa.int64()), "spans": pa.array(spans, span),
-                "kept": pa.array(kept, pa.string())}
+                "kept": pa.array(s.kept_texts(gone), pa.string())}
 
     def _locate(self, s) -> np.ndarray:
         """Words of the chunk in an occurrence of a confirmed passage that counts there."""
         import ahocorasick
-        gone = np.zeros(len(s.codes), bool)
+        gone = np.zeros(len(s.word), bool)
         if not len(s.first) or not len(s.at):
             return gone
         counts = s.value < s.ids[s.doc[s.at]]
         at, doc, value = s.first[s.at][counts], s.doc[s.at][counts], s.value[counts]
         if not len(at):
             return gone
-        text, width = as_characters(s.codes), WIDTH
+        text, width = as_characters(np.unique(s.hash, return_inverse=True)[1]), WIDTH
         new = np.ones(len(at), bool)
         new[1:] = (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])
         head = np.flatnonzero(new)
@@ -193,7 +220,7 @@ class RepeatedPassages(Job):
         for a, b, v in zip(at[head].tolist(), (at[tail] + self.window).tolist(), limit.tolist()):
             automaton.add_word(text[a * width:b * width], (b - a, v))
         automaton.make_automaton()
-        edge = np.zeros(len(s.codes) + 1, np.int32)
+        edge = np.zeros(len(s.word) + 1, np.int32)
         for d, a, b in zip(s.ids.tolist(), s.starts[:-1].tolist(), s.starts[1:].tolist()):
             if b - a >= self.window:
                 for end, (size, above) in automaton.iter(text[a * width:b * width]):  # it copies what it is given
