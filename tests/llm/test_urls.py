@@ -79,6 +79,19 @@ def test_trust_and_distrust_propagate(spark):
                                                7: "allow", 8: "block"}
 
 
+def test_many_seeds_neither_end_the_walk_nor_hide_distrust(spark):
+    rows = [(f"http://b{i}.net/x", None) for i in range(20_000)] + [(f"http://a{i}.org/fr/x", None) for i in range(20_000)]
+    chain = ["b0.net", *(f"c{i}.com" for i in range(1, 11))]
+    rows += [(f"http://{b}/", f'<a href="http://{a}/">') for a, b in zip(chain, chain[1:])]
+    rows += [("http://often.com/", '<a href="http://b1.net/">' * 100_000), ("http://once.com/", '<a href="http://b1.net/">')]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.host: r for r in urls.url_verdicts(df, URL_RULES).where("host like '%.com'").collect()}
+    assert len(got) == 12 and {r.verdict for r in got.values()} == {"block"}
+    for k, host in enumerate(chain[1:], 1):  # a chain passes on what its seed has
+        assert got[host].distrust == pytest.approx(0.85 ** k / 20_000 * 0.15, rel=1e-6)
+    assert 0 < got["once.com"].distrust < 1e-9
+
+
 def test_query(spark):
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
     got = queries.QUERIES["op8_link_graph"](spark, SF_SMALL).collect()
