@@ -31,6 +31,26 @@ def test_rates_meet_the_targets_and_match_dense_descent(spark):
     assert np.abs(expected - goal).max() < 0.1 * whole and np.abs(expected - goal).max() < 0.5 * np.abs(t @ p - goal).max()
 
 
+@pytest.mark.parametrize("shares", [(0.8, 0.17, 0.03), (0.97, 0.02, 0.01)])
+def test_scarce_domains_reach_the_converged_optimum(spark, shares):
+    n, ridge = 2000, 1e-3
+    label = np.random.default_rng(1).choice(3, n, p=shares)
+    p = np.full((n, 3), 0.015)
+    p[np.arange(n), label] = 0.97
+    members = spark.createDataFrame([(i, 100, q.tolist()) for i, q in enumerate(p)],
+                                    "doc_id long, tokens long, posterior array<double>")
+    rate, report = mixing.fit_rates(members, ["clean", "low", "toxic"], queries.MIX_TARGETS, stretch=queries.MIX_STRETCH)
+    got = np.array([r.rate for r in members.withColumn("rate", rate).orderBy("doc_id").collect()])
+    goal = np.array([report["targets"][x] for x in ("clean", "low", "toxic")])
+    whole, r, t = goal.sum(), np.ones(n), np.full(n, 100.0)
+    size = 1 / (np.linalg.eigvalsh((p * t[:, None]).T @ p / whole).max() + ridge)
+    for _ in range(20_000):  # dense descent until nothing moves
+        r = np.maximum(0, r - size * (p @ ((r * t) @ p - goal) / whole) - size * ridge * (r - 1))
+    assert got == pytest.approx(r, abs=1e-3)
+    assert (got * t) @ p == pytest.approx([report["expected"][x] for x in ("clean", "low", "toxic")], rel=1e-9)
+    assert (got * t) @ p == pytest.approx(goal, rel=0.06)  # what is left is the ridge's
+
+
 def test_query(spark):
     got = queries.QUERIES["op3_soft_mixing"](spark, SF_CHECK)
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
