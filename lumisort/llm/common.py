@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumisort._compat import ship_by_value
+from lumisort.operators.ranking import small_side
 from lumisort.session import checkpoint_root, remove_scratch, scratch_path
 
 #: Words of a text: maximal runs of anything but the six ASCII blanks.
@@ -60,6 +61,36 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: A group is hot from 1/HOT_SHARE of all rows on, so there are HOT_SHARE hot groups at most.
+HOT_SHARE = 2_000
+
+
+def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread: str) -> DataFrame:
+    """``rows`` with the columns of ``groups`` (stored; one row a key, ``size`` its number of
+    rows) by the binary ``key``, nulls where there is no group.
+
+    Few groups are broadcast.  Beyond ``lumisort.broadcast.maxRows`` only the hot ones are,
+    which are ``HOT_SHARE`` at most whatever the input, and their rows take a key of their own
+    (``spread``, a unique number) through the join by key, so no task gets a hot group.
+    The result is the same either way."""
+    n = groups.count()
+    few = small_side(groups, n)
+    if few is not groups:
+        return rows.join(few, key, "left")
+    total = groups.agg(F.sum(size)).first()[0]
+    hot_from = max(2, -(-total // HOT_SHARE))
+    names = [c for c in groups.columns if c != key]
+    value = F.struct(*names)
+    hot = groups.where(F.col(size) >= hot_from).select(F.col(key).alias("_ag_hot"), value.alias("_ag_h"))
+    rest = groups.where(F.col(size) < hot_from).select(F.col(key).alias("_ag_key"), value.alias("_ag_r"))
+    own = F.concat(key, F.unhex(F.lpad(F.hex(spread), 16, "0")))
+    out = rows.join(F.broadcast(hot), rows[key] == hot["_ag_hot"], "left")
+    out = out.withColumn("_ag_at", F.when(F.col("_ag_h").isNull(), F.col(key)).otherwise(own))
+    at = (out["_ag_at"] == rest["_ag_key"]) & out["_ag_h"].isNull()
+    out = out.join(rest, at, "left").withColumn("_ag_v", F.coalesce("_ag_h", "_ag_r"))
+    return out.select(*rows.columns, *[F.col(f"_ag_v.{c}").alias(c) for c in names])
+
+
 def file_bytes(path: str) -> bytes:
     """A vocabulary file of the installed tokenizers, read on the driver and sent
     to the workers, which then need no file of their own."""

@@ -157,3 +157,11 @@ score AS (SELECT host, sum(s) FILTER (WHERE kind = 'trust') AS t, sum(s) FILTER
 SELECT page_id, j.host, path, rule, coalesce(act, CASE WHEN coalesce(x, 0) > {min_distrust!r}
          AND coalesce(x, 0) > {threshold!r} * (coalesce(x, 0) + coalesce(t, 0)) THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN score ON j.host = score.host"""
+
+
+def exact_groups_sql() -> str:
+    """op11"""
+    return """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256 FROM d"""

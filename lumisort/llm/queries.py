@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.llm import bpe, langid, minhash, mixing, oracles, phrases, quality, substring, templates, urls, vectors
+from lumisort.llm import bpe, exact, langid, minhash, mixing, oracles, phrases, quality, substring, templates, urls, vectors
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -110,6 +110,11 @@ def op8_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group, size and verdict of every document among those of equal text."""
+    return exact.exact_groups(read_table(spark, sf_dir, "documents"), keep="largest")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_run_length_index": op2_run_length_index,
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_link_graph": op8_link_graph,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
+    "op11_exact_groups": op11_exact_groups,
 }
 
 #: SQL of what SQL can express; the others are held against brute force in the tests.
@@ -131,4 +137,5 @@ ORACLE: dict[str, str] = {
     "op6_bbit_minhash": oracles.near_documents_sql(75),
     "op7_template_lines": oracles.template_lines_sql(),
     "op8_link_graph": oracles.url_verdicts_sql(URL_RULES),
+    "op11_exact_groups": oracles.exact_groups_sql(),
 }
