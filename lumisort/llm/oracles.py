@@ -165,3 +165,23 @@ def exact_groups_sql() -> str:
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
        row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256 FROM d"""
+
+
+def hard_negatives_sql(positives: int = 5, negatives: int = 3) -> str:
+    """op13"""
+    return f"""
+WITH r AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, a.label AS l, a.q AS aq, r.id, r.label, r.q, CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+      FROM r a JOIN r ON len(a.q) = len(r.q) WHERE a.id % 50 = 0),
+p AS (SELECT anchor_id, aq, l, id AS positive_id, score AS ps FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id, aq, l ORDER BY score DESC, id) AS k FROM s
+        WHERE label = l AND NOT (id = anchor_id AND q = aq)) WHERE k <= {positives}),
+n AS (SELECT p.anchor_id, positive_id, ps, s.id AS negative_id, score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.aq, p.l, positive_id, ps ORDER BY score DESC, s.id) AS k
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND p.aq = s.aq AND p.l = s.l
+      WHERE s.label <> p.l AND 50 * ps <= 100 * score AND 100 * score <= 95 * ps)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, ps AS positive_score, score AS negative_score
+FROM n WHERE k <= {negatives}"""

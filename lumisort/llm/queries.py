@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.llm import bpe, exact, langid, minhash, mixing, oracles, phrases, quality, substring, templates, urls, vectors
+from lumisort.llm import bpe, exact, hardneg, langid, minhash, mixing, oracles, phrases, quality, substring, templates, urls, vectors
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -115,6 +115,13 @@ def op11_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op13_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every 50th vector."""
+    vec = F.col("vec_id")
+    label = F.when(vec % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(read_table(spark, sf_dir, "embeddings"), label=label, anchor=vec % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_run_length_index": op2_run_length_index,
@@ -127,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
     "op11_exact_groups": op11_exact_groups,
+    "op13_angular_negatives": op13_angular_negatives,
 }
 
 #: SQL of what SQL can express; the others are held against brute force in the tests.
@@ -138,4 +146,5 @@ ORACLE: dict[str, str] = {
     "op7_template_lines": oracles.template_lines_sql(),
     "op8_link_graph": oracles.url_verdicts_sql(URL_RULES),
     "op11_exact_groups": oracles.exact_groups_sql(),
+    "op13_angular_negatives": oracles.hard_negatives_sql(),
 }
