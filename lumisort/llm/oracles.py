@@ -167,6 +167,41 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
        row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256 FROM d"""
 
 
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of the ASCII ``text``, bit by bit."""
+    step = "xor(s >> 1, (s & 1) * 3988292384)"
+    byte = f"list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda s, _: {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {byte}), 4294967295::BIGINT)"
+
+
+def prefix_trie_sql() -> str:
+    """op12"""
+    return f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(
+                    length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || ':' || coalesce(text, ''))) AS p,
+                  coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {crc32_sql("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+own AS (SELECT c.conv_id, 0 AS k, t.p, role, text FROM c JOIN t ON t.conv_id = c.base WHERE t.p <= c.h
+        UNION ALL SELECT c.conv_id, 1, t.p, role, text FROM c JOIN t ON t.conv_id = c.conv_id WHERE t.p > c.h),
+r AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY k, p) AS d, md5(length(role)::VARCHAR || ':' || role || ':' || text) AS x,
+             octet_length(encode(text)) AS b FROM own),
+s AS (SELECT c.conv_id, coalesce(list(x ORDER BY d) FILTER (WHERE x IS NOT NULL), []) AS xs,
+             coalesce(list(b ORDER BY d) FILTER (WHERE x IS NOT NULL), []) AS bs FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+m AS (SELECT conv_id, d, len(xs) AS n, array_to_string(list_slice(xs, 1, d), ',') AS path, array_to_string(list_slice(xs, 1, d - 1), ',') AS up,
+             CASE WHEN d = 0 THEN 0 ELSE bs[d] END AS b FROM (SELECT *, unnest(range(0, len(xs) + 1)) AS d FROM s)),
+node AS MATERIALIZED (SELECT path, d, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(b) AS b,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends FROM m GROUP BY path, d),
+kids AS (SELECT up, d - 1 AS d, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+full_ AS MATERIALIZED (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids ON kids.up = node.path AND kids.d = node.d),
+sub AS (SELECT a.path, a.d, count(*) FILTER (WHERE v.n_children = 0) AS n_leaves, sum((v.n_convs - 1) * v.b) AS saved
+        FROM full_ a JOIN full_ v ON v.d >= a.d AND (a.d = 0 OR list_slice(string_split(v.path, ','), 1, a.d) = string_split(a.path, ','))
+        GROUP BY a.path, a.d)
+SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, sub.n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens,
+       f.ends AS ends_sha256
+FROM full_ f JOIN sub ON sub.path = f.path AND sub.d = f.d LEFT JOIN full_ p ON f.d > 0 AND p.path = f.up AND p.d = f.d - 1"""
+
+
 def hard_negatives_sql(positives: int = 5, negatives: int = 3) -> str:
     """op13"""
     return f"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisort.llm import bpe, exact, hardneg, langid, minhash, mixing, oracles, phrases, quality, substring, templates, urls, vectors
+from lumisort.llm import bpe, exact, hardneg, langid, minhash, mixing, oracles, phrases, quality, substring, templates, trie, urls, vectors
 from lumisort.llm.common import read_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -115,6 +115,13 @@ def op11_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op12_zfast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, each rebuilt on the first of its five."""
+    conv = F.col("conv_id").cast("bigint")
+    head = F.crc32(conv.cast("string").cast("binary")) % 9
+    return trie.prefix_trie(read_table(spark, sf_dir, "conversations"), base=conv - conv % 5, head=head, borrowed=8)
+
+
 def op13_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three hard negatives for each of the five positives of every 50th vector."""
     vec = F.col("vec_id")
@@ -134,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
     "op11_exact_groups": op11_exact_groups,
+    "op12_zfast_trie": op12_zfast_trie,
     "op13_angular_negatives": op13_angular_negatives,
 }
 
@@ -146,5 +154,6 @@ ORACLE: dict[str, str] = {
     "op7_template_lines": oracles.template_lines_sql(),
     "op8_link_graph": oracles.url_verdicts_sql(URL_RULES),
     "op11_exact_groups": oracles.exact_groups_sql(),
+    "op12_zfast_trie": oracles.prefix_trie_sql(),
     "op13_angular_negatives": oracles.hard_negatives_sql(),
 }
