@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumisort.functions.naming import ratio_label
-from lumisort.operators.ranking import sized, small_side
+from lumisort.operators.ranking import looked_up, small_side
 
 
 def resolve_split(train: DataFrame, test: DataFrame, key: str = "file_name", split_col: str = "split",
@@ -31,7 +31,7 @@ def resolve_split(train: DataFrame, test: DataFrame, key: str = "file_name", spl
     # then they are broadcast and the wide test rows are filtered in place;
     # otherwise the anti join shuffles by name (names are unique, no skew).
     dups = test.select(key).join(winners.select(key), key, "left_semi").distinct()
-    losers_ok = test.join(sized(dups)[0], key, "left_anti")
+    losers_ok = test.join(looked_up(dups), key, "left_anti")
     kept_train = train if valid_col is None else winners
     return kept_train.unionByName(losers_ok)
 

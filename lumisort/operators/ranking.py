@@ -8,7 +8,8 @@ about a group (a class, or a class and split) in a stated order:
 
 A window partitioned by the group answers both, but puts a whole group in one
 task.  That is fine for small groups and wrong for a hot one, so both functions
-first run one cheap aggregate (group count, largest group, total rows) and pick:
+first run one cheap aggregate (group count, largest group, total rows) and pick (inputs
+of a few files, by ``session.is_small``, take the window without asking):
 
 * **window**: every group fits a task (``lumisort.window.maxGroupRows``);
 * **range**: range-partition the *narrow* key columns on (group, order) -- a hot
@@ -43,6 +44,7 @@ from lumisort.session import (
     DEFAULT_WINDOW_MAX_GROUP_ROWS,
     conf_int,
     durable,
+    is_small,
 )
 
 STRATEGIES = ("auto", "window", "range")
@@ -72,6 +74,12 @@ def sized(df: DataFrame) -> tuple[DataFrame, int]:
     return small_side(copy, n), n
 
 
+def looked_up(df: DataFrame) -> DataFrame:
+    """A reliable copy of a narrow table to look rows up in: broadcast if all that it was made
+    from is small, or if it is counted within the limit (``sized``)."""
+    return F.broadcast(durable(df)) if is_small(df) else sized(df)[0]
+
+
 def small_side(df: DataFrame, row_bound: int) -> DataFrame:
     """Broadcast hint only behind a proven row bound; otherwise let the planner choose."""
     limit = conf_int(df.sparkSession, CONF_BROADCAST_MAX_ROWS, DEFAULT_BROADCAST_MAX_ROWS)
@@ -82,6 +90,8 @@ def _choose(df: DataFrame, group_cols, strategy: str, stats: GroupStats | None =
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if stats is None:
+        if strategy == "window" or (strategy == "auto" and is_small(df)):
+            return "window", GroupStats(0, 0, 0)  # no size is asked of a window
         stats = group_stats(df, group_cols)
     if strategy == "auto":
         limit = conf_int(df.sparkSession, CONF_WINDOW_MAX_GROUP_ROWS, DEFAULT_WINDOW_MAX_GROUP_ROWS)
@@ -161,16 +171,23 @@ def flag_first_k(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
                  out_col: str, strategy: str = "auto", stats: GroupStats | None = None) -> DataFrame:
     """Add boolean ``out_col``: the row is among the first ``k`` of its group in
     ``order_cols`` order (``rank() <= k``).  Wide columns of ``df`` are never shuffled."""
-    group_cols, order_cols = list(group_cols), list(order_cols)
     b, stats = boundary_keys(df, group_cols, order_cols, k, strategy, stats)
+    return flag_by_boundary(df, b, group_cols, order_cols, out_col, stats.groups)
+
+
+def flag_by_boundary(df: DataFrame, boundaries: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                     out_col: str, n_groups: int) -> DataFrame:
+    """``df`` with ``out_col``: its order keys are not after its group's boundary keys (``boundary_keys``).
+    ``n_groups``: groups at most, 0 for those of a small input."""
+    group_cols, order_cols = list(group_cols), list(order_cols)
     # The boundary table has at most one row per group and is exact whatever the
     # partitioning: store it so the caller's lineage stays one scan plus a small
     # join, even over chained calls.
-    b = durable(b)
+    b = durable(boundaries)
     gnames = [f"_g{i}" for i in range(len(group_cols))]
     b = b.select(*[F.col(c).alias(g) for c, g in zip(group_cols, gnames)],
                  *[F.col(f"_b{i}") for i in range(len(order_cols))], F.lit(True).alias("_has"))
-    b = small_side(b, stats.groups)
+    b = small_side(b, n_groups)
     joined = df.join(b, _null_safe_on(df, b, group_cols, gnames), "left")
     le = _lex_le([df[c] for c in order_cols], [F.col(f"_b{i}") for i in range(len(order_cols))])
     flag = F.coalesce(F.col("_has") & le, F.lit(False))

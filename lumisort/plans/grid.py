@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 from itertools import combinations
 
 from pyspark import StorageLevel
@@ -26,9 +25,8 @@ from lumisort.operators.joins import class_pairs
 from lumisort.operators.models import predict
 from lumisort.operators.problems import resolve_mode
 from lumisort.operators.ranking import small_side
-from lumisort.operators.split import rebalance, systematic_sample
+from lumisort.operators.split import chained_rebalance, systematic_sample
 from lumisort.plans.evaluate import evaluate, resolve_samples
-from lumisort.session import durable
 
 RESULT_SCHEMA = ("class1 string, class0 string, cutoff double, train_test string, mode string, model string, "
                  "n_train long, n_test long, tp double, tn double, accuracy double, note string")
@@ -37,12 +35,8 @@ KEY = ["label_name", "file_name"]
 
 def chained_splits(narrow: DataFrame, cutoffs: Sequence[float], seed: int | str = 1) -> DataFrame:
     """``narrow`` (class, name, split, ...) with a column ``split_<i>`` per cutoff: the
-    assignment after rebalancing to it from the one before.  Every step is stored."""
-    cur = durable(narrow)
-    for i, c in enumerate(cutoffs):
-        moved = rebalance(cur, c, seed)
-        cur = durable(moved.withColumn(f"split_{i}", F.col("split")))
-    return cur
+    assignment after rebalancing to it from the one before.  The ranked rows are stored once."""
+    return chained_rebalance(narrow, cutoffs, seed)
 
 
 def run_grid(df: DataFrame, classes: Sequence[str], cutoffs: Sequence[float] = (0.3, 0.6, 0.9),
@@ -127,26 +121,26 @@ def score_grid(df: DataFrame, model, classes: Sequence[str], cutoffs: Sequence[f
 
     Every vector is scored once.  The stored narrow table (class, name, split,
     prediction) is rebalanced, counted by class, cutoff and prediction, and those
-    few counts are joined to the (parameter-sized) pair table."""
-    spark = df.sparkSession
+    few counts are dealt to the (parameter-sized) list of problems."""
     classes = list(dict.fromkeys(classes))
     mode = resolve_mode(mode)
     usable = F.col("features").isNotNull() & (F.size("features") > 0)
     scored = predict(model, df.withColumn("_usable", usable)).select(*KEY, "split", "_usable", "prediction")
     chain = chained_splits(scored, cutoffs, seed)
-    counts = reduce(DataFrame.unionByName, [
-        chain.where((F.col(f"split_{i}") == "test") & F.col("_usable"))
-        .groupBy("label_name", "prediction").agg(F.count(F.lit(1)).alias("n")).withColumn("cutoff", F.lit(float(c)))
-        for i, c in enumerate(cutoffs)])
+    states = F.array(*[F.struct(F.lit(float(c)).alias("cutoff"), F.col(f"split_{i}").alias("split"))
+                       for i, c in enumerate(cutoffs)])
+    counts = (chain.where("_usable").select("label_name", "prediction", F.explode(states).alias("s"))
+              .where(F.col("s.split") == "test").groupBy("label_name", "prediction", F.col("s.cutoff").alias("cutoff"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    # a few counts per class: each takes part in every problem that its class belongs to
+    points = list(combinations(classes, 2)) if mode == "ovo" else [(c, "all") for c in classes]
+    if not points:
+        counts, points = counts.where("false"), [("", "")]
+    problem = F.explode(F.array(*[F.struct(F.lit(a).alias("class1"), F.lit(b).alias("class0")) for a, b in points]))
+    prob = counts.select("*", problem.alias("p")).select("*", "p.class1", "p.class0")
     if mode == "ovo":
-        pairs = small_side(class_pairs(spark, classes).select("class1", "class0"), len(classes) * (len(classes) - 1) // 2)
-        pos = counts.join(pairs, F.col("label_name") == F.col("class1")).withColumn("label", F.lit(1.0))
-        neg = counts.join(pairs, F.col("label_name") == F.col("class0")).withColumn("label", F.lit(0.0))
-        prob = pos.unionByName(neg)
-    else:
-        prob = counts.withColumn("class1", F.explode(F.array(*[F.lit(c) for c in classes])))
-        prob = prob.withColumn("class0", F.lit("all")).withColumn(
-            "label", F.when(F.col("label_name") == F.col("class1"), 1.0).otherwise(0.0))
+        prob = prob.where((F.col("label_name") == F.col("class1")) | (F.col("label_name") == F.col("class0")))
+    prob = prob.withColumn("label", F.when(F.col("label_name") == F.col("class1"), 1.0).otherwise(0.0))
     right = F.coalesce(F.col("label") == F.col("prediction"), F.lit(False))
     acc = prob.groupBy("class1", "class0", "cutoff").agg(
         F.sum("n").alias("n_test"), F.coalesce(F.sum(F.when(right, F.col("n"))), F.lit(0)).alias("n_correct"))

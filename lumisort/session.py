@@ -18,10 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 CONF_WINDOW_MAX_GROUP_ROWS = "lumisort.window.maxGroupRows"
 CONF_BROADCAST_MAX_ROWS = "lumisort.broadcast.maxRows"
 CONF_RANGE_ROWS_PER_PARTITION = "lumisort.range.rowsPerPartition"
+CONF_SMALL_INPUT_BYTES = "lumisort.small.inputBytes"
 
 DEFAULT_WINDOW_MAX_GROUP_ROWS = 1_000_000
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
 DEFAULT_RANGE_ROWS_PER_PARTITION = 2_000_000
+DEFAULT_SMALL_INPUT_BYTES = 32 << 20
 
 
 def build_session(master: str | None = None, app_name: str = "lumisort",
@@ -59,6 +61,17 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
     return int(v) if v not in (None, "") else default
 
 
+def is_small(df: DataFrame) -> bool:
+    """All that the plan reads is at most ``lumisort.small.inputBytes`` (known from file sizes,
+    without a job).  Then group counts, row counts and size checks are not worth their jobs."""
+    limit = conf_int(df.sparkSession, CONF_SMALL_INPUT_BYTES, DEFAULT_SMALL_INPUT_BYTES)
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    try:
+        return sum(leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())) <= limit
+    except ValueError:  # estimates of joins multiply; Python refuses to read numbers of thousands of digits
+        return False
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -114,11 +127,13 @@ def remove_scratch(spark: SparkSession, path: str) -> bool:
 
 def durable(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (written to the shared folder): cuts lineage and
-    survives executor loss.  Meant for small/narrow tables.  The table is
-    persisted for the duration so writing the checkpoint does not compute the
-    plan a second time."""
+    survives executor loss.  Meant for small/narrow tables.  Unless all that it
+    reads is small, the table is persisted for the duration, so that writing the
+    checkpoint does not compute the plan a second time."""
     from pyspark import StorageLevel
     checkpoint_root(df.sparkSession)
+    if is_small(df):
+        return df.checkpoint(eager=True)
     d = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return d.checkpoint(eager=True)

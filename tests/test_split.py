@@ -150,3 +150,64 @@ def test_rebalance_skips_names_at_destination(spark):
     skip = S.rebalance(df, 0.0, skip_existing_at_destination=True)
     assert counts(skip)[("c0", "train")] == 1
     assert [r.file_name for r in skip.where("split = 'train'").collect()] == ["c0_0001.json"]
+
+
+def stepwise(df, cutoffs, seed=1, strategy="auto"):
+    """The chain one ``rebalance`` after the other."""
+    cur = df
+    for i, c in enumerate(cutoffs):
+        cur = S.rebalance(cur, c, seed, strategy=strategy)
+        cur = cur.withColumn(f"split_{i}", F.col("split"))
+    return cur
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select("label_name", "file_name", "split", *sorted(c for c in df.columns if c.startswith("split_")))
+                      .collect()), key=str)
+
+
+@pytest.mark.parametrize("strategy", ["window", "range"])
+def test_chain_equals_steps(spark, strategy):
+    sizes = [0, 1, 2, 7, 10, 37, 60]
+    for flip, cuts in enumerate([(0.3, 0.6, 0.9), (0.9, 0.2, 0.5, 0.1, 0.95), (1.0, 0.0, 0.5), (0.5, 0.5, 0.4, 0.45, 0.3, 0.8)]):
+        df = frame(spark, sizes, split=lambda k, i: "train" if (i * (k + 3) + flip) % 7 < 2 + flip else "test").repartition(3)
+        assert rows_of(S.chained_rebalance(df, cuts, strategy=strategy)) == rows_of(stepwise(df, cuts))
+
+
+def test_chain_with_rows_in_neither_split(spark):
+    # they count for the target, never move, and may leave too few rows to move
+    df = frame(spark, [20, 6], split=lambda k, i: [None, "other", "train", "test"][(i + k) % 4])
+    cuts = (0.9, 0.3, 0.6)
+    want = rows_of(stepwise(df, cuts))
+    for strategy in ("window", "range"):
+        assert rows_of(S.chained_rebalance(df, cuts, strategy=strategy)) == want
+    null_class = df.withColumn("label_name", F.when(F.col("label_name") == "c0", F.col("label_name")))
+    assert rows_of(S.chained_rebalance(null_class, cuts)) == rows_of(stepwise(null_class, cuts))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(sizes=st.lists(st.integers(0, 25), min_size=1, max_size=4), flip=st.integers(1, 6),
+       cuts=st.lists(st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.75, 0.8, 1.0]), min_size=1, max_size=5))
+def test_chain_properties(spark, sizes, flip, cuts):
+    df = frame(spark, sizes, split=lambda k, i: "train" if (i + k) % flip else "test")
+    assert rows_of(S.chained_rebalance(df, cuts, strategy="window")) == rows_of(stepwise(df, cuts))
+
+
+def test_chain_of_many_rows_in_few_jobs(spark, tmp_dir):
+    path = tmp_dir + "/rows"
+    (spark.range(300_000).select(F.concat(F.lit("f"), (F.col("id") * 7919 % 300_007).cast("string")).alias("file_name"),
+                                 F.when(F.col("id") % 3 == 0, F.lit("a")).otherwise(F.lit("b")).alias("label_name"),
+                                 F.when(F.col("id") % 5 < 3, F.lit("train")).otherwise(F.lit("test")).alias("split"))
+     .write.parquet(path))
+    df = spark.read.parquet(path)
+    digest = [F.count_if(F.col(c) == "train") for c in ("split_0", "split_1", "split_2")] + [
+        F.sum(F.when(F.col(c) == "train", F.xxhash64("file_name") % 1000003)) for c in ("split_0", "split_1", "split_2")]
+    cuts = (0.3, 0.6, 0.9)
+    want = [tuple(r) for r in stepwise(df, cuts).groupBy("label_name").agg(*digest).orderBy("label_name").collect()]
+    for strategy in ("window", "range"):
+        spark.sparkContext.setJobGroup(f"chain-{strategy}", "chain")
+        out = S.chained_rebalance(df, cuts, strategy=strategy)
+        got = [tuple(r) for r in out.groupBy("label_name").agg(*digest).orderBy("label_name").collect()]
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"chain-{strategy}"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert got == want and (strategy == "range" or jobs <= 12)
