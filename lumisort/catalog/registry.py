@@ -36,7 +36,7 @@ from lumisort.operators import joins as J
 from lumisort.operators import problems as P
 from lumisort.operators import split as S
 from lumisort.operators.models import LinearModel, predict
-from lumisort.sources.samples import embeddings_samples, table
+from lumisort.sources.samples import CLASS_NAMES, embeddings_samples, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -496,7 +496,7 @@ def q_svm_ovo(spark, sf_dir):
 @register("svm_sgd_ovo", _POSITIONAL_06 + problem_cte("s6", *OVO_PAIR) + "," + svm_cte(100, 0.001)
           + evaluation_sql(*OVO_PAIR, "svm", _SVM_HIT))
 def q_svm_sgd_ovo(spark, sf_dir):
-    """The same problem with the reference's solver (MLlib SGD)."""
+    """The same problem with the reference's solver (full-batch descent)."""
     return _eval_row(_positional_06(spark, sf_dir), OVO_PAIR[0], OVO_PAIR[1], "ovo", solver="sgd")
 
 
@@ -577,19 +577,52 @@ def q_evaluate_overlap(spark, sf_dir):
 
 
 @register("model_roundtrip", _POSITIONAL_06 + problem_cte("s6", *OVO_PAIR) + "," + _SVM_TO_MINIMUM + f"""
-SELECT file_name, label, CASE WHEN {_SVM_HIT} THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+SELECT file_name, label, CASE WHEN {_SVM_HIT} THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction,
+       CASE WHEN {_SVM_HIT} THEN '{OVO_PAIR[0]}' ELSE '{OVO_PAIR[1]}' END AS predicted_class
 FROM prob p JOIN svm m USING (pid) WHERE split = 'test'""")
 def q_model_roundtrip(spark, sf_dir):
-    """Test predictions of a fitted model that was saved and loaded again."""
-    from lumisort.operators.models import load_model, save_model
+    """Test predictions of a fitted model that was saved and loaded again, once as a model and once as a bundle
+    that names its classes."""
+    from lumisort.operators.models import ModelBundle, load_model, save_model
     from lumisort.plans.evaluate import fit
     from lumisort.session import remove_scratch, scratch_path
     prob = P.select_problem(_positional_06(spark, sf_dir), OVO_PAIR[0], OVO_PAIR[1], "ovo")
-    path = scratch_path(spark, "model")
-    save_model(fit(prob.where(F.col("split") == "train")), path)
-    model = load_model(path)
+    path, named = scratch_path(spark, "model"), scratch_path(spark, "bundle")
+    model = fit(prob.where(F.col("split") == "train"))
+    save_model(model, path)
+    ModelBundle.of(model, (OVO_PAIR[1], OVO_PAIR[0])).save(spark, named)
+    model, bundle = load_model(path), ModelBundle.load(spark, named)
     remove_scratch(spark, path)
-    return predict(model, prob.where(F.col("split") == "test")).select("file_name", "label", "prediction")
+    remove_scratch(spark, named)
+    test = bundle.predict(prob.where(F.col("split") == "test"))
+    return predict(model, test).select("file_name", "label", "prediction", "predicted_class")
+
+
+def _ovr_sql() -> str:
+    names = ", ".join(f"({i}, '{c}')" for i, c in enumerate(sorted(CLASS_NAMES)))
+    return (_REBALANCED_06 + f"""classes(pid, class1) AS (VALUES {names}),
+prob AS (SELECT c.pid, file_name, split, CASE WHEN label_name = class1 THEN 1.0 ELSE 0.0 END::DOUBLE AS label, features AS x
+         FROM r6, classes c WHERE features IS NOT NULL AND len(features) > 0),
+""" + svm_cte(600, 0.0) + """,
+best AS (SELECT p.file_name, arg_max(c.class1, list_dot_product(m.w, p.x)) AS prediction
+         FROM prob p JOIN svm m USING (pid) JOIN classes c USING (pid) WHERE split = 'test' GROUP BY p.file_name)
+SELECT r6.file_name, label_name, prediction FROM r6 LEFT JOIN best USING (file_name) WHERE split = 'test'""")
+
+
+@register("ovr_predictions", _ovr_sql())
+def q_ovr_predictions(spark, sf_dir):
+    """All classes at once: one-vs-rest SVMs after a 0.6 rebalance, saved and loaded as a bundle; the class with the
+    largest margin for every test row."""
+    from lumisort.operators.many import train_one_vs_rest
+    from lumisort.operators.models import ModelBundle
+    from lumisort.session import remove_scratch, scratch_path
+    s = S.rebalance(_samples(spark, sf_dir), 0.6, SEED)
+    path = scratch_path(spark, "ovr")
+    ModelBundle.of(train_one_vs_rest(s.where(F.col("split") == "train"))).save(spark, path)
+    bundle = ModelBundle.load(spark, path)
+    remove_scratch(spark, path)
+    return bundle.predict(s.where(F.col("split") == "test")).select(
+        "file_name", "label_name", F.col("predicted_class").alias("prediction"))
 
 
 @register("run_summary", _POSITIONAL_06 + problem_cte("s6", *OVO_PAIR) + "," + _SVM_TO_MINIMUM + f""",

@@ -2,10 +2,10 @@
 
 ``train_svm`` minimises the reference's objective (hinge loss + L2, no
 intercept, no scaling): by default with ``LinearSVC`` (OWL-QN, DataFrame API),
-or with MLlib's ``SVMWithSGD`` (``solver='sgd'``, the reference's solver) for
-parity only: its API takes an RDD, so rows pass through Python one by one, and the
-grid does not offer it.  Both return a model wrapped as ``LinearModel`` so prediction,
-scoring and persistence are the same DataFrame code.
+or with the reference's full-batch descent (``solver='sgd'``, the steps of MLlib's
+``SVMWithSGD``), each step one DataFrame aggregate (``operators.many``).  Both return a model
+wrapped as ``LinearModel`` so prediction, scoring and persistence are the same
+DataFrame code.  A ``ModelBundle`` holds a model with the names of its classes.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumisort.functions.naming import prediction_to_class
 from lumisort.functions.vectors import linear_margin, svm_prediction, to_ml_vector
 
 SOLVERS = ("owlqn", "sgd")
@@ -54,15 +55,14 @@ def train_svm(df: DataFrame, iterations: int = 100, reg: float = 0.1, solver: st
         est = LinearSVC(maxIter=iterations, regParam=reg, fitIntercept=False, standardization=False)
         m = est.fit(data)
         return LinearModel(m.coefficients.toArray().tolist(), float(m.intercept), "svm", 0.0, m)
-    # MLlib SGD: the RDD API is the only way to reach it.
-    from pyspark.mllib.classification import SVMWithSGD
-    from pyspark.mllib.linalg import Vectors as MLlibVectors
-    from pyspark.mllib.regression import LabeledPoint
-
-    rdd = df.select(F.col(label_col).cast("double"), F.col(features_col).cast("array<double>")).rdd.map(
-        lambda r: LabeledPoint(r[0], MLlibVectors.dense(r[1])))
-    m = SVMWithSGD.train(rdd, iterations=iterations, step=step, regParam=reg, regType="l2", intercept=False)
-    return LinearModel(m.weights.toArray().tolist(), float(m.intercept), "svm", 0.0, m)
+    from lumisort.operators.many import train_many
+    sign = F.when(F.col(label_col) == 1.0, F.lit(1)).otherwise(F.lit(-1))
+    tags = F.array(F.struct(F.lit(0).alias("p"), sign.alias("s")))
+    models, sizes = train_many(df.select(to_ml_vector(features_col).alias("x"), tags.alias("tags")), 1, iterations, reg,
+                               "sgd", step)
+    if models[0] is None:
+        raise ValueError(f"train rows of both classes are needed, got {sizes[0].tolist()}")
+    return models[0]
 
 
 def train_logreg(df: DataFrame, iterations: int = 100, reg: float = 0.01, features_col: str = "features",
@@ -146,6 +146,65 @@ def load_model(path: str, kind: str = "svm") -> LinearModel:
     return LinearModel(m.coefficients.toArray().tolist(), float(m.intercept), "svm", 0.0, m)
 
 
+@dataclass
+class ModelBundle:
+    """All that scoring needs: a row of weights per model, the class names and how to read them.
+
+    ``mode`` 'ovo': one model, ``classes`` = (class for 0, class for 1).  'ova': one model, the class for 0 is
+    'all'.  'ovr': one model per class, the largest margin wins."""
+    classes: list[str]
+    weights: list[list[float]]
+    intercepts: list[float]
+    mode: str = "ovo"
+    kind: str = "svm"
+
+    @property
+    def dimension(self) -> int:
+        return len(self.weights[0])
+
+    @classmethod
+    def of(cls, model, classes=None, mode: str = "ovo") -> "ModelBundle":
+        """From a ``LinearModel`` with its two class names, or from a ``OneVsRest``."""
+        if isinstance(model, LinearModel):
+            if classes is None or len(classes) != 2:
+                raise ValueError("a binary model needs the names of class 0 and class 1")
+            return cls(list(classes), [list(model.weights)], [model.intercept], mode, model.kind)
+        return cls(list(model.classes), model.weights.tolist(), [0.0] * len(model.classes), "ovr")
+
+    def predict(self, df: DataFrame, features_col: str = "features") -> DataFrame:
+        """``df`` with ``margin`` (of the predicted class for 'ovr') and ``predicted_class``; both null for missing
+        vectors and those of another length."""
+        from lumisort.operators.many import OneVsRest, argmax_class
+        if self.mode == "ovr":
+            import numpy as np
+            out = OneVsRest(self.classes, np.array(self.weights)).predict(df, features_col, keep_margins=True)
+            return (out.withColumn("margin", F.array_max("margins"))
+                    .withColumn("predicted_class", argmax_class(F.col("margins"), self.classes)).drop("margins", "prediction"))
+        model = LinearModel(self.weights[0], self.intercepts[0], self.kind)
+        out = predict(model, df.drop("prediction", "margin"), features_col, engine="sql")
+        return out.withColumn("predicted_class", prediction_to_class("prediction", *self.classes)).drop("prediction", "probability")
+
+    def save(self, spark: SparkSession, path: str, if_absent: bool = True) -> bool:
+        """One JSON row.  With ``if_absent`` an existing bundle is kept.  Returns True if written."""
+        if if_absent and _exists(path):
+            return False
+        row = (self.mode, self.kind, self.classes, self.dimension, [[float(x) for x in w] for w in self.weights],
+               [float(x) for x in self.intercepts])
+        spark.createDataFrame([row], BUNDLE_SCHEMA).coalesce(1).write.mode("overwrite").json(path)
+        return True
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "ModelBundle":
+        r = spark.read.schema(BUNDLE_SCHEMA).json(path).first()
+        if r is None or r["classes"] is None or any(len(w) != r["dimension"] for w in r["weights"]):
+            raise ValueError(f"{path} holds no model bundle")
+        return cls(list(r["classes"]), [list(w) for w in r["weights"]], list(r["intercepts"]), r["mode"], r["kind"])
+
+
+BUNDLE_SCHEMA = ("mode string, kind string, classes array<string>, dimension int, weights array<array<double>>, "
+                 "intercepts array<double>")
+
+
 def _exists(path: str) -> bool:
     sc = SparkSession.getActiveSession().sparkContext
     p = sc._jvm.org.apache.hadoop.fs.Path(path)
