@@ -124,6 +124,35 @@ def problem_sizes(data: DataFrame, k: int) -> tuple[np.ndarray, int]:
     return out, d
 
 
+def _simplex_qp(gram: np.ndarray, linear: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """The ``a`` >= 0 with sum 1 that maximises linear . a - a . gram . a / 2, by active sets from the feasible ``a``."""
+    # strictly convex, so that a plane that enters gains weight; any feasible ``a`` gives a valid bound
+    gram = gram + 1e-12 * max(gram.diagonal().max(), 1e-300) * np.eye(len(gram))
+    a, support = a.copy(), list(np.flatnonzero(a > 0))
+    for _ in range(50 + 10 * len(a)):
+        n = len(support)
+        kkt = np.ones((n + 1, n + 1))
+        kkt[:n, :n], kkt[n, n] = gram[np.ix_(support, support)], 0.0
+        best = np.linalg.lstsq(kkt, np.append(linear[support], 1.0), rcond=None)[0]
+        now, aim = a[support], best[:n]
+        if (aim < -1e-13).any():  # as far as all stay positive; the first to reach zero leaves
+            falls = aim < -1e-13
+            part = np.min(now[falls] / (now[falls] - aim[falls]))
+            a[support] = np.maximum(now + part * (aim - now), 0)
+            gone = support[int(np.argmin(np.where(falls, now / np.where(falls, now - aim, 1), np.inf)))]
+            a[gone] = 0.0
+            support.remove(gone)
+            continue
+        a[support] = np.maximum(aim, 0)
+        a /= a.sum()
+        slope = linear - gram @ a
+        i = int(np.argmax(slope))
+        if i in support or slope[i] <= slope @ a + 1e-14 * max(1.0, abs(slope[i])):
+            break
+        support.append(i)
+    return a
+
+
 class _Bundle:
     """Cutting planes of one problem and the weights that minimise them."""
 
@@ -141,17 +170,7 @@ class _Bundle:
         self.offsets = np.append(self.offsets, loss - grad @ self.next)
         self.dual = np.append(self.dual, 0.0 if len(self.dual) else 1.0)
         gram = self.planes @ self.planes.T / self.reg
-        for _ in range(200 * len(self.dual)):  # pairs of planes exchange weight until none gains
-            slope = self.offsets - gram @ self.dual
-            i = int(np.argmax(slope))
-            used = np.flatnonzero(self.dual > 0)
-            j = used[int(np.argmin(slope[used]))]
-            if slope[i] - slope @ self.dual < 1e-14:
-                break
-            curve = gram[i, i] + gram[j, j] - 2 * gram[i, j]
-            move = min(self.dual[j], (slope[i] - slope[j]) / curve if curve > 0 else np.inf)
-            self.dual[i] += move
-            self.dual[j] -= move
+        self.dual = _simplex_qp(gram, self.offsets, self.dual)
         self.next = -self.planes.T @ self.dual / self.reg
         self.gap = self.value - (self.offsets @ self.dual - self.reg / 2 * self.next @ self.next)
 
