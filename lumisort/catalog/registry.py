@@ -576,6 +576,25 @@ def q_evaluate_overlap(spark, sf_dir):
     return _eval_row(both, OVO_PAIR[0], OVO_PAIR[1], "ovo")
 
 
+_READABLE = "substr(file_name, -6, 1) <> '3'"
+
+
+@register("evaluate_unreadable", "WITH RECURSIVE " + NAMED_CTE + ",\n" + positional_cte("a", "named", 0.8) + ",\n"
+          + positional_cte("b", "named", 0.5) + f""",
+read_ AS (SELECT * FROM a WHERE split = 'train' AND {_READABLE}),
+mixed AS (SELECT * FROM read_ UNION ALL SELECT * FROM b WHERE split = 'test' AND file_name NOT IN (SELECT file_name FROM read_)),
+""" + problem_cte("mixed", *OVO_PAIR) + "," + _SVM_TO_MINIMUM + evaluation_sql(*OVO_PAIR, "svm", _SVM_HIT))
+def q_evaluate_unreadable(spark, sf_dir):
+    """Names in both splits, some with a train copy that can't be read: those are test rows."""
+    from lumisort.plans.evaluate import evaluate
+    s = embeddings_samples(spark, sf_dir, with_split=False)
+    readable = (F.substring("file_name", -6, 1) != "3") | (F.col("split") == "test")
+    both = (S.split_positional(s, 0.8).where(F.col("split") == "train")
+            .unionByName(S.split_positional(s, 0.5).where(F.col("split") == "test"))).withColumn("readable", readable)
+    row, _ = evaluate(both, OVO_PAIR[0], OVO_PAIR[1], "ovo", valid_col="readable")
+    return row.withColumn("accuracy", F.round("accuracy", 6))
+
+
 @register("model_roundtrip", _POSITIONAL_06 + problem_cte("s6", *OVO_PAIR) + "," + _SVM_TO_MINIMUM + f"""
 SELECT file_name, label, CASE WHEN {_SVM_HIT} THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction,
        CASE WHEN {_SVM_HIT} THEN '{OVO_PAIR[0]}' ELSE '{OVO_PAIR[1]}' END AS predicted_class
@@ -716,16 +735,20 @@ SELECT vec_id, CAST(j AS BIGINT) AS dim, CASE WHEN vec_id % 25 <> 4 THEN
 FROM cell, range(5) o(j) GROUP BY vec_id, j"""
 
 
+def _grey_image():
+    """An 8 x 8 grey image as Spark's image source gives it, made of the embedding; some lack a byte."""
+    hexes = F.transform("embedding", lambda x: F.lpad(F.hex((F.floor(F.abs(x.cast("double")) * 1000) % 256).cast("bigint")), 2, "0"))
+    data = F.unhex(F.array_join(hexes, ""))
+    data = F.when(F.col("vec_id") % 25 == 4, F.substring(data, 1, 63)).otherwise(data)
+    return F.struct(F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), data.alias("data"))
+
+
 @register("image_featurize", _image_sql())
 def q_image_featurize(spark, sf_dir):
     """Image steps on given data: 8 x 8 grey images made of the embeddings, some
     with a byte missing; three channels, resize to 4 x 4, mean-centred, model."""
     from lumisort.operators.featurize import featurize, projection_model
-    hexes = F.transform("embedding", lambda x: F.lpad(F.hex((F.floor(F.abs(x.cast("double")) * 1000) % 256).cast("bigint")), 2, "0"))
-    data = F.unhex(F.array_join(hexes, ""))
-    data = F.when(F.col("vec_id") % 25 == 4, F.substring(data, 1, 63)).otherwise(data)
-    img = F.struct(F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), data.alias("data"))
-    f = featurize(table(spark, sf_dir, "embeddings").select("vec_id", img.alias("image")), projection_model(48, 5), "image",
+    f = featurize(table(spark, sf_dir, "embeddings").select("vec_id", _grey_image().alias("image")), projection_model(48, 5), "image",
                   image_size=4)
     five = F.coalesce("features", F.array_repeat(F.lit(None).cast("double"), 5))
     return f.select("vec_id", F.posexplode(five).alias("dim", "value")).select(
@@ -757,8 +780,87 @@ def q_stream_score(spark, sf_dir):
     return out.select("file_name", "success", "prediction", F.round("margin", 6).alias("margin"), "error")
 
 
+@register("stream_scored_once", ORACLE["stream_score"])
+def q_stream_scored_once(spark, sf_dir):
+    """Embeddings as a stream in which every row comes twice, run a second time from the start: one reply a name."""
+    from lumisort.session import durable, remove_scratch, scratch_path
+    from lumisort.sources.samples import CLASS_NAMES, FAILED_EXTRACTION_MOD, FAILED_EXTRACTION_REM, samples_from_table
+    from lumisort.streaming.score_stream import commit_stream, first_of_key, reply_table, score_frame, stream_table
+    root = scratch_path(spark, "replies")
+    table = reply_table(spark, root)
+    failed = (F.col("vec_id") % FAILED_EXTRACTION_MOD) == FAILED_EXTRACTION_REM
+    for name in ("first", "second"):
+        src = stream_table(spark, f"{sf_dir.rstrip('/')}/embeddings.parquet", "vec_id bigint, embedding array<float>, label int")
+        src = src.select("*", F.col("_metadata.file_modification_time").alias("at"), F.explode(F.array(F.lit(0), F.lit(1))))
+        src = first_of_key(src, ["vec_id"], "at")
+        s = samples_from_table(src, "vec_id", "embedding", "label", CLASS_NAMES, failed)
+        ckpt = scratch_path(spark, "replies-ckpt")
+        commit_stream(score_frame(s, PROBE_MODEL, (OVO_PAIR[1], OVO_PAIR[0])), table, name, ckpt).awaitTermination()
+        remove_scratch(spark, ckpt)
+    out = durable(table.read())
+    remove_scratch(spark, root)
+    return out.select("file_name", "success", "prediction", F.round("margin", 6).alias("margin"), "error")
+
+
+IMAGE_WEIGHTS = [0.02, -0.05, 0.03, 0.04, -0.01]
+
+
+def _image_score_sql() -> str:
+    return "WITH f AS (" + _image_sql() + f"""),
+v AS (SELECT vec_id, bool_and(value IS NOT NULL) AS ok, sum(value * list_extract({sql_list(IMAGE_WEIGHTS)}, dim + 1)) AS margin FROM f GROUP BY vec_id)
+SELECT CAST(vec_id AS VARCHAR) || '.png' AS file_name, ok AS success,
+       CASE WHEN ok THEN CASE WHEN margin > 0 THEN 'yes' ELSE 'no' END END AS prediction,
+       CASE WHEN ok THEN round(margin, 5) END AS margin, CASE WHEN NOT ok THEN 'decode: size mismatch' END AS error FROM v"""
+
+
+@register("stream_image_score", _image_score_sql())
+def q_stream_image_score(spark, sf_dir):
+    """Images as a stream (8 x 8 grey ones made of the embeddings, some with a byte missing), decoded, featurised and
+    scored per micro-batch; one reply a name."""
+    from lumisort.operators.featurize import projection_model
+    from lumisort.session import durable, remove_scratch, scratch_path
+    from lumisort.streaming.score_stream import commit_stream, reply_table, score_frame, stream_table
+    src = stream_table(spark, f"{sf_dir.rstrip('/')}/embeddings.parquet", "vec_id bigint, embedding array<float>, label int")
+    images = src.select(F.concat(F.col("vec_id").cast("string"), F.lit(".png")).alias("file_name"), _grey_image().alias("image"))
+    root, ckpt = scratch_path(spark, "image-replies"), scratch_path(spark, "image-replies-ckpt")
+    table = reply_table(spark, root)
+    scored = score_frame(images, LinearModel(IMAGE_WEIGHTS, 0.0, "svm"), ("no", "yes"), model_fn=projection_model(48, 5), image_size=4)
+    commit_stream(scored, table, "images", ckpt).awaitTermination()
+    out = durable(table.read())
+    remove_scratch(spark, root)
+    remove_scratch(spark, ckpt)
+    return out.select("file_name", "success", "prediction", F.round("margin", 5).alias("margin"), "error")
+
+
 # ------------------------------------------------------ sink -> source trips
 
+@register("feature_table_reruns", samples_ctes() + """
+SELECT file_name, label_name, split, features IS NULL AS is_null, CAST(len(features) AS BIGINT) AS n,
+       round(list_sum(features), 6) AS total FROM samples""")
+def q_feature_table_reruns(spark, sf_dir):
+    """Features committed in runs: some rows, the same run again, an attempt that dies before its commit, all rows,
+    rows that replace others, and the versions folded into one."""
+    from lumisort.session import durable, remove_scratch, scratch_path
+    from lumisort.sinks.committed import feature_table
+    s = _samples(spark, sf_dir).withColumn("error", F.lit(None).cast("string"))
+    some = F.substring("file_name", -6, 1).isin("1", "2", "5")
+    root = scratch_path(spark, "feature-table")
+    table = feature_table(spark, root)
+    wrong = F.array(F.lit(0.5))
+    table.append(s.where(some).withColumn("features", wrong), "a")
+    table.append(s.where(some), "a")
+    table._write_attempt(s, "died")
+    table.append(s, "b")
+    table.replace(s.where(some), "c")
+    table.compact()
+    table.clean()
+    out = durable(table.read().select(
+        "file_name", "label_name", "split", F.col("features").isNull().alias("is_null"), F.size("features").cast("long").alias("n"),
+        F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("total")))
+    remove_scratch(spark, root)
+    return out
+
+
 @register("feature_roundtrip", samples_ctes() + """
 SELECT file_name, label_name, split, features IS NULL AS is_null, CAST(len(features) AS BIGINT) AS n,
        round(list_sum(features), 6) AS total FROM samples""")

@@ -12,10 +12,12 @@ from lumisort.operators.problems import resolve_mode, select_problem
 MODEL_KINDS = ("svm", "logreg")
 
 
-def resolve_samples(df: DataFrame, split_col: str = "split", key: str = "file_name") -> DataFrame:
-    """A name in both splits counts as train only (before any vector is dropped)."""
+def resolve_samples(df: DataFrame, split_col: str = "split", key: str = "file_name",
+                    valid_col: str | None = None) -> DataFrame:
+    """A name in both splits counts as train only (before any vector is dropped).  ``valid_col`` (the ``readable``
+    flag of ``read_feature_json``): a train copy that could not be read is dropped and leaves the name to test."""
     return resolve_split(df.where(F.col(split_col) == "train"), df.where(F.col(split_col) == "test"), key,
-                         split_col).select(*df.columns)
+                         split_col, valid_col).select(*df.columns)
 
 
 def fit(train: DataFrame, model: str = "svm", solver: str = "owlqn", iterations: int = 100,
@@ -30,15 +32,17 @@ def fit(train: DataFrame, model: str = "svm", solver: str = "owlqn", iterations:
 
 def evaluate(df: DataFrame, class1: str, class0: str | None = None, mode: str = "ova", model: str = "svm",
              match: str = "exact", solver: str = "owlqn", iterations: int = 100, reg: float | None = None,
-             split_col: str = "split", resolve: bool = True, sides: tuple[int, int] | None = None) -> tuple[DataFrame, LinearModel | None]:
+             split_col: str = "split", resolve: bool = True, sides: tuple[int, int] | None = None,
+             valid_col: str | None = None) -> tuple[DataFrame, LinearModel | None]:
     """One row: class1, class0, mode, model, n_train, n_test, tp, tn, accuracy
-    (percent), note.  Names in both splits are trained on only (``resolve``).  A train
+    (percent), note.  Names in both splits are trained on only (``resolve``), unless ``valid_col`` says that the
+    train copy could not be read.  A train
     set of one class cannot be fitted: NULL tp, tn and accuracy, a note, no model.
     ``sides``: positive and negative train rows, where the caller has counted them."""
     m_mode = resolve_mode(mode)
     if model not in MODEL_KINDS:
         raise ValueError(f"model must be one of {MODEL_KINDS}")
-    prob = select_problem(resolve_samples(df, split_col) if resolve else df, class1, class0, m_mode, match)
+    prob = select_problem(resolve_samples(df, split_col, valid_col=valid_col) if resolve else df, class1, class0, m_mode, match)
     train, test = (prob.where(F.col(split_col) == x) for x in ("train", "test"))
     if sides is None:
         sides = tuple(train.agg(F.count_if(F.col("label") == 1.0), F.count_if(F.col("label") != 1.0)).first())

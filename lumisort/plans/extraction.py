@@ -19,6 +19,7 @@ from lumisort.functions.naming import stem
 from lumisort.operators.featurize import featurize, read_images
 from lumisort.operators.joins import skip_existing
 from lumisort.session import durable, remove_scratch, scratch_path
+from lumisort.sinks.committed import CommittedTable
 from lumisort.sinks.writers import write_features
 from lumisort.sources.files import read_image_tree
 
@@ -41,6 +42,20 @@ def todo_images(spark: SparkSession, image_root: str, done: DataFrame | None, gl
     return skip_existing(listing, done.select(*keys), keys)
 
 
+def extract_committed(spark: SparkSession, image_root: str, table: CommittedTable, model_fn, run: str | None = None,
+                      retry_failed: bool = False, batch_size: int = 64, image_size: int = 224, glob: str = "*",
+                      chunk_files: int = CHUNK_FILES) -> bool:
+    """``extract_all`` into a ``feature_table``: rows count when the run is committed, so a job that died anywhere is
+    simply run again, and a ``run`` that is committed does nothing.  With ``retry_failed`` images without features
+    are extracted again and replace their rows.  False if the run was committed before."""
+    if run is not None and any(c["run"] == run for c in table.commits()):
+        return False
+    done = table.read()
+    new = extract_all(spark, image_root, "", model_fn, done.where(F.col("features").isNotNull()) if retry_failed else done,
+                      batch_size=batch_size, image_size=image_size, glob=glob, write=False, chunk_files=chunk_files)
+    return (table.replace if retry_failed else table.append)(new, run)
+
+
 def extract_all(spark: SparkSession, image_root: str, out_path: str, model_fn, existing: DataFrame | None = None,
                 retry_failed: bool = False, batch_size: int = 64, image_size: int = 224, glob: str = "*",
                 write: bool = True, chunk_files: int = CHUNK_FILES) -> DataFrame:

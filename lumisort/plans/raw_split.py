@@ -18,6 +18,8 @@ from lumisort.operators.split import rebalance, split_positional
 from lumisort.session import remove_scratch, scratch_path
 from lumisort.sources.files import read_archives
 
+ORDERS = {"archive": ("archive", "place"), "name": ("file_name",)}
+
 
 def stage_archives(spark: SparkSession, path: str, glob: str = "*.tar.gz", partitions: int | None = None) -> str:
     """Unpack all archives once; the path of the staged table."""
@@ -34,20 +36,23 @@ def archive_problems(members: DataFrame) -> DataFrame:
 
 def split_archives(spark: SparkSession, path: str, cutoff: float | None = None, out_path: str | None = None,
                    rebalance_to: float | None = None, seed: int | str = 1, glob: str = "*.tar.gz",
-                   partitions: int | None = None, problems_path: str | None = None) -> DataFrame:
+                   partitions: int | None = None, problems_path: str | None = None, order: str = "archive") -> DataFrame:
     """Archives -> file_name, label_name, split, content (first pass: the first
-    ``ceil(cutoff * N)`` names of each class are train).  ``rebalance_to``
+    ``ceil(cutoff * N)`` files of each class are train, in ``order``: 'archive', as the
+    archives list them, one archive after the other by path, or 'name').  ``rebalance_to``
     moves rows to a new cutoff afterwards (the second-run branch of the
     reference).  With ``out_path`` the table is written partitioned by split
     and class and the written table returned; else the result reads the staged
     table.  ``problems_path``: where to write ``archive_problems`` as JSON lines."""
+    if order not in ORDERS:
+        raise ValueError(f"order must be one of {tuple(ORDERS)}")
     staged = stage_archives(spark, path, glob, partitions)
     members = spark.read.parquet(staged)
     if problems_path:
         archive_problems(members).write.mode("overwrite").json(problems_path)
     imgs = (members.where(F.col("error").isNull() & (F.col("name") != ""))
-            .select(basename(F.col("name")).alias("file_name"), "label_name", "content"))
-    out = split_positional(imgs, cutoff)
+            .select(basename(F.col("name")).alias("file_name"), "label_name", "content", "archive", "place"))
+    out = split_positional(imgs, cutoff, order_by=ORDERS[order]).drop("archive", "place")
     if rebalance_to is not None:
         out = rebalance(out, rebalance_to, seed)
     if not out_path:

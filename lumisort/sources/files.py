@@ -97,37 +97,38 @@ ARCHIVE_BATCH_ROWS = 256
 ARCHIVE_BATCH_BYTES = 64 << 20
 
 
-MEMBER_COLUMNS = ["archive", "member", "content", "error"]
+MEMBER_COLUMNS = ["archive", "place", "member", "content", "error"]
 
 
 def _explode_archives(batches):
     """One output row per regular file member, streamed out in bounded batches
     (at most 256 members or 64 MB of bytes), so a big archive is never held
     whole in a pandas frame.  An archive that cannot be read to its end gives a
-    row with the error after the members read so far."""
+    row with the error after the members read so far.  ``place`` counts all members
+    of the archive from 0, folders included."""
     for pdf in batches:
         for archive, content in zip(pdf["path"], pdf["content"]):
-            out, size = [], 0
+            out, size, place = [], 0, -1
             try:
                 with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tf:
-                    for m in tf:
+                    for place, m in enumerate(tf):
                         if not m.isfile():
                             continue
                         f = tf.extractfile(m)
                         data = f.read() if f is not None else b""
-                        out.append((archive, m.name, data, None))
+                        out.append((archive, place, m.name, data, None))
                         size += len(data)
                         if len(out) >= ARCHIVE_BATCH_ROWS or size >= ARCHIVE_BATCH_BYTES:
                             yield pd.DataFrame(out, columns=MEMBER_COLUMNS)
                             out, size = [], 0
             except (tarfile.TarError, EOFError, OSError, zlib.error) as e:
-                out.append((archive, None, None, f"archive: {type(e).__name__}: {e}"))
+                out.append((archive, place + 1, None, None, f"archive: {type(e).__name__}: {e}"))
             if out:
                 yield pd.DataFrame(out, columns=MEMBER_COLUMNS)
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*.tar.gz", partitions: int | None = None) -> DataFrame:
-    """tar(.gz) archives -> archive, member, name (root part stripped),
+    """tar(.gz) archives -> archive, place (of the member in it), member, name (root part stripped),
     label_name (from the name), content, error (NULL but for unreadable archives).
 
     gzip streams do not split, so each archive is read by one task (a scan
@@ -137,9 +138,9 @@ def read_archives(spark: SparkSession, path: str, glob: str = "*.tar.gz", partit
     work after it (decoding, inference) is balanced."""
     arch = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
             .option("recursiveFileLookup", "true").load(path).select("path", "content"))
-    members = arch.mapInPandas(_explode_archives, "archive string, member string, content binary, error string")
+    members = arch.mapInPandas(_explode_archives, "archive string, place long, member string, content binary, error string")
     if partitions:
         members = members.repartition(int(partitions))
     name = strip_root(F.col("member"))
-    return members.select("archive", "member", name.alias("name"), label_from_name(basename(name)).alias("label_name"),
+    return members.select("archive", "place", "member", name.alias("name"), label_from_name(basename(name)).alias("label_name"),
                           "content", "error")
