@@ -40,16 +40,47 @@ def _powers(base: int, n: int) -> np.ndarray:
 UP = _powers(BASE, BLOCK + 4096)
 DOWN = _powers(pow(BASE, -1, 1 << 64), BLOCK + 4096)
 
+PRIME = (1 << 31) - 1
+BASE_31 = 1_103_515_245
+LETTER_31 = LETTER % U(PRIME)
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, up to one PRIME too large."""
+    x = (x & U(PRIME)) + (x >> U(31))
+    return (x & U(PRIME)) + (x >> U(31))
+
+
+def _powers_31(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    size = 1
+    while size < n:  # the powers so far, times the next one
+        more = min(size, n - size)
+        out[size:size + more] = out[:more] * U(pow(base, size, PRIME)) % U(PRIME)
+        size += more
+    return out
+
+
+UP_31 = _powers_31(BASE_31, BLOCK + 4096)
+DOWN_31 = _powers_31(pow(BASE_31, -1, PRIME), BLOCK + 4096)
+
 
 class Prefix:
-    """Hashes of stretches of at most BLOCK + 4096 bytes."""
+    """Hashes of stretches of at most BLOCK + 4096 bytes: a polynomial modulo 2^64 and, as such
+    polynomials agree on some pairs of different texts whatever the base (Thue-Morse words), an
+    independent one modulo a prime, in 64 bits together."""
 
     def __init__(self, data: np.ndarray):
-        self.sum = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(LETTER[data] * UP[:len(data)], out=self.sum[1:])
+        n = len(data)
+        self.sum, self.sum_31 = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+        np.cumsum(LETTER[data] * UP[:n], out=self.sum[1:])
+        np.cumsum(_fold(LETTER_31[data] * UP_31[:n]), out=self.sum_31[1:])  # below 2^49
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mix((self.sum[stop] - self.sum[start]) * DOWN[start] + (stop - start).astype(np.uint64))
+        wide = (self.sum[stop] - self.sum[start]) * DOWN[start] + (stop - start).astype(np.uint64)
+        prime = _fold(_fold(self.sum_31[stop] - self.sum_31[start]) * DOWN_31[start])
+        prime = np.where(prime >= U(PRIME), prime - U(PRIME), prime)
+        return mix(mix(wide) ^ (prime * U(0x9E3779B97F4A7C15)))
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:

@@ -38,4 +38,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         parent = now.select("node", "parent")
         if not moved:
             break
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return parent.select("node", F.col("parent").alias("component"))

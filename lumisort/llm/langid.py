@@ -1,8 +1,8 @@
 """Language ID with interpolated Kneser-Ney character models.
 
 Training (``fit``) counts character 4-grams of labelled texts on Spark (partial
-counts per batch, summed per language) over a bounded sample, at most about
-``rows_per_language`` documents of each language, taken by a hash of the text.
+counts per batch, summed per language) over a bounded sample, at most
+``rows_per_language`` distinct texts of each language, taken by a hash of the text.
 The counts make one interpolated Kneser-Ney model per language: raw counts at
 order 4, continuation counts below, one absolute discount per order.  A gram is a
 64-bit hash, 16 bits a character (exact within the basic plane); the model is a
@@ -16,24 +16,27 @@ of the counts, ``fit`` calibrates a temperature, which turns entropies into the
 score (the posterior of the chosen language), and per language the cross-entropy
 above which a text is ``rejected`` as unlike anything learned.
 
-Letters are lower-cased; runs of other characters count as one blank.  Text that
-is null or has no letter gets language ``und``, score 0 and is rejected; so does
+Letters are lower-cased; runs of other characters count as one blank; marks belong to
+the letters they stand with.  Repeated rows and copies of a text count once in training; a
+language with fewer than 20 distinct texts keeps none out.  Text that is null or has no letter
+(marks alone are none) gets language ``und``, score 0 and is rejected; so does
 every text if nothing could be learned.  Ties go to the first language by name.
 Only the id and text columns are read, so no other column can be an input.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumisort._compat import worker_cache
-from lumisort.llm.common import bound_arrow
+from lumisort.llm.common import bound_arrow, drop_stored, stored
 
 ORDER = 4
 BLANK = 0x20
@@ -57,7 +60,9 @@ def _fold_table() -> np.ndarray:
 
 
 def letters(text: str) -> np.ndarray:
-    """Folded codes (uint16): letters, single blanks between, ORDER-1 blanks before, one after."""
+    """Folded codes (uint16): letters, single blanks between, ORDER-1 blanks before, one after; none without a letter."""
+    if not any(map(str.isalpha, text)):
+        return np.zeros(0, np.uint16)
     cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     table = _fold_table()
     if len(cps) and cps.max() > 0xFFFF:
@@ -217,22 +222,35 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", rows_p
     """Model of the labelled rows of ``train`` (null text or language: not used)."""
     spark = train.sparkSession
     bound_arrow(spark, BATCH_BYTES)
-    rows = train.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    share = F.lit(0)
-    for lang, n in sizes.items():
-        part = round(1_000_000 * min(1.0, rows_per_language / n))
-        share = F.when(F.col("lang") == lang, F.lit(part)).otherwise(share)
-    picked = rows.where(draw < share)
-    keep_out = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1000)) < int(1000 * calibration_share)
-    model = build_model(_count_grams(picked.where(~keep_out)))
+    sample = _sample(train.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna(),
+                     rows_per_language, calibration_share)
+    model = build_model(_count_grams(sample.where(~F.col("kept_out")).select("text", "lang")))
     if len(model.langs):
-        seen = predict(picked.where(keep_out), model, "lang", "text").select("lang", "n_letters", "entropies")
+        seen = predict(sample.where("kept_out"), model, "lang", "text").select("lang", "n_letters", "entropies")
         _calibrate(model, seen.collect(), reject_quantile)
+    drop_stored(sample)
     return model
 
 
+def _sample(rows: DataFrame, bound: int, share: float) -> DataFrame:
+    """(text, lang, kept_out), written once: of each language the ``bound`` distinct texts with the smallest hashes, so
+    copies of one text count once.  The first ``share`` of them are kept out of the counts if that is two or more of 20."""
+    hashed = rows.select("lang", F.xxhash64("text").alias("h"))
+    sizes = {r["lang"]: r["n"] for r in hashed.distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    part = F.lit(0)
+    for lang, n in sizes.items():  # some more than the bound, to be cut exactly below
+        part = F.when(F.col("lang") == lang, F.lit(math.ceil(1e6 * min(1.0, (1.2 * bound + 200) / n)))).otherwise(part)
+    by_hash = Window.partitionBy("lang").orderBy("h")
+    drawn = (hashed.where(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < part).distinct()
+             .withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= bound)
+             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("lang"))))
+    apart = (F.col("n") >= 20) & (F.col("rank") <= F.floor(F.col("n") * share))
+    # at most ``bound`` rows a language, so texts are filtered in place
+    drawn = F.broadcast(drawn.select("lang", "h", apart.alias("kept_out")))
+    texts = rows.withColumn("h", F.xxhash64("text")).join(drawn, ["lang", "h"]).dropDuplicates(["lang", "h"])
+    return stored(texts.select("text", "lang", "kept_out"), "langid-sample")
+
+
 def _calibrate(model: Model, rows: list, quantile: float) -> None:
     """Temperature by likelihood of the labels; rejection limits by the spread of entropies."""
     place = {x: i for i, x in enumerate(model.langs)}

@@ -7,12 +7,16 @@ of each domain match targets: with posteriors p_i, tokens t_i and rates r_i,
 
     minimise  sum_d ((sum_i r_i t_i p_id - T_d) / T)^2 + ridge * sum_i t_i (r_i - 1)^2 / T
 
-over r >= 0.  At the minimum r_i = max(0, 1 - p_i . g) with one number g_d per domain,
-g_d = (sum_i r_i t_i p_id - T_d) / (T ridge), so the fit looks for g by Newton steps,
-however scarce a domain is, until this holds to a part in a million of each target.
-A step is one aggregate of the totals and second moments of the documents with a rate
-above 0; rates are never shuffled or stored while the fit runs.  What the ridge keeps
-the totals off their targets is in the report; gaps above 1 % are logged.
+over r >= 0 by accelerated projected gradients (``descend_rates``).  Every document keeps its
+rate; a step is one partial aggregate of the domains' totals, after which each document moves
+its rate down its own slope and back to 0 where it falls below.  The step length follows from
+the largest curvature, known from one aggregate of second moments; the momentum starts anew
+where it points uphill.  Rates are written to the shared folder every few steps.  The descent
+ends when the last step proves the objective to be within ``tolerance`` of its minimum.  What
+the ridge keeps the totals off their targets is in the report; gaps above 1 % are logged.
+
+``fit_rates`` looks for the same minimum by Newton steps on its dual (r_i = max(0, 1 - p_i . g) with
+one number g_d per domain); no query uses it.
 
 Targets are weights (parts of all tokens).  The total T is what the domain with the
 largest weight can fill once, times ``stretch``, unless the caller gives one: its
@@ -42,11 +46,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumisort.llm.common import WORD_RE, bound_arrow, stored
+from lumisort.llm.common import WORD_RE, bound_arrow, drop_stored, stored
 
 LOG = logging.getLogger(__name__)
 BUCKETS = 1 << 16
 BATCH_BYTES = 4 << 20
+ROWS_PER_FILE = 500_000
 
 
 @dataclass
@@ -169,6 +174,78 @@ def _rate(posterior: Column, g: np.ndarray) -> Column:
     return F.greatest(F.lit(0.0), F.lit(1.0) - dot)
 
 
+def _report(names: list[str], goal: np.ndarray, now: np.ndarray, steps: int) -> dict:
+    report = {"targets": dict(zip(names, goal.tolist())), "expected": dict(zip(names, now.tolist())), "steps": steps}
+    if (np.abs(now - goal) > 0.01 * goal).any():
+        LOG.warning("rates: expected totals more than 1 %% from the targets: %s", report)
+    return report
+
+
+def descend_rates(members: DataFrame, names: list[str], targets: Mapping[str, float], total: float | None = None,
+                  stretch: float = 1.0, ridge: float = 1e-3, steps: int = 1000, tolerance: float = 1e-4,
+                  store_every: int = 8) -> tuple[DataFrame, dict]:
+    """(``members`` with ``rate``, report) by accelerated projected gradients.  ``members`` has tokens and posterior.
+    ``steps`` bounds the descent, ``tolerance`` its distance from the minimum as a part of the objective;
+    ``store_every``: steps between two writes of the rates."""
+    k = len(names)
+    weight = np.array([float(targets.get(d, 0.0)) for d in names])
+    nothing = {"targets": {}, "expected": {}, "steps": 0}
+    if not k or weight.sum() <= 0:
+        return members.withColumn("rate", F.lit(1.0)), nothing
+    weight = weight / weight.sum()
+    post, t = F.col("posterior"), F.col("tokens").cast("double")
+
+    def per_domain(rate: Column) -> list[Column]:
+        return [F.sum(rate * t * F.get(post, F.lit(d))) for d in range(k)]
+
+    pairs = [(a, b) for a in range(k) for b in range(a, k)]
+    first = members.select(F.count(F.lit(1)), F.sum(t), *per_domain(F.lit(1.0)),
+                           *[F.sum(t * F.get(post, F.lit(a)) * F.get(post, F.lit(b))) for a, b in pairs]).first()
+    rows, now = int(first[0]), np.array([x or 0.0 for x in first[2:2 + k]])
+    most = int(weight.argmax())
+    whole = float(total) if total else stretch * float(now[most] / weight[most])
+    if now.sum() <= 0 or whole <= 0:
+        return members.withColumn("rate", F.lit(1.0)), nothing
+    goal = weight * whole
+    moments = np.zeros((k, k))
+    for (a, b), x in zip(pairs, first[2 + k:]):
+        moments[a, b] = moments[b, a] = (x or 0.0) / whole
+    steepest = float(np.linalg.eigvalsh(moments).max()) + ridge
+
+    # narrow rows in few files: a step should cost what its rows cost
+    files = max(1, -(-rows // ROWS_PER_FILE))
+    kept = state = stored(members.select("*", F.lit(1.0).alias("rate"), F.lit(1.0).alias("before")).coalesce(files), "rates")
+    before, pace, push, taken = now, 1.0, 0.0, 0
+    for taken in range(1, steps + 1):
+        # from a point ahead of the rates; totals are linear in them
+        off = (now + push * (now - before) - goal) / whole
+        slope = reduce(lambda x, y: x + y, [F.get(post, F.lit(d)) * F.lit(float(off[d])) for d in range(k)])
+        state = state.withColumn("ahead", F.col("rate") + push * (F.col("rate") - F.col("before")))
+        state = state.withColumn("next", F.greatest(F.lit(0.0), F.col("ahead") - (slope + ridge * (F.col("ahead") - 1)) / steepest))
+        moved = F.col("ahead") - F.col("next")
+        got = state.select(*per_domain(F.col("next")), F.sum(t * moved * moved), F.sum(t * (F.col("next") - 1) ** 2),
+                           F.sum(t * moved * (F.col("next") - F.col("rate")))).first()
+        before, now = now, np.array(got[:k])
+        state = state.select(*[c for c in state.columns if c not in ("rate", "before", "ahead", "next")],
+                             F.col("next").alias("rate"), F.col("rate").alias("before"))
+        if taken % store_every == 0:
+            state = stored(state, "rates")
+            drop_stored(kept)
+            kept = state
+        # the objective is as curved as its ridge at least, so the last step bounds how far it is from the minimum
+        objective = (((now - goal) / whole) ** 2).sum() / 2 + ridge / 2 * got[k + 1] / whole
+        if steepest ** 2 * got[k] / whole / (2 * ridge) <= tolerance * objective:
+            break
+        pace = 1.0 if got[k + 2] > 0 else pace  # the momentum points uphill: start it anew
+        faster = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
+        push, pace = (pace - 1) / faster, faster
+    else:
+        LOG.warning("rates: not at the minimum after %d steps", steps)
+    out = stored(state.drop("before"), "rates")
+    drop_stored(kept)
+    return out, _report(names, goal, now, taken)
+
+
 def fit_rates(members: DataFrame, names: list[str], targets: Mapping[str, float], total: float | None = None,
               stretch: float = 1.0, ridge: float = 1e-3, steps: int = 25, tolerance: float = 1e-6) -> tuple[Column, dict]:
     """(rate as a column over ``members``, report).  ``members`` has tokens and posterior.
@@ -223,10 +300,7 @@ def fit_rates(members: DataFrame, names: list[str], targets: Mapping[str, float]
     if (np.abs(off) > close).any():
         LOG.warning("rates: not converged after %d steps, off by %s of the targets", taken,
                     dict(zip(names, (off / np.maximum(goal, 1e-300)).tolist())))
-    report = {"targets": dict(zip(names, goal.tolist())), "expected": dict(zip(names, now.tolist())), "steps": taken}
-    if (np.abs(now - goal) > 0.01 * goal).any():
-        LOG.warning("rates: expected totals more than 1 %% from the targets: %s", report)
-    return _rate(post, g), report
+    return _rate(post, g), _report(names, goal, now, taken)
 
 
 def mixing_rates(df: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",
@@ -239,5 +313,7 @@ def mixing_rates(df: DataFrame, labels: DataFrame, targets: Mapping[str, float],
                           F.array().cast("array<double>").alias("posterior"), F.lit(1.0).alias("rate")),
                 {"targets": {}, "expected": {}, "steps": 0})
     members = stored(posteriors(df, model, id_col, text_col), "posteriors")
-    rate, report = fit_rates(members, model.names, targets, total, stretch)
-    return members.withColumn("rate", rate), report | {"domains": model.names}
+    rated, report = descend_rates(members, model.names, targets, total, stretch)
+    if getattr(rated, "_stored_at", None):
+        drop_stored(members)
+    return rated, report | {"domains": model.names}

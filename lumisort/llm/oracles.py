@@ -109,7 +109,7 @@ FROM documents o LEFT JOIN d ON o.doc_id = d.doc_id LEFT JOIN rest ON o.doc_id =
 
 
 def url_verdicts_sql(rules: Sequence[tuple[str, str]], damping: float = 0.85, steps: int = 20, seed_share: float = 0.5,
-                     threshold: float = 0.5, min_distrust: float = 1e-9) -> str:
+                     threshold: float = 0.5) -> str:
     """op8"""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -154,8 +154,7 @@ walk(i, kind, host, s) AS (
   ) GROUP BY i, kind, host),
 score AS (SELECT host, sum(s) FILTER (WHERE kind = 'trust') AS t, sum(s) FILTER (WHERE kind = 'distrust') AS x FROM walk
           WHERE i = {steps} GROUP BY host)
-SELECT page_id, j.host, path, rule, coalesce(act, CASE WHEN coalesce(x, 0) > {min_distrust!r}
-         AND coalesce(x, 0) > {threshold!r} * (coalesce(x, 0) + coalesce(t, 0)) THEN 'block' ELSE 'allow' END) AS verdict
+SELECT page_id, j.host, path, rule, coalesce(act, CASE WHEN coalesce(x, 0) > {threshold!r} * (coalesce(x, 0) + coalesce(t, 0)) THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN score ON j.host = score.host"""
 
 

@@ -60,7 +60,7 @@ def as_characters(codes: np.ndarray) -> str:
 
 IS_BLANK = np.zeros(256, bool)
 IS_BLANK[[0x20, *range(0x09, 0x0E)]] = True
-LONG = 1 << 16  # bytes of a word that is hashed on its own
+LONG = 256  # bytes of a word from which on it is hashed on its own
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:

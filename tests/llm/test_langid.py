@@ -83,3 +83,26 @@ def test_letters_fold():
     assert "".join(map(chr, langid.letters("Ab1, ÉC!"))) == "   ab éc "
     assert len(langid.letters("123 !")) == 0
     assert len(langid.letters("\U00010400\U00010401")) > 0
+
+
+def test_copies_and_scarce_languages(spark):
+    """The bound holds over distinct texts, no language is lost, copies weigh nothing."""
+    rng = np.random.default_rng(2)
+    words = {"de": ["haus", "und", "nicht", "strasse", "grün"], "fr": ["maison", "et", "pas", "rue", "vert"]}
+    rows = [(" ".join(rng.choice(words[x], 12)) + f" {'abcdefghij'[i % 10]}{'klmnop'[i % 6]}{'qrst'[i % 4]}" * 2, x)
+            for x in ("de", "fr") for i in range(600)]
+    rows += [("το σπίτι και ο δρόμος", "el")] + [("одна улица", "ru")] * 3
+    df = spark.createDataFrame(rows, "text string, lang string").unionByName(
+        spark.range(20_000).select(F.lit("ein einziger text").alias("text"), F.lit("de").alias("lang")))
+    sample = langid._sample(df, 100, 0.1)
+    got = {r.lang: (r.n, r.kept) for r in sample.groupBy("lang").agg(F.count(F.lit(1)).alias("n"),
+                                                                     F.count_if("kept_out").alias("kept")).collect()}
+    assert got["de"] == got["fr"] == (100, 10) and got["el"] == got["ru"] == (1, 0)
+    assert sample.where("text = 'ein einziger text'").count() <= 1
+    model = langid.fit(df, rows_per_language=100)
+    assert model.langs == ["de", "el", "fr", "ru"]
+    texts = ["grün und haus", "rue et maison", "ο δρόμος", "улица", "\u0301\u0300\u0308", "\u0301 12"]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    by_id = {r.doc_id: r for r in langid.predict(asked, model).collect()}
+    assert [by_id[i].lang_pred for i in range(6)] == ["de", "fr", "el", "ru", "und", "und"]
+    assert all(by_id[i].score == 0 and by_id[i].rejected for i in (4, 5))

@@ -70,3 +70,32 @@ def test_odd_and_empty_tables(odd_docs, no_docs, spark):
     assert {r.rate for r in rates.collect()} == {1.0} and report["steps"] == 0
     rates, _ = mixing.mixing_rates(odd_docs, labels, {"other": 1.0})
     assert {r.rate for r in rates.collect()} == {1.0}
+
+
+@pytest.mark.parametrize("shares", [(0.8, 0.17, 0.03), (0.97, 0.02, 0.01), (0.3, 0.3, 0.4)])
+def test_projected_gradients_reach_the_minimum(spark, shares):
+    """Rates and totals of the descent against a dense one to convergence."""
+    rng = np.random.default_rng(3)
+    n, ridge = 1500, 1e-3
+    p = 0.1 * rng.dirichlet([0.5] * 3, n) + 0.9 * np.eye(3)[rng.choice(3, n, p=shares)]
+    t = rng.integers(0, 400, n)
+    members = spark.createDataFrame([(i, int(x), q.tolist()) for i, (x, q) in enumerate(zip(t, p))],
+                                    "doc_id long, tokens long, posterior array<double>")
+    names = ["clean", "low", "toxic"]
+    rated, report = mixing.descend_rates(members, names, queries.MIX_TARGETS, stretch=queries.MIX_STRETCH)
+    got = np.array([r.rate for r in rated.orderBy("doc_id").collect()])
+    goal, whole = np.array([report["targets"][x] for x in names]), sum(report["targets"].values())
+    top = np.linalg.eigvalsh((p * t[:, None]).T @ p / whole).max() + ridge
+    push = (1 - (ridge / top) ** 0.5) / (1 + (ridge / top) ** 0.5)
+    best = y = np.ones(n)
+    for _ in range(20_000):
+        new = np.maximum(0, y - (p @ ((y * t) @ p - goal) / whole + ridge * (y - 1)) / top)
+        y, best = new + push * (new - best), new
+
+    def objective(r):
+        return (((r * t) @ p - goal) ** 2).sum() / whole ** 2 + ridge * (t * (r - 1) ** 2).sum() / whole
+
+    assert (got >= 0).all() and objective(got) <= objective(best) * 1.0002
+    assert got == pytest.approx(best, abs=0.1) and np.abs(got - best).mean() < 5e-3
+    assert (got * t) @ p == pytest.approx([report["expected"][x] for x in names], rel=1e-9)
+    assert (np.abs((got - best) * t @ p) < 0.012 * goal).all()

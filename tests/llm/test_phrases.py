@@ -73,3 +73,17 @@ def test_odd_and_empty_tables(odd_docs, no_docs):
         if r.doc_id in (1, 3, 4, 5, 6, 7, None):
             assert not r.spans
     assert phrases.remove_repeated_passages(no_docs).count() == 0
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    """Thue-Morse words over two letters and their complements agree under polynomial hashes modulo 2^64."""
+    word = "a"
+    rows, n = [], 0
+    for _ in range(13):
+        word += word.translate(str.maketrans("ab", "ba"))
+        for w in (word, word.translate(str.maketrans("ab", "ba"))):
+            rows.append((n, " ".join([*(f"w{k}" for k in range(12)), w])))
+            n += 1
+    got = phrases.remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), 13).collect()
+    assert len(got) == n and all(r.spans == [] for r in got)
+    assert {r.kept for r in got} == {t for _, t in rows}
