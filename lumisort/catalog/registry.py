@@ -683,6 +683,46 @@ def q_vector_forms(spark, sf_dir):
                     F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
+@register("logreg_roundtrip", _REBALANCED_06 + problem_cte("r6", *OVO_PAIR) + "," + logreg_cte() + """
+SELECT file_name, label, CASE WHEN list_dot_product(m.w, p.x) + m.b > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+FROM prob p JOIN logreg m USING (pid) WHERE split = 'test'""")
+def q_logreg_roundtrip(spark, sf_dir):
+    """Test predictions of a logistic regression that was saved and loaded again (K9)."""
+    from lumisort.operators.models import load_model, save_model
+    from lumisort.plans.evaluate import fit
+    from lumisort.session import remove_scratch, scratch_path
+    prob = P.select_problem(S.rebalance(_samples(spark, sf_dir), 0.6, SEED), OVO_PAIR[0], OVO_PAIR[1], "ovo")
+    path = scratch_path(spark, "logreg")
+    save_model(fit(prob.where(F.col("split") == "train"), "logreg"), path)
+    model = load_model(path, "logreg")
+    remove_scratch(spark, path)
+    return predict(model, prob.where(F.col("split") == "test")).select("file_name", "label", "prediction")
+
+
+@register("split_default", "WITH " + NAMED_CTE + ",\n" + positional_cte("w", "named", 0.8) + """
+SELECT label_name, count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'test') AS n_test
+FROM w GROUP BY label_name""")
+def q_split_default(spark, sf_dir):
+    """The positional split without a cutoff takes 0.8 (P16)."""
+    return A.split_counts(S.split_positional(embeddings_samples(spark, sf_dir, with_split=False), None))
+
+
+@register("flatten_roundtrip", samples_ctes() + """,
+dup AS (SELECT * FROM samples UNION ALL SELECT * REPLACE ('zz_copy' AS label_name) FROM samples WHERE label_name = 'Siamese')
+SELECT split, file_name, min(label_name) AS label_name, any_value(round(list_sum(features), 6)) AS total FROM dup GROUP BY split, file_name""")
+def q_flatten_roundtrip(spark, sf_dir):
+    """The flat one-vs-all layout written and read back (K2, U2): a name in two classes of a split is there once."""
+    from lumisort.session import durable, remove_scratch, scratch_path
+    from lumisort.sinks.writers import flatten_for_ova
+    s = _samples(spark, sf_dir)
+    both = s.unionByName(s.where(F.col("label_name") == "Siamese").withColumn("label_name", F.lit("zz_copy")))
+    path = scratch_path(spark, "flat")
+    out = durable(flatten_for_ova(both, path).select(
+        "split", "file_name", "label_name", F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("total")))
+    remove_scratch(spark, path)
+    return out
+
+
 # ---------------------------------------------------- featurise and stream
 
 def _projection_sql() -> str:
