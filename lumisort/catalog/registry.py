@@ -470,7 +470,7 @@ def q_accuracy_pivot(spark, sf_dir):
 # The SQL twins fit the same problems on their own: the reference's solver step by
 # step for MLlib's, the same descent run on for the solvers that go to the minimum.
 
-def _eval_row(df, class1, class0, mode, model="svm", solver="owlqn"):
+def _eval_row(df, class1, class0, mode, model="svm", solver="bundle"):
     from lumisort.plans.evaluate import evaluate
     row, _ = evaluate(df, class1, class0, mode, model, solver=solver)
     return row.withColumn("accuracy", F.round("accuracy", 6))

@@ -1,10 +1,10 @@
 """Linear SVM and logistic regression with Spark ML, plus model I/O.
 
 ``train_svm`` minimises the reference's objective (hinge loss + L2, no
-intercept, no scaling): by default with ``LinearSVC`` (OWL-QN, DataFrame API),
+intercept, no scaling): by default with cutting planes (``operators.many``: one aggregate
+per step, and a bound on the distance from the optimum), with ``LinearSVC`` (``solver='owlqn'``),
 or with the reference's full-batch descent (``solver='sgd'``, the steps of MLlib's
-``SVMWithSGD``), each step one DataFrame aggregate (``operators.many``).  Both return a model
-wrapped as ``LinearModel`` so prediction, scoring and persistence are the same
+``SVMWithSGD``).  All return a model wrapped as ``LinearModel`` so prediction, scoring and persistence are the same
 DataFrame code.  A ``ModelBundle`` holds a model with the names of its classes.
 """
 
@@ -18,14 +18,17 @@ from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
 )
+from pyspark.ml.common import _py2java
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumisort.functions.naming import prediction_to_class
 from lumisort.functions.vectors import linear_margin, svm_prediction, to_ml_vector
 
-SOLVERS = ("owlqn", "sgd")
+SOLVERS = ("bundle", "owlqn", "sgd")
 
 
 @dataclass
@@ -45,7 +48,7 @@ def _ml_input(df: DataFrame, features_col: str, label_col: str) -> DataFrame:
     return df.select(F.col(label_col).cast("double").alias("label"), to_ml_vector(features_col).alias("features"))
 
 
-def train_svm(df: DataFrame, iterations: int = 100, reg: float = 0.1, solver: str = "owlqn",
+def train_svm(df: DataFrame, iterations: int = 100, reg: float = 0.1, solver: str = "bundle",
               features_col: str = "features", label_col: str = "label", step: float = 1.0) -> LinearModel:
     """Hinge-loss linear SVM with L2 regularisation, no intercept, no scaling."""
     if solver not in SOLVERS:
@@ -59,10 +62,21 @@ def train_svm(df: DataFrame, iterations: int = 100, reg: float = 0.1, solver: st
     sign = F.when(F.col(label_col) == 1.0, F.lit(1)).otherwise(F.lit(-1))
     tags = F.array(F.struct(F.lit(0).alias("p"), sign.alias("s")))
     models, sizes = train_many(df.select(to_ml_vector(features_col).alias("x"), tags.alias("tags")), 1, iterations, reg,
-                               "sgd", step)
-    if models[0] is None:
+                               solver, step)
+    m = models[0]
+    if m is None:
         raise ValueError(f"train rows of both classes are needed, got {sizes[0].tolist()}")
-    return models[0]
+    if solver == "bundle":
+        m.ml_model = _svc_model(df.sparkSession, m.weights)
+    return m
+
+
+def _svc_model(spark: SparkSession, weights: list[float]) -> LinearSVCModel:
+    """The Spark ML model of these weights: its transform runs on the JVM and it is saved like a fitted one."""
+    sc = spark.sparkContext
+    java = JavaWrapper._new_java_obj("org.apache.spark.ml.classification.LinearSVCModel", "linearsvc-bundle",
+                                     _py2java(sc, Vectors.dense(weights)), 0.0)
+    return LinearSVCModel(java)
 
 
 def train_logreg(df: DataFrame, iterations: int = 100, reg: float = 0.01, features_col: str = "features",

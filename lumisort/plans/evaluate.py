@@ -20,7 +20,7 @@ def resolve_samples(df: DataFrame, split_col: str = "split", key: str = "file_na
                          split_col, valid_col).select(*df.columns)
 
 
-def fit(train: DataFrame, model: str = "svm", solver: str = "owlqn", iterations: int = 100,
+def fit(train: DataFrame, model: str = "svm", solver: str = "bundle", iterations: int = 100,
         reg: float | None = None) -> LinearModel:
     """Fit on the labelled rows of one problem."""
     if model not in MODEL_KINDS:
@@ -31,7 +31,7 @@ def fit(train: DataFrame, model: str = "svm", solver: str = "owlqn", iterations:
 
 
 def evaluate(df: DataFrame, class1: str, class0: str | None = None, mode: str = "ova", model: str = "svm",
-             match: str = "exact", solver: str = "owlqn", iterations: int = 100, reg: float | None = None,
+             match: str = "exact", solver: str = "bundle", iterations: int = 100, reg: float | None = None,
              split_col: str = "split", resolve: bool = True, sides: tuple[int, int] | None = None,
              valid_col: str | None = None) -> tuple[DataFrame, LinearModel | None]:
     """One row: class1, class0, mode, model, n_train, n_test, tp, tn, accuracy

@@ -4,13 +4,15 @@ featurise the rest, add them to the feature table.
 An image is known by (split, class, name).  The folder is listed without reading
 contents, the listing is anti-joined with the keys already extracted, and the
 narrow todo list is stored once in the shared folder.  Its files are then read in
-chunks of ``chunk_files``, each chunk a distributed job over exactly those files; the
-driver holds the paths of one chunk at a time.
+chunks of ``chunk_files``, each chunk a distributed job over exactly those files;
+``parallel_chunks`` of them run at a time, so a chunk's last tasks don't leave the cluster
+idle, and the driver holds the paths of so many chunks.
 """
 
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ from lumisort.sources.files import read_image_tree
 
 KEY = ["split", "label_name", "file_name"]
 CHUNK_FILES = 20_000
+FEATURE_SCHEMA = "file_name string, label_name string, split string, features array<double>, error string"
+FEATURE_COLUMNS = [c.split()[0] for c in FEATURE_SCHEMA.split(", ")]
 
 
 def _feature_name(c):
@@ -58,7 +62,7 @@ def extract_committed(spark: SparkSession, image_root: str, table: CommittedTabl
 
 def extract_all(spark: SparkSession, image_root: str, out_path: str, model_fn, existing: DataFrame | None = None,
                 retry_failed: bool = False, batch_size: int = 64, image_size: int = 224, glob: str = "*",
-                write: bool = True, chunk_files: int = CHUNK_FILES) -> DataFrame:
+                write: bool = True, chunk_files: int = CHUNK_FILES, parallel_chunks: int = 4) -> DataFrame:
     """Features for every image not yet extracted; returns the rows of this run as written.
 
     With ``retry_failed`` earlier failures (NULL features) are extracted again and
@@ -71,18 +75,20 @@ def extract_all(spark: SparkSession, image_root: str, out_path: str, model_fn, e
     chunks = max(1, math.ceil(todo.count() / max(1, chunk_files)))
     todo = todo.withColumn("_chunk", F.pmod(F.xxhash64("path"), F.lit(chunks)))
     staged = scratch_path(spark, "extracted")
-    schema = None
-    for k in range(chunks):
+
+    def extract(k: int) -> str | None:
+        """Chunk ``k`` in a folder of its own; None if it has no files."""
         paths = [r["path"] for r in todo.where(F.col("_chunk") == k).select("path").collect()]  # one chunk
-        if not paths and schema is not None:
-            continue
-        imgs = read_images(spark, paths) if paths else read_images(spark, image_root, glob).limit(0)
-        imgs = imgs.withColumn("file_name", _feature_name("file_name"))
+        if not paths:
+            return None
+        imgs = read_images(spark, paths).withColumn("file_name", _feature_name("file_name"))
         feats = featurize(imgs, model_fn, "image", batch_size, image_size=image_size)
-        out = feats.select("file_name", "label_name", "split", "features", "error")
-        schema = out.schema
-        out.write.mode("append").parquet(staged)
-    new = spark.read.schema(schema).parquet(staged)
+        feats.select(*FEATURE_COLUMNS).write.parquet(f"{staged}/chunk-{k}")
+        return f"{staged}/chunk-{k}"
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel_chunks)) as pool:
+        folders = [f for f in pool.map(extract, range(chunks)) if f]
+    new = spark.read.schema(FEATURE_SCHEMA).parquet(*folders) if folders else spark.createDataFrame([], FEATURE_SCHEMA)
     if not write:
         return new
     if existing is not None and retry_failed:
