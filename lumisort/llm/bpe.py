@@ -195,9 +195,9 @@ def _splitter(pattern: str):
 
 
 def common_words(df: DataFrame, text_col: str, pattern: str, ranks: dict[bytes, int], sample_rows: int,
-                 dictionary_words: int) -> dict[str, bytes]:
-    """Word -> ids (int32 bytes) of the commonest words of about ``sample_rows``
-    documents, at most ``dictionary_words``."""
+                 dictionary_words: int) -> bytes:
+    """The commonest words of about ``sample_rows`` documents with their ids, at most
+    ``dictionary_words``, as one Arrow stream (see ``word_ids``)."""
     rows = df.count()
     share = min(1.0, sample_rows / max(rows, 1))
     picked = df.select(text_col) if share >= 1.0 else df.select(text_col).sample(share, seed=7)
@@ -220,18 +220,33 @@ def common_words(df: DataFrame, text_col: str, pattern: str, ranks: dict[bytes,
                 break
             least = r["step"]
         if least is None:
-            return {}
+            return b""
         latin = F.decode(F.encode("word", "UTF-8"), "ISO-8859-1")
         coded = (counts.where(F.floor(F.log2("n") * 4) >= least)
                  .select("word", F.element_at(encode_words(F.array(latin), ranks), 1).alias("ids")))
-        got = coded.toArrow().combine_chunks()
-        ids = got.column("ids").combine_chunks() if got.num_rows else None
-        flat, at = (ids.values.to_numpy().astype("<i4").tobytes(), ids.offsets.to_pylist()) if got.num_rows else (b"", [])
-        return {w.as_py(): flat[4 * a:4 * b] for w, a, b in zip(got.column("word"), at, at[1:])}
+        got = coded.toArrow()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, got.schema) as out:
+            out.write_table(got)
+        return sink.getvalue().to_pybytes()
     finally:
         counts.unpersist()
 
 
+def word_ids(stream: bytes) -> dict[str, bytes]:
+    """Word -> ids (int32 bytes) of an Arrow stream of ``common_words``, kept by the worker for its next tasks."""
+    cache = worker_cache()
+    key = ("bpe-words", len(stream), zlib.crc32(stream))
+    if stream and key not in cache:
+        got = pa.ipc.open_stream(stream).read_all().combine_chunks()
+        ids = got.column("ids").combine_chunks() if got.num_rows else None
+        flat, at = (ids.values.to_numpy().astype("<i4").tobytes(), ids.offsets.to_pylist()) if got.num_rows else (b"", [])
+        for old in [k for k in cache if k[0] == "bpe-words"]:
+            del cache[old]
+        cache[key] = {w.as_py(): flat[4 * a:4 * b] for w, a, b in zip(got.column("word"), at, at[1:])}
+    return cache[key] if stream else {}
+
+
 def bpe_encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
                sample_rows: int = 30_000, dictionary_words: int = 200_000) -> DataFrame:
     """(id, ids array<int>, ids_le): one row per row of ``df``; ``ids_le`` holds the ids
@@ -239,12 +254,13 @@ def bpe_encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
     spark = df.sparkSession
     bound_arrow(spark, BATCH_BYTES)
     ranks = read_ranks(ranks_path)
+    # the words pass the driver as one block of bytes; the workers make a dictionary of it
     known = spark.sparkContext.broadcast(common_words(df, text_col, pattern, ranks, sample_rows, dictionary_words))
     vocabulary = spark.sparkContext.broadcast(ranks)
     id_type = df.schema[id_col].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, have, rank = _splitter(pattern).findall, known.value, vocabulary.value
+        find, have, rank = _splitter(pattern).findall, word_ids(known.value), vocabulary.value
         recent: dict[str, bytes] = {}
         for b in batches:
             if len(recent) > RECENT_WORDS:

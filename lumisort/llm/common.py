@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,20 @@ def drop_stored(*tables: DataFrame | None) -> None:
             t._stored_at = None
 
 
+def release(spark: SparkSession) -> None:
+    """Lets the driver go of what nothing refers to any more: Spark frees shuffle files, broadcasts and
+    checkpoints of plans only when the driver's garbage is collected, and the heap grows until it is."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    spark.sparkContext._jvm.System.gc()
+
+
+def packed(value) -> bytes:
+    """``value`` for a broadcast; unpacked by ``pickle.loads`` in workers that lack this package."""
+    from pyspark import cloudpickle
+    return cloudpickle.dumps(value)
+
+
 def shared_checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder (cuts an iterative lineage)."""
     checkpoint_root(df.sparkSession)

@@ -27,6 +27,7 @@ Only the id and text columns are read, so no other column can be an input.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumisort._compat import worker_cache
-from lumisort.llm.common import bound_arrow, drop_stored, stored
+from lumisort.llm.common import bound_arrow, drop_stored, packed, stored
 
 ORDER = 4
 BLANK = 0x20
@@ -276,11 +277,11 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """(id, lang_pred, score, rejected, entropy, n_letters, entropies), a row per row of ``df``."""
     spark = df.sparkSession
     bound_arrow(spark, BATCH_BYTES)
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(packed(model))
     id_type = df.schema[id_col].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = pickle.loads(shared.value)
         for b in batches:
             codes = [letters(x) if x else np.zeros(0, np.uint16) for x in b.column(1).to_pylist()]
             n = np.array([max(0, len(c) - ORDER + 1) for c in codes], np.int64)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lumisort.llm.common import bound_arrow, drop_stored, shuffle_partitions, stored
+from lumisort.llm.common import bound_arrow, drop_stored, release, shuffle_partitions, stored
 from lumisort.llm.graph import components
 
 BITS, BAND_ROWS, BANDS = 8, 4, 32
@@ -358,6 +358,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             old, label = label, _joined(label, links)
             drop_stored(old)
         drop_stored(links, named)
+        release(df.sparkSession)  # of dozens of small plans a phase
     drop_stored(reps, bucket, likely, sketch)
 
     by_id = (full.select("id", *same).join(classes, same).select("id", "rep")

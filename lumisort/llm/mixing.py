@@ -37,6 +37,7 @@ text every document has rate 1.  Rows that repeat are separate documents.
 from __future__ import annotations
 
 import logging
+import pickle
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -46,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumisort.llm.common import WORD_RE, bound_arrow, drop_stored, stored
+from lumisort.llm.common import WORD_RE, bound_arrow, drop_stored, packed, stored
 
 LOG = logging.getLogger(__name__)
 BUCKETS = 1 << 16
@@ -150,10 +151,10 @@ def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 def posteriors(df: DataFrame, model: Domains, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tokens, posterior array<double>), a row per row of ``df``."""
     bound_arrow(df.sparkSession, BATCH_BYTES)
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(packed(model))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, hashed = shared.value, _Hashed()
+        m, hashed = pickle.loads(shared.value), _Hashed()
         for b in batches:
             tokens, out = [], []
             for text in b.column(1).to_pylist():

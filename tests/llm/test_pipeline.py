@@ -61,4 +61,4 @@ def test_run_is_registered(spark):
     import __spark_entry__
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     ops = {int(q[2:].split("_")[0]) for q in __spark_entry__.queries() if q.startswith("op")}
-    assert ops == set(range(1, 11))
+    assert ops == set(range(1, 14))
