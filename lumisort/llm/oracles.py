@@ -84,23 +84,28 @@ FROM d JOIN comp ON d.id = comp.id LEFT JOIN n ON n.id = d.id""".replace("both A
 
 def template_lines_sql(depth: int = 3, similarity: float = 0.7, min_tokens: int = 2, min_merge: int = 6) -> str:
     """op7"""
+    bound = "depth + CAST(floor({0} * rest / parts) AS BIGINT)"
     return f"""
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
 raw AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS p FROM d),
-tok AS (SELECT doc_id, p, line, list_transform(regexp_extract_all(line, '{WORDS}'),
-               lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t FROM raw),
-cand AS (SELECT doc_id, p, t, array_to_string(t, ' ') AS m FROM tok
-         WHERE len(t) >= {min_tokens} AND 2 * len(list_filter(t, lambda x: x = '<*>')) <= len(t)),
-line AS (SELECT m, any_value(t) AS t, count(*) AS k FROM cand GROUP BY m),
-leaf AS (SELECT len(t) AS n, list_slice(t, 1, {depth}) AS lead, count(*) AS lines,
-                arg_max(m, lpad(k::VARCHAR, 12, '0') || md5(m)) AS seed
-         FROM line WHERE len(t) >= {min_merge} GROUP BY ALL),
-of AS (SELECT line.m, CASE WHEN list_sum(list_transform(range(1, leaf.n + 1), lambda i: (line.t[i] = s.t[i])::INT)) / leaf.n >= {similarity!r}
-                           THEN seed ELSE line.m END AS template
-       FROM line JOIN leaf ON len(line.t) = leaf.n AND list_slice(line.t, 1, {depth}) = leaf.lead JOIN line s ON s.m = leaf.seed),
-held AS (SELECT doc_id, p, coalesce(template, cand.m) AS template FROM cand LEFT JOIN of USING (m)),
-first AS (SELECT template, min(doc_id) AS keeper, count(DISTINCT doc_id) AS docs FROM held GROUP BY template),
-gone AS (SELECT doc_id, p FROM held JOIN first USING (template) WHERE docs > 1 AND doc_id <> keeper),
+tok AS (SELECT doc_id, p, w, list_transform(w, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t
+        FROM (SELECT doc_id, p, regexp_extract_all(line, '{WORDS}') AS w FROM raw) WHERE len(w) > 0),
+cand AS (SELECT doc_id, p, t, vary, CASE WHEN vary THEN array_to_string(t, ' ') ELSE chr(10) || array_to_string(w, ' ') END AS m
+         FROM (SELECT *, len(t) >= {min_tokens} AND 2 * len(list_filter(t, lambda x: x = '<*>')) <= len(t) AS vary FROM tok)),
+line AS MATERIALIZED (SELECT m, any_value(t) AS t, lpad(count(*)::VARCHAR, 12, '0') || md5(m) AS often, {depth} AS depth,
+                len(any_value(t)) - {depth} AS rest, least(len(any_value(t)) - {depth}, floor(len(any_value(t)) * {1 - similarity!r} + 1e-9) + 1) AS parts
+         FROM cand WHERE vary AND len(t) >= {max(min_merge, depth + 1)} GROUP BY m),
+held AS (SELECT m, often, [len(t)::VARCHAR] || list_slice(t, 1, {depth}) || ['|', i::VARCHAR]
+                || list_slice(t, {bound.format("i")} + 1, {bound.format("(i + 1)")}) AS bucket
+         FROM (SELECT *, unnest(range(0, CAST(parts AS BIGINT))) AS i FROM line)),
+seed AS (SELECT bucket, max(often) AS often FROM held GROUP BY bucket),
+near AS MATERIALIZED (SELECT DISTINCT x.m, s.m AS seed, s.often FROM held JOIN seed ON held.bucket = seed.bucket JOIN line x ON x.m = held.m
+         JOIN line s ON s.often = seed.often
+         WHERE x.m <> s.m AND list_sum(list_transform(range(1, len(x.t) + 1), lambda i: (x.t[i] = s.t[i])::INT)) / len(x.t) >= {similarity!r}),
+of AS (SELECT m, arg_max(seed, often) AS template FROM near WHERE seed NOT IN (SELECT m FROM near) GROUP BY m),
+held_by AS (SELECT doc_id, p, coalesce(template, cand.m) AS template FROM cand LEFT JOIN of USING (m)),
+first AS (SELECT template, min(doc_id) AS keeper, count(DISTINCT doc_id) AS docs FROM held_by GROUP BY template),
+gone AS (SELECT doc_id, p FROM held_by JOIN first USING (template) WHERE docs > 1 AND doc_id <> keeper),
 rest AS (SELECT raw.doc_id, count(gone.p) AS k, coalesce(string_agg(line, chr(10) ORDER BY raw.p) FILTER (WHERE gone.p IS NULL), '') AS t
          FROM raw LEFT JOIN gone ON raw.doc_id = gone.doc_id AND raw.p = gone.p GROUP BY raw.doc_id)
 SELECT o.doc_id, CAST(coalesce(len(d.l), 0) AS BIGINT) AS n_lines, coalesce(k, 0) AS n_dropped,

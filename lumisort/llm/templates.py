@@ -2,15 +2,21 @@
 
 Every line goes down a tree of fixed depth to a leaf: first its number of tokens,
 then its first ``depth`` tokens, tokens with a digit counting as the variable field
-``<*>``.  In a leaf the commonest line is the leaf's template; another line of the
-leaf with at least ``similarity`` of its tokens equal, place by place, joins it (the
-places that differ are its variable fields), else it is a template of its own.  A
-template that two documents or more hold recurs: its lines are dropped everywhere
-but in the first such document (smallest id), so that text with copies loses all
-copies and keeps one.
-
-Lines with fewer than ``min_tokens`` tokens, or with variable fields in more than
-half of their places, are no templates and stay; so do lines without a token.
+``<*>``.  A leaf has as many templates as its lines need.  Two lines of n tokens with at
+least ``similarity`` of them equal, place by place, differ in k = (1 - similarity) n places
+at most, so of k + 1 segments of their other tokens they share one.  The commonest line of
+every bucket (leaf, segment, its tokens) is its seed.  A line that resembles no seed of its buckets
+is a template; any other joins the commonest template among the seeds that it resembles
+(the places that differ are variable fields) or, if none of them is one, stands for itself.
+Ties between equally common lines go to the larger hash.  Every line is held against k + 1
+seeds, so the work is linear in the lines and there are no rounds.
+
+Lines that have no constant part to tell them by, of fewer than ``min_tokens`` tokens or with
+variable fields in more than half of their places, are not generalised: they are the same
+where all their tokens are.  Lines without a token stay.
+
+A template that two documents or more hold recurs: its lines are dropped everywhere but in the
+first such document (smallest id), so that text with copies loses all copies and keeps one.
 
 Skew: lines travel as narrow (key, place, hash) rows; first and last document are
 partial aggregates; a hot line or leaf is the large side of a join with a table of
@@ -32,13 +38,16 @@ TOKEN_WITH_DIGIT = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\
 FIELD = "<*>"
 
 
-def masked_line(line: Column) -> Column:
-    """Tokens joined by one space, those with a digit replaced by ``<*>``; ``line``
-    holds no ``\\n``."""
+def tokens_of(line: Column) -> Column:
+    """The line's tokens, joined by one space; ``line`` holds no ``\\n``."""
     for blank in "\t\x0b\x0c\r":
         line = F.replace(line, F.lit(blank), F.lit(" "))
-    masked = let(line, lambda x: F.when(x.rlike("[0-9]"), F.regexp_replace(x, TOKEN_WITH_DIGIT, FIELD)).otherwise(x))
-    return let(masked, lambda x: F.trim(F.when(F.contains(x, F.lit("  ")), F.regexp_replace(x, " +", " ")).otherwise(x)))
+    return let(line, lambda x: F.trim(F.when(F.contains(x, F.lit("  ")), F.regexp_replace(x, " +", " ")).otherwise(x)))
+
+
+def masked(tokens: Column) -> Column:
+    """``tokens_of`` a line with ``<*>`` for every token with a digit."""
+    return F.when(tokens.rlike("[0-9]"), F.regexp_replace(tokens, TOKEN_WITH_DIGIT, FIELD)).otherwise(tokens)
 
 
 def _count(text: Column, part: str) -> Column:
@@ -51,41 +60,68 @@ def _same_share(a: Column, b: Column, n: Column) -> Column:
 
 
 def template_lines(docs: DataFrame, key: str, id_col: str, text_col: str, depth: int, min_tokens: int) -> DataFrame:
-    """The narrow table of lines that can be templates: key, id, place, tokens, line hash, leaf."""
-    # masked before they are exploded: a column of the generator is computed once
-    masked = F.transform(F.split(F.col(text_col), "\n", -1), masked_line)
-    lines = docs.select(key, F.col(id_col).alias("_dd_id"), F.posexplode(masked).alias("_dd_at", "_dd_line"))
+    """The narrow table of lines: key, id, place, tokens, whether fields vary, hash, leaf."""
+
+    def known_by(line: Column) -> Column:
+        # worked out before lines are exploded: a column of the generator is computed once
+        return let(tokens_of(line), lambda x: let(masked(x), lambda y: F.struct(x.alias("own"), y.alias("masked"))))
+
+    lines = docs.select(key, F.col(id_col).alias("_dd_id"), F.posexplode(
+        F.transform(F.split(F.col(text_col), "\n", -1), known_by)).alias("_dd_at", "_dd_l"))
+    lines = lines.where(F.col("_dd_l.own") != "").select(
+        key, "_dd_id", "_dd_at", F.col("_dd_l.own").alias("_dd_own"), F.col("_dd_l.masked").alias("_dd_line"))
     line, n = F.col("_dd_line"), F.col("_dd_n")
-    return (lines.where(line != "").withColumn("_dd_n", _count(line, " ") + 1)
-            .where((n >= min_tokens) & (2 * _count(line, FIELD) <= n))
-            .select(key, "_dd_id", "_dd_at", "_dd_n", F.unhex(F.md5(line)).alias("_dd_hash"),
-                    F.xxhash64(n, F.substring_index(line, " ", depth)).alias("_dd_leaf")))
+    lines = lines.withColumn("_dd_n", _count(line, " ") + 1).withColumn(
+        "_dd_vary", (n >= min_tokens) & (2 * _count(line, FIELD) <= n))
+    # the two kinds don't meet: a line feed is in no line
+    text = F.when(F.col("_dd_vary"), line).otherwise(F.concat(F.lit("\n"), "_dd_own"))
+    return lines.select(key, "_dd_id", "_dd_at", "_dd_n", "_dd_vary", F.unhex(F.md5(text)).alias("_dd_hash"),
+                        F.xxhash64(n, F.substring_index(line, " ", depth)).alias("_dd_leaf"))
+
+
+def segments(line: Column, n: Column, depth: int, similarity: float) -> Column:
+    """Hashes of the segments of the tokens after the first ``depth``: one more than the places that similar lines
+    differ in."""
+    differ = F.floor(n * (1 - similarity) + 1e-9).cast("int")
+    rest = n - depth
+    count = F.least(rest, differ + 1)
+    return let(F.split(line, " "), lambda t: F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.xxhash64(
+        i, F.array_join(F.slice(t, depth + 1 + F.floor(i * rest / count).cast("int"),
+                                (F.floor((i + 1) * rest / count) - F.floor(i * rest / count)).cast("int")), " "))))
 
 
 def merged_templates(docs: DataFrame, distinct: DataFrame, key: str, text_col: str, similarity: float,
-                     min_merge_tokens: int) -> DataFrame:
-    """(hash, template): lines that join the template of their leaf."""
-    can = distinct.where(F.col("_dd_n") >= min_merge_tokens)
-    leaves = (can.groupBy("_dd_leaf")
-              .agg(F.count(F.lit(1)).alias("_dd_lines"), F.max(F.struct("_dd_k", "_dd_hash")).alias("_dd_seed"))
-              .where(F.col("_dd_lines") > 1)
-              .select("_dd_leaf", F.col("_dd_seed._dd_hash").alias("_dd_template")))
+                     min_merge_tokens: int, depth: int) -> DataFrame:
+    """(hash, template): lines that join another line's template."""
+    can = distinct.where(F.col("_dd_vary") & (F.col("_dd_n") >= max(min_merge_tokens, depth + 1)))
+    leaves = can.groupBy("_dd_leaf").agg(F.count(F.lit(1)).alias("_dd_lines")).where(F.col("_dd_lines") > 1).select("_dd_leaf")
     unsure = can.join(leaves, "_dd_leaf").select(
-        F.col(f"_dd_first.{key}").alias(key), F.struct("_dd_hash", "_dd_leaf", "_dd_n", "_dd_template", F.col(
+        F.col(f"_dd_first.{key}").alias(key), F.struct("_dd_hash", "_dd_leaf", "_dd_n", "_dd_k", F.col(
             "_dd_first._dd_at").alias("_dd_at")).alias("_dd_w"))
     # the texts of the lines in question, fetched from one document each
     wanted = unsure.groupBy(key).agg(F.collect_list("_dd_w").alias("_dd_w"))
     one_each = docs.select(key, F.col(text_col).alias("_dd_text")).join(wanted, key)
     texts = (one_each.select(F.split("_dd_text", "\n", -1).alias("_dd_split"), F.explode("_dd_w").alias("_dd_w"))
-             .select("_dd_w.*", masked_line(F.get("_dd_split", F.col("_dd_w._dd_at"))).alias("_dd_line"))
-             .select("_dd_hash", "_dd_leaf", "_dd_n", "_dd_template", "_dd_line")
+             .select("_dd_w.*", masked(tokens_of(F.get("_dd_split", F.col("_dd_w._dd_at")))).alias("_dd_line"))
+             .select("_dd_hash", "_dd_leaf", "_dd_n", "_dd_k", "_dd_line")
              .dropDuplicates(["_dd_hash"]))  # repeated rows of a document
     texts = stored(texts, "leaf-lines")
-    seeds = (texts.where(F.col("_dd_hash") == F.col("_dd_template")).dropDuplicates(["_dd_leaf"])
-             .select("_dd_leaf", F.col("_dd_line").alias("_dd_seed")))
-    joined = texts.where(F.col("_dd_hash") != F.col("_dd_template")).join(seeds, "_dd_leaf")
-    return (joined.where(_same_share(F.col("_dd_line"), F.col("_dd_seed"), F.col("_dd_n")) >= similarity)
-            .select("_dd_hash", "_dd_template"))
+    # every line meets the seeds of its buckets: the commonest, of equally common ones that with the largest hash
+    place = F.explode(segments(F.col("_dd_line"), F.col("_dd_n"), depth, similarity))
+    held = texts.select("_dd_hash", "_dd_k", "_dd_leaf", place.alias("_dd_segment"))
+    seeds = (held.groupBy("_dd_leaf", "_dd_segment").agg(F.max(F.struct("_dd_k", "_dd_hash")).alias("_dd_seed"),
+                                                        F.count(F.lit(1)).alias("_dd_lines")).where(F.col("_dd_lines") > 1))
+    met = (held.join(seeds, ["_dd_leaf", "_dd_segment"]).where(F.col("_dd_hash") != F.col("_dd_seed._dd_hash"))
+           .select("_dd_hash", F.col("_dd_seed._dd_hash").alias("_dd_by")).distinct())
+    of_seed = texts.select(F.col("_dd_hash").alias("_dd_by"), F.col("_dd_line").alias("_dd_other"), F.col("_dd_k").alias("_dd_often"))
+    near = (texts.select("_dd_hash", "_dd_n", "_dd_line").join(met, "_dd_hash").join(of_seed, "_dd_by")
+            .where(_same_share(F.col("_dd_line"), F.col("_dd_other"), F.col("_dd_n")) >= similarity)
+            .select("_dd_hash", "_dd_by", "_dd_often"))
+    near = stored(near, "near-seeds")
+    # seeds that resemble a commoner one are no templates
+    joins = near.join(near.select(F.col("_dd_hash").alias("_dd_by")).distinct(), "_dd_by", "left_anti")
+    return (joins.groupBy("_dd_hash").agg(F.max(F.struct("_dd_often", "_dd_by")).alias("_dd_best"))
+            .select("_dd_hash", F.col("_dd_best._dd_by").alias("_dd_template")))
 
 
 def drop_recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
@@ -97,10 +133,10 @@ def drop_recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str =
     with_text = docs.where(F.col(key).isNotNull())
     lines = stored(template_lines(with_text, key, id_col, text_col, depth, min_tokens), "template-lines")
     # one row per distinct line: how often, and the first and last document that holds it
-    distinct = stored(lines.groupBy("_dd_hash", "_dd_leaf", "_dd_n").agg(
+    distinct = stored(lines.groupBy("_dd_hash", "_dd_leaf", "_dd_n", "_dd_vary").agg(
         F.count(F.lit(1)).alias("_dd_k"), F.min(F.struct("_dd_id", key, "_dd_at")).alias("_dd_first"),
         F.max(F.struct("_dd_id", key)).alias("_dd_last")), "distinct-lines")
-    merged = merged_templates(with_text, distinct, key, text_col, similarity, min_merge_tokens)
+    merged = merged_templates(with_text, distinct, key, text_col, similarity, min_merge_tokens, depth)
     held = distinct.join(merged, "_dd_hash", "left").select(
         "_dd_hash", F.coalesce("_dd_template", "_dd_hash").alias("_dd_template"),
         F.struct("_dd_first._dd_id", f"_dd_first.{key}").alias("_dd_first"), "_dd_last")
