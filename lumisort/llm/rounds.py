@@ -98,7 +98,8 @@ def run_rounds(df: DataFrame, job: Job, id_col: str, text_col: str, name: str, c
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(shuffle_partitions(spark), math.ceil(total / chunk_bytes))
     buckets = max(1, min(chunks, 4 * math.ceil(total / chunk_bytes)))
-    docs = (docs.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
+    # with the number of the partition read, so that rows that repeat spread too
+    docs = (docs.withColumn("chunk", F.pmod(F.xxhash64("id", "text", F.spark_partition_id()), F.lit(chunks)))
             .repartition(chunks, "chunk").persist(StorageLevel.MEMORY_AND_DISK))
     answers, tables = None, []
     try:
