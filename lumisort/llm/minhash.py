@@ -336,6 +336,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = confirmed(first, likely, percent)
     label = stored(components(links, "x", "y").toDF("x", "c"), "components")
     drop_stored(links)
+    release(df.sparkSession)  # of dozens of small plans
 
     # buckets that still hold more than one component
     sketch, least = None, least_estimate(threshold, sigmas, FINE)
@@ -358,7 +359,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             old, label = label, _joined(label, links)
             drop_stored(old)
         drop_stored(links, named)
-        release(df.sparkSession)  # of dozens of small plans a phase
+        release(df.sparkSession)
     drop_stored(reps, bucket, likely, sketch)
 
     by_id = (full.select("id", *same).join(classes, same).select("id", "rep")

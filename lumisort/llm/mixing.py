@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumisort.llm.common import WORD_RE, bound_arrow, drop_stored, packed, stored
+from lumisort.llm.common import WORD_RE, bound_arrow, drop_stored, packed, release, stored
 
 LOG = logging.getLogger(__name__)
 BUCKETS = 1 << 16
@@ -233,6 +233,7 @@ def descend_rates(members: DataFrame, names: list[str], targets: Mapping[str, fl
             state = stored(state, "rates")
             drop_stored(kept)
             kept = state
+            release(members.sparkSession)
         # the objective is as curved as its ridge at least, so the last step bounds how far it is from the minimum
         objective = (((now - goal) / whole) ** 2).sum() / 2 + ridge / 2 * got[k + 1] / whole
         if steepest ** 2 * got[k] / whole / (2 * ridge) <= tolerance * objective:
