@@ -62,21 +62,22 @@ def _same_share(a: Column, b: Column, n: Column) -> Column:
 def template_lines(docs: DataFrame, key: str, id_col: str, text_col: str, depth: int, min_tokens: int) -> DataFrame:
     """The narrow table of lines: key, id, place, tokens, whether fields vary, hash, leaf."""
 
-    def known_by(line: Column) -> Column:
-        # worked out before lines are exploded: a column of the generator is computed once
-        return let(tokens_of(line), lambda x: let(masked(x), lambda y: F.struct(x.alias("own"), y.alias("masked"))))
-
-    lines = docs.select(key, F.col(id_col).alias("_dd_id"), F.posexplode(
-        F.transform(F.split(F.col(text_col), "\n", -1), known_by)).alias("_dd_at", "_dd_l"))
-    lines = lines.where(F.col("_dd_l.own") != "").select(
-        key, "_dd_id", "_dd_at", F.col("_dd_l.own").alias("_dd_own"), F.col("_dd_l.masked").alias("_dd_line"))
-    line, n = F.col("_dd_line"), F.col("_dd_n")
-    lines = lines.withColumn("_dd_n", _count(line, " ") + 1).withColumn(
-        "_dd_vary", (n >= min_tokens) & (2 * _count(line, FIELD) <= n))
-    # the two kinds don't meet: a line feed is in no line
-    text = F.when(F.col("_dd_vary"), line).otherwise(F.concat(F.lit("\n"), "_dd_own"))
-    return lines.select(key, "_dd_id", "_dd_at", "_dd_n", "_dd_vary", F.unhex(F.md5(text)).alias("_dd_hash"),
-                        F.xxhash64(n, F.substring_index(line, " ", depth)).alias("_dd_leaf"))
+    def known_by(own: Column, line: Column) -> Column:
+        """What the line is recognised by, and whether that is a line with fields; a line feed is in no line, so the two
+        kinds don't meet."""
+        n = _count(line, " ") + 1
+        return let((n >= min_tokens) & (2 * _count(line, FIELD) <= n), lambda vary: F.struct(
+            F.when(vary, line).otherwise(F.concat(F.lit("\n"), own)).alias("line"), vary.alias("vary")))
+
+    # worked out before lines are exploded: a column of the generator is computed once
+    known = F.transform(F.split(F.col(text_col), "\n", -1), lambda x: let(tokens_of(x), lambda own: let(
+        masked(own), lambda line: known_by(own, line))))
+    lines = docs.select(key, F.col(id_col).alias("_dd_id"), F.posexplode(known).alias("_dd_at", "_dd_l")).select(
+        key, "_dd_id", "_dd_at", F.col("_dd_l.line").alias("_dd_line"), F.col("_dd_l.vary").alias("_dd_vary"))
+    line = F.col("_dd_line")
+    lines = lines.where(line != "\n").withColumn("_dd_n", _count(line, " ") + 1)
+    return lines.select(key, "_dd_id", "_dd_at", "_dd_n", "_dd_vary", F.unhex(F.md5(line)).alias("_dd_hash"),
+                        F.xxhash64("_dd_n", F.substring_index(line, " ", depth)).alias("_dd_leaf"))
 
 
 def segments(line: Column, n: Column, depth: int, similarity: float) -> Column:
