@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumisort.llm.common import WORD_RE, bound_arrow, drop_stored, packed, release, stored
+from lumisort.llm.common import WORD_RE, bound_arrow, drop_stored, packed, stored
 
 LOG = logging.getLogger(__name__)
 BUCKETS = 1 << 16
@@ -217,23 +217,17 @@ def descend_rates(members: DataFrame, names: list[str], targets: Mapping[str, fl
     files = max(1, -(-rows // ROWS_PER_FILE))
     kept = state = stored(members.select("*", F.lit(1.0).alias("rate"), F.lit(1.0).alias("before")).coalesce(files), "rates")
     before, pace, push, taken = now, 1.0, 0.0, 0
+    path: list[tuple[np.ndarray, float]] = []  # steps since the rates were written
     for taken in range(1, steps + 1):
         # from a point ahead of the rates; totals are linear in them
-        off = (now + push * (now - before) - goal) / whole
-        slope = reduce(lambda x, y: x + y, [F.get(post, F.lit(d)) * F.lit(float(off[d])) for d in range(k)])
-        state = state.withColumn("ahead", F.col("rate") + push * (F.col("rate") - F.col("before")))
-        state = state.withColumn("next", F.greatest(F.lit(0.0), F.col("ahead") - (slope + ridge * (F.col("ahead") - 1)) / steepest))
-        moved = F.col("ahead") - F.col("next")
-        got = state.select(*per_domain(F.col("next")), F.sum(t * moved * moved), F.sum(t * (F.col("next") - 1) ** 2),
-                           F.sum(t * moved * (F.col("next") - F.col("rate")))).first()
+        path.append(((now + push * (now - before) - goal) / whole, push))
+        got = (state.select("tokens", "posterior", "rate", "before").mapInArrow(_sums(path, steepest, ridge), "s array<double>")
+               .select(*[F.sum(F.get("s", F.lit(c))) for c in range(k + 3)]).first())
         before, now = now, np.array(got[:k])
-        state = state.select(*[c for c in state.columns if c not in ("rate", "before", "ahead", "next")],
-                             F.col("next").alias("rate"), F.col("rate").alias("before"))
         if taken % store_every == 0:
-            state = stored(state, "rates")
+            state = stored(state.mapInArrow(_moved(path, steepest, ridge), state.schema), "rates")
             drop_stored(kept)
-            kept = state
-            release(members.sparkSession)
+            kept, path = state, []
         # the objective is as curved as its ridge at least, so the last step bounds how far it is from the minimum
         objective = (((now - goal) / whole) ** 2).sum() / 2 + ridge / 2 * got[k + 1] / whole
         if steepest ** 2 * got[k] / whole / (2 * ridge) <= tolerance * objective:
@@ -243,11 +237,52 @@ def descend_rates(members: DataFrame, names: list[str], targets: Mapping[str, fl
         push, pace = (pace - 1) / faster, faster
     else:
         LOG.warning("rates: not at the minimum after %d steps", steps)
-    out = stored(state.drop("before"), "rates")
+    out = stored(state.mapInArrow(_moved(path, steepest, ridge), state.schema).drop("before"), "rates")
     drop_stored(kept)
     return out, _report(names, goal, now, taken)
 
 
+def _walk(b: pa.RecordBatch, path: list[tuple[np.ndarray, float]], steepest: float, ridge: float):
+    """(tokens, posteriors, rate, rate before, point ahead of it) of a batch after the steps of ``path``."""
+    t = b.column("tokens").to_numpy(zero_copy_only=False).astype(float)
+    p = b.column("posterior").flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1)
+    rate, before = (b.column(c).to_numpy(zero_copy_only=False) for c in ("rate", "before"))
+    ahead = rate
+    for off, push in path:
+        ahead = rate + push * (rate - before)
+        rate, before = np.maximum(0.0, ahead - (p @ off + ridge * (ahead - 1)) / steepest), rate
+    return t, p, rate, before, ahead
+
+
+def _sums(path, steepest: float, ridge: float):
+    """Of each task: the domains' totals, and the sums that tell how far the last step went and where."""
+    path = list(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = 0.0
+        for b in batches:
+            if b.num_rows:
+                t, p, rate, before, ahead = _walk(b, path, steepest, ridge)
+                moved = ahead - rate
+                whole = whole + np.array([*((t * rate) @ p), t @ (moved * moved), t @ (rate - 1) ** 2, t @ (moved * (rate - before))])
+        if isinstance(whole, np.ndarray):
+            yield pa.RecordBatch.from_arrays([pa.array([whole.tolist()], pa.list_(pa.float64()))], ["s"])
+    return run
+
+
+def _moved(path, steepest: float, ridge: float):
+    """The rows with their rates after the steps of ``path``."""
+    path = list(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                _, _, rate, before, _ = _walk(b, path, steepest, ridge)
+                new = {"rate": pa.array(rate), "before": pa.array(before)}
+                yield pa.RecordBatch.from_arrays([new.get(c, b.column(c)) for c in b.schema.names], names=b.schema.names)
+    return run
+
+
 def fit_rates(members: DataFrame, names: list[str], targets: Mapping[str, float], total: float | None = None,
               stretch: float = 1.0, ridge: float = 1e-3, steps: int = 25, tolerance: float = 1e-6) -> tuple[Column, dict]:
     """(rate as a column over ``members``, report).  ``members`` has tokens and posterior.
