@@ -62,22 +62,21 @@ def _same_share(a: Column, b: Column, n: Column) -> Column:
 def template_lines(docs: DataFrame, key: str, id_col: str, text_col: str, depth: int, min_tokens: int) -> DataFrame:
     """The narrow table of lines: key, id, place, tokens, whether fields vary, hash, leaf."""
 
-    def known_by(own: Column, line: Column) -> Column:
-        """What the line is recognised by, and whether that is a line with fields; a line feed is in no line, so the two
-        kinds don't meet."""
-        n = _count(line, " ") + 1
-        return let((n >= min_tokens) & (2 * _count(line, FIELD) <= n), lambda vary: F.struct(
-            F.when(vary, line).otherwise(F.concat(F.lit("\n"), own)).alias("line"), vary.alias("vary")))
-
-    # worked out before lines are exploded: a column of the generator is computed once
-    known = F.transform(F.split(F.col(text_col), "\n", -1), lambda x: let(tokens_of(x), lambda own: let(
-        masked(own), lambda line: known_by(own, line))))
-    lines = docs.select(key, F.col(id_col).alias("_dd_id"), F.posexplode(known).alias("_dd_at", "_dd_l")).select(
-        key, "_dd_id", "_dd_at", F.col("_dd_l.line").alias("_dd_line"), F.col("_dd_l.vary").alias("_dd_vary"))
-    line = F.col("_dd_line")
-    lines = lines.where(line != "\n").withColumn("_dd_n", _count(line, " ") + 1)
-    return lines.select(key, "_dd_id", "_dd_at", "_dd_n", "_dd_vary", F.unhex(F.md5(line)).alias("_dd_hash"),
-                        F.xxhash64("_dd_n", F.substring_index(line, " ", depth)).alias("_dd_leaf"))
+    def known_by(own: Column) -> Column:
+        """What a line is recognised by: its masked tokens; for lines of fields its own tokens after a line feed, which no
+        line holds, so the two kinds don't meet.  Most lines have no digit and are known by their tokens at once."""
+        with_fields = let(F.regexp_replace(own, TOKEN_WITH_DIGIT, FIELD), lambda m: F.when(
+            2 * _count(m, FIELD) <= F.when(_count(m, " ") + 1 >= min_tokens, _count(m, " ") + 1).otherwise(0), m).otherwise(F.concat(F.lit("\n"), own)))
+        return F.when(own.rlike("[0-9]"), with_fields).otherwise(own)
+
+    # masked before they are exploded: a column of the generator is computed once
+    known = F.transform(F.split(F.col(text_col), "\n", -1), lambda x: let(tokens_of(x), known_by))
+    lines = docs.select(key, F.col(id_col).alias("_dd_id"), F.posexplode(known).alias("_dd_at", "_dd_line"))
+    line, n = F.col("_dd_line"), F.col("_dd_n")
+    vary = ~line.startswith("\n") & (n >= min_tokens) & (2 * _count(line, FIELD) <= n)
+    return (lines.where(line != "").withColumn("_dd_n", _count(line, " ") + 1)
+            .select(key, "_dd_id", "_dd_at", "_dd_n", vary.alias("_dd_vary"), F.unhex(F.md5(line)).alias("_dd_hash"),
+                    F.xxhash64(n, F.substring_index(line, " ", depth)).alias("_dd_leaf")))
 
 
 def segments(line: Column, n: Column, depth: int, similarity: float) -> Column:
