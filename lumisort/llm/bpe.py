@@ -3,17 +3,19 @@
 A word (a match of the tokeniser's pattern) is a byte array; ``fold_merges`` folds
 over its length and merges in each step the adjacent pair whose joined bytes have
 the lowest rank (the first such pair on ties), as byte-pair encoding prescribes.
-Ranks come from a literal map of the vocabulary, cut into buckets by CRC-32 so
-that a lookup reads a handful of entries.  Decoding looks every id up in a
-literal array of pieces and concatenates.
-
-The commonest words of a bounded sample of documents (``sample_rows``,
-``dictionary_words``) are folded once each and sent to the workers as a dictionary.
-Words beyond it are merged where they occur by ``merge_word``, the same rule in plain
-Python, with a bounded memory of recent ones: folding the rare words of every batch
-as well cost more than the limits allow (see the README).  The dictionary saves
-time and never changes a result; no text is shuffled and nothing depends on how
-often a word occurs.
+Ranks come from a map of the vocabulary, one value in the plan, cut into buckets by
+CRC-32 so that a lookup reads a handful of entries.  Decoding looks every id up in an
+array of pieces, again one value, and concatenates.
+
+The words of all documents are counted, and the commonest (``dictionary_words``) are
+folded once each and sent to the workers as a dictionary.  Words beyond it are merged
+where they occur by ``merge_word``, the same rule in plain Python, with a bounded
+memory of recent ones: folding the rare words of every batch as well cost more than
+the limits allow (see the README).  The dictionary saves time and never changes a
+result; no text is shuffled and nothing depends on how often a word occurs.
+
+Texts are cut at blanks between words before the pattern is matched (``_cutter``), so
+that a part met before, in counting or in encoding, is not matched again.
 
 Null text is empty: no tokens and empty bytes.  Repeated rows give repeated
 results; only the id and text columns are read.
@@ -24,9 +26,10 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -47,6 +50,10 @@ FOLD_CHARS = 256  # longest word of the dictionary
 LONG_WORD = 100
 RECENT_WORDS = 200_000
 
+#: Patterns whose matches hold white space at their start or are all white space, and look ahead at
+#: white space only: a blank between two other characters always begins a match.
+BLANK_STARTS = frozenset({r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"})
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Bytes -> rank of a file of base64 pieces and ranks."""
@@ -58,13 +65,23 @@ def _latin(piece: bytes) -> str:
     return piece.decode("latin-1")
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The literal rank map: an array of ``BUCKETS`` maps from piece to rank."""
+def with_table(df: DataFrame, name: str, value: list, schema: str) -> DataFrame:
+    """``df`` with a fixed table in a column for plans to look up.  As a literal it would stand in every text that
+    Spark keeps of the plan on the driver, a megabyte or two each time; a scalar subquery doesn't."""
+    rows = df.sparkSession.createDataFrame([(json.dumps(value),)], "json string")
+    return df.withColumn(name, rows.select(F.from_json("json", schema).alias(name)).scalar())
+
+
+RANK_TABLE, PIECE_TABLE = "array<map<string,int>>", "array<string>"
+
+
+def rank_buckets(ranks: dict[bytes, int]) -> list[dict[str, int]]:
+    """The rank map: ``BUCKETS`` maps from piece to rank."""
     buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
         text = _latin(piece)
         buckets[zlib.crc32(text.encode("utf-8")) % BUCKETS][text] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+    return buckets
 
 
 def _rank(table: Column, piece: Column) -> Column:
@@ -120,18 +137,26 @@ def fold_merges(table: Column, word: Column) -> Column:
         let(_rank(table, word), lambda whole: F.when(whole < NO_RANK, F.array(whole)).otherwise(folded())))
 
 
-def encode_words(words: Column, ranks: dict[bytes, int]) -> Column:
+def encode_words(words: Column, ranks: dict[bytes, int], table: Column | None = None) -> Column:
     """array<string> of words (one character a byte) -> array<array<int>>; the rank
-    map stands in the plan once."""
-    return let(rank_map(ranks), lambda table: F.transform(words, lambda w: fold_merges(table, w)))
+    map stands in the plan once, as a literal unless a column holds it (``with_table``)."""
+    if table is None:
+        table = F.from_json(F.lit(json.dumps(rank_buckets(ranks))), RANK_TABLE)
+    return let(table, lambda table: F.transform(words, lambda w: fold_merges(table, w)))
 
 
-def decode_ids(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """Ids -> bytes: the pieces of the ids, concatenated."""
+def id_pieces(ranks: dict[bytes, int]) -> list[str]:
+    """The pieces by id, in hexadecimal."""
     pieces = [""] * (max(ranks.values(), default=-1) + 1)
     for piece, rank in ranks.items():
         pieces[rank] = piece.hex()
-    table = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+    return pieces
+
+
+def decode_ids(ids: Column, ranks: dict[bytes, int], table: Column | None = None) -> Column:
+    """Ids -> bytes: the pieces of the ids, concatenated; the pieces are a literal unless a column holds them."""
+    if table is None:
+        table = F.from_json(F.lit(json.dumps(id_pieces(ranks))), PIECE_TABLE)
     return F.unhex(let(table, lambda t: F.array_join(F.transform(ids, lambda i: F.get(t, i)), "")))
 
 
@@ -194,23 +219,62 @@ def _splitter(pattern: str):
     return cache["bpe", pattern]
 
 
-def common_words(df: DataFrame, text_col: str, pattern: str, ranks: dict[bytes, int], sample_rows: int,
-                 dictionary_words: int) -> bytes:
-    """The commonest words of about ``sample_rows`` documents with their ids, at most
-    ``dictionary_words``, as one Arrow stream (see ``word_ids``)."""
-    rows = df.count()
-    share = min(1.0, sample_rows / max(rows, 1))
-    picked = df.select(text_col) if share >= 1.0 else df.select(text_col).sample(share, seed=7)
+def _cutter(pattern: str) -> Callable[[str], list[str]]:
+    """Cuts a text into parts whose matches together are those of the text.  All parts but the
+    first lack the blank that begins them."""
+    if pattern not in BLANK_STARTS:
+        return lambda text: [text]
+    return re.compile(r" (?<=\S )(?=\S)").split
+
+
+class _Recent(dict):
+    """Ids (int32 bytes) of parts of texts by what follows their blank; long parts are not kept."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.encode(" " + part)
+        if len(part) <= FOLD_CHARS:
+            self[part] = ids
+        return ids
+
+
+def count_words(df: DataFrame, text_col: str, pattern: str) -> DataFrame:
+    """(word, n): how often each word of up to ``FOLD_CHARS`` characters occurs in all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = _splitter(pattern).findall
-        for b in batches:
-            seen = Counter(chain.from_iterable(find(t) for t in b.column(0).to_pylist() if t))
-            seen = {w: k for w, k in seen.items() if k > 1 and len(w) <= FOLD_CHARS}
-            yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string()),
-                                              "n": pa.array(list(seen.values()), pa.int64())})
+        find, cut, words = _splitter(pattern).findall, _cutter(pattern), Counter()
+
+        def batch() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_pydict({"word": pa.array(list(words), pa.string()),
+                                              "n": pa.array(list(words.values()), pa.int64())})
+            words.clear()
+            return out
 
-    counts = picked.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).cache()
+        for b in batches:
+            parts = Counter()
+            for text in b.column(0).to_pylist():
+                if text:
+                    first, *rest = cut(text)
+                    words.update(w for w in find(first) if len(w) <= FOLD_CHARS)
+                    parts.update(rest)
+            for part, n in parts.items():
+                for w in find(" " + part):
+                    if len(w) <= FOLD_CHARS:
+                        words[w] += n
+            if len(words) > RECENT_WORDS:
+                yield batch()
+        yield batch()
+
+    return df.select(text_col).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def common_words(df: DataFrame, text_col: str, pattern: str, ranks: dict[bytes, int], dictionary_words: int) -> bytes:
+    """The commonest words of all texts with their ids, at most ``dictionary_words``, none that occurs
+    once only, as one Arrow stream (see ``word_ids``)."""
+    counts = count_words(df, text_col, pattern).where(F.col("n") > 1).cache()
     try:
         steps = counts.groupBy(F.floor(F.log2("n") * 4).alias("step")).agg(F.count(F.lit(1)).alias("k")).collect()
         least, total = None, 0  # the lowest step that still fits the bound
@@ -222,8 +286,8 @@ def common_words(df: DataFrame, text_col: str, pattern: str, ranks: dict[bytes,
         if least is None:
             return b""
         latin = F.decode(F.encode("word", "UTF-8"), "ISO-8859-1")
-        coded = (counts.where(F.floor(F.log2("n") * 4) >= least)
-                 .select("word", F.element_at(encode_words(F.array(latin), ranks), 1).alias("ids")))
+        chosen = with_table(counts.where(F.floor(F.log2("n") * 4) >= least), "ranks", rank_buckets(ranks), RANK_TABLE)
+        coded = chosen.select("word", F.element_at(encode_words(F.array(latin), ranks, F.col("ranks")), 1).alias("ids"))
         got = coded.toArrow()
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, got.schema) as out:
@@ -248,30 +312,37 @@ def word_ids(stream: bytes) -> dict[str, bytes]:
 
 
 def bpe_encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-               sample_rows: int = 30_000, dictionary_words: int = 200_000) -> DataFrame:
+               dictionary_words: int = 200_000) -> DataFrame:
     """(id, ids array<int>, ids_le): one row per row of ``df``; ``ids_le`` holds the ids
     as little-endian 32-bit integers."""
     spark = df.sparkSession
     bound_arrow(spark, BATCH_BYTES)
     ranks = read_ranks(ranks_path)
     # the words pass the driver as one block of bytes; the workers make a dictionary of it
-    known = spark.sparkContext.broadcast(common_words(df, text_col, pattern, ranks, sample_rows, dictionary_words))
+    known = spark.sparkContext.broadcast(common_words(df, text_col, pattern, ranks, dictionary_words))
     vocabulary = spark.sparkContext.broadcast(ranks)
     id_type = df.schema[id_col].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, have, rank = _splitter(pattern).findall, word_ids(known.value), vocabulary.value
-        recent: dict[str, bytes] = {}
+        find, cut, have, rank = _splitter(pattern).findall, _cutter(pattern), word_ids(known.value), vocabulary.value
+        rare: dict[str, bytes] = {}
+
+        def code(part: str) -> bytes:
+            words = find(part)
+            for w in words:
+                if w not in have and w not in rare:
+                    rare[w] = np.array(merge_word(w.encode("utf-8"), rank), "<i4").tobytes()
+            return b"".join([have.get(w) or rare[w] for w in words])
+
+        recent = _Recent(code)
         for b in batches:
-            if len(recent) > RECENT_WORDS:
-                recent.clear()
+            for memory in (rare, recent):
+                if len(memory) > RECENT_WORDS:
+                    memory.clear()
             coded = []
             for text in b.column(1).to_pylist():
-                words = find(text) if text else []
-                new = [w for w in set(words) if w not in have and w not in recent]
-                for w in new:
-                    recent[w] = np.array(merge_word(w.encode("utf-8"), rank), "<i4").tobytes()
-                coded.append(b"".join([have.get(w) or recent[w] for w in words]))
+                first, *rest = cut(text) if text else [""]
+                coded.append(code(first) + b"".join(map(recent.__getitem__, rest)))
             size = np.array([len(c) // 4 for c in coded], np.int64)
             offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), "<i4")))

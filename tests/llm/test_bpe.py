@@ -67,3 +67,37 @@ def test_odd_and_empty_tables(odd_docs, no_docs):
     assert len(got) == odd_docs.count()
     assert {r.doc_id: len(r.ids) for r in got if r.doc_id in (3, 4)} == {3: 0, 4: 0}
     assert bpe.bpe_encode(no_docs, PATH, P.PATTERN).count() == 0
+
+
+def test_words_of_all_documents_are_counted(spark):
+    """Once in each of two batches, beside 40,000 other documents: a sample or a batch of its own would miss it."""
+    filler = spark.range(40_000).select(F.lit("thean one").alias("text"))
+    rare = spark.createDataFrame([("x zqzqzq  zqzqzq\tzqzqzq",), (None,)], "text string").coalesce(1)
+    df = filler.coalesce(1).unionByName(rare).unionByName(rare)
+    got = {r.word: r.n for r in bpe.count_words(df, "text", P.PATTERN).collect()}
+    assert got == {"thean": 40_000, " one": 40_000, "x": 2, " zqzqzq": 4, " ": 2, "\t": 2, "zqzqzq": 2}
+    have = bpe.word_ids(bpe.common_words(df, "text", P.PATTERN, RANKS, 100))
+    assert have.keys() == got.keys()
+    assert all(list(np.frombuffer(ids, "<i4")) == REFERENCE.encode_ordinary(w) for w, ids in have.items())
+
+
+def test_cut_texts_have_the_same_words():
+    rng = random.Random(9)
+    letters = "ab1 '  \u3000\xa0\n\t\x1c\x85  !\xe9\u4e2ds \r\U0001f600"
+    assert P.PATTERN in bpe.BLANK_STARTS
+    find, cut = bpe._splitter(P.PATTERN).findall, bpe._cutter(P.PATTERN)
+    for _ in range(20_000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 14)))
+        first, *rest = cut(text)
+        assert find(first) + [w for part in rest for w in find(" " + part)] == find(text)
+    assert bpe._cutter("[a-z ]+")("a b") == ["a b"]
+
+
+def test_plans_do_not_hold_the_vocabulary(spark):
+    """Spark keeps the text of every plan on the driver."""
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    words = bpe.with_table(df, "ranks", bpe.rank_buckets(RANKS), bpe.RANK_TABLE).select(
+        bpe.encode_words(F.array("text"), RANKS, F.col("ranks"))[0].alias("ids"))
+    assert list(words.first().ids) == REFERENCE._encode_single_piece(b"a b")
+    for plan in (queries.bpe_digests(df), words):
+        assert len(plan._jdf.queryExecution().toString()) < 100_000
