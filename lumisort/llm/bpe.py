@@ -31,6 +31,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import chain
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,7 @@ BATCH_BYTES = 4 << 20
 FOLD_CHARS = 256  # longest word of the dictionary
 LONG_WORD = 100
 RECENT_WORDS = 200_000
+BYTES = [bytes([i]) for i in range(256)]
 
 #: Patterns whose matches hold white space at their start or are all white space, and look ahead at
 #: white space only: a blank between two other characters always begins a match.
@@ -167,16 +169,17 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [whole]
     if len(word) > LONG_WORD:
         return merge_long(word, ranks)
-    parts = [word[i:i + 1] for i in range(len(word))]
-    pairs = [ranks.get(word[i:i + 2], NO_RANK) for i in range(len(word) - 1)]
+    get = ranks.get
+    parts = [BYTES[c] for c in word]
+    pairs = [get(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
     while pairs and (low := min(pairs)) < NO_RANK:
         i = pairs.index(low)
-        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        part = parts[i] = parts[i] + parts.pop(i + 1)
         del pairs[i]
         if i:
-            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], NO_RANK)
+            pairs[i - 1] = get(parts[i - 1] + part, NO_RANK)
         if i < len(pairs):
-            pairs[i] = ranks.get(parts[i] + parts[i + 1], NO_RANK)
+            pairs[i] = get(part + parts[i + 1], NO_RANK)
     return [ranks[p] for p in parts]
 
 
@@ -227,6 +230,12 @@ def _cutter(pattern: str) -> Callable[[str], list[str]]:
     return re.compile(r" (?<=\S )(?=\S)").split
 
 
+def _words(part: str, find: Callable[[str], list[str]]) -> list[str]:
+    """The matches of a part that lacks its blank."""
+    word = " " + part
+    return [word] if part.isascii() and part.isalpha() else find(word)
+
+
 class _Recent(dict):
     """Ids (int32 bytes) of parts of texts by what follows their blank; long parts are not kept."""
 
@@ -235,7 +244,7 @@ class _Recent(dict):
         self.encode = encode
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.encode(" " + part)
+        ids = self.encode(part)
         if len(part) <= FOLD_CHARS:
             self[part] = ids
         return ids
@@ -261,7 +270,7 @@ def count_words(df: DataFrame, text_col: str, pattern: str) -> DataFrame:
                     words.update(w for w in find(first) if len(w) <= FOLD_CHARS)
                     parts.update(rest)
             for part, n in parts.items():
-                for w in find(" " + part):
+                for w in _words(part, find):
                     if len(w) <= FOLD_CHARS:
                         words[w] += n
             if len(words) > RECENT_WORDS:
@@ -327,12 +336,16 @@ def bpe_encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
         find, cut, have, rank = _splitter(pattern).findall, _cutter(pattern), word_ids(known.value), vocabulary.value
         rare: dict[str, bytes] = {}
 
+        def one(w: str) -> bytes:
+            ids = have.get(w) or rare.get(w)
+            if ids is None:
+                ids = merge_word(w.encode("utf-8"), rank)
+                ids = rare[w] = pack(f"<{len(ids)}i", *ids)
+            return ids
+
         def code(part: str) -> bytes:
-            words = find(part)
-            for w in words:
-                if w not in have and w not in rare:
-                    rare[w] = np.array(merge_word(w.encode("utf-8"), rank), "<i4").tobytes()
-            return b"".join([have.get(w) or rare[w] for w in words])
+            words = _words(part, find)
+            return one(words[0]) if len(words) == 1 else b"".join(map(one, words))
 
         recent = _Recent(code)
         for b in batches:
@@ -342,7 +355,7 @@ def bpe_encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
             coded = []
             for text in b.column(1).to_pylist():
                 first, *rest = cut(text) if text else [""]
-                coded.append(code(first) + b"".join(map(recent.__getitem__, rest)))
+                coded.append(b"".join(chain(map(one, find(first)), map(recent.__getitem__, rest))))
             size = np.array([len(c) // 4 for c in coded], np.int64)
             offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), "<i4")))
