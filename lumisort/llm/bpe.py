@@ -9,12 +9,12 @@ array of pieces, again one value, and concatenates.
 
 The words of all documents are counted, and the commonest (``dictionary_words``) are
 folded once each and sent to the workers as a dictionary.  Words beyond it are merged
-where they occur by ``merge_word``, the same rule in plain Python, with a bounded
-memory of recent ones: folding the rare words of every batch as well cost more than
-the limits allow (see the README).  The dictionary saves time and never changes a
+where they occur by ``merge_words``, the same rule on all new words of a batch side by
+side, with a bounded memory of recent ones: folding the rare words of every batch as
+well cost more than the limits allow (see the README).  The dictionary saves time and never changes a
 result; no text is shuffled and nothing depends on how often a word occurs.
 
-Texts are cut at blanks between words before the pattern is matched (``_cutter``), so
+Texts are cut at blanks between words before the pattern is matched (``_Cuts``), so
 that a part met before, in counting or in encoding, is not matched again.
 
 Null text is empty: no tokens and empty bytes.  Repeated rows give repeated
@@ -26,20 +26,22 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import pickle
 import re
 import zlib
-from collections import Counter
-from collections.abc import Callable, Iterator
-from itertools import chain
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, compress
 from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumisort._compat import worker_cache
-from lumisort.llm.common import bound_arrow, file_bytes, let
+from lumisort.llm.common import bound_arrow, file_bytes, let, packed
 
 BUCKETS = 1 << 12  # a power of two
 PLACE_BITS = 11  # of a place in a word
@@ -49,11 +51,15 @@ NO_PAIR = NO_RANK << 3 * PLACE_BITS
 BATCH_BYTES = 4 << 20
 FOLD_CHARS = 256  # longest word of the dictionary
 LONG_WORD = 100
+FEW_WORDS = 8  # of one length: merged one by one
 RECENT_WORDS = 200_000
 BYTES = [bytes([i]) for i in range(256)]
 
+#: Blanks beside white space (of any kind that a pattern may know) or at an end.
+ODD_BLANK = r"^ | $|[\s\x0b\x1c-\x1f\x{85}\p{Z}] | [\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+
 #: Patterns whose matches hold white space at their start or are all white space, and look ahead at
-#: white space only: a blank between two other characters always begins a match.
+#: white space only, and that leave out no character: a blank between two other characters always begins a match.
 BLANK_STARTS = frozenset({r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"})
 
 
@@ -214,6 +220,82 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class PairRanks:
+    """Ranks of joined pieces by the ids of both, for ``merge_words``.  A byte that is no piece itself has an id
+    beyond all ranks here."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.top = max(ranks.values(), default=-1)
+        ids = {c: self.top + 1 + i for i, c in enumerate(BYTES)} | ranks
+        found = sorted((left << 32 | right, rank) for piece, rank in ranks.items() for k in range(1, len(piece))
+                       if (left := ids.get(piece[:k])) is not None and (right := ids.get(piece[k:])) is not None)
+        found.append((np.iinfo(np.int64).max, NO_RANK))  # a place for what comes after all
+        self.key = np.array([k for k, _ in found], np.int64)
+        self.rank = np.array([r for _, r in found], np.int32)
+        self.byte = np.array([ids[c] for c in BYTES], np.int32)
+        self.two = self.of(np.repeat(self.byte, 256), np.tile(self.byte, 256))  # of two bytes
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.key, key)
+        return np.where(self.key[at] == key, self.rank[at], np.int32(NO_RANK))
+
+
+def _merge_even(words: list[bytes], pairs: PairRanks) -> list[bytes]:
+    """Ids (int32 bytes) of words of one length, merged side by side: each step merges one pair of every word that
+    has any left, so the rows stay equally long."""
+    out = [b""] * len(words)
+    data = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)
+    ids, rank = pairs.byte[data], pairs.two[data[:, :-1].astype(np.int32) << 8 | data[:, 1:]]
+    row = np.arange(len(words))
+    while len(row):
+        n = ids.shape[1]
+        low = rank.argmin(axis=1) if n > 1 else np.zeros(len(row), np.int64)  # the first on ties
+        least = rank[np.arange(len(row)), low] if n > 1 else np.full(len(row), NO_RANK, np.int32)
+        done = least == NO_RANK
+        if done.any():
+            if (ids[done] > pairs.top).any():
+                raise KeyError("a byte without a rank")
+            whole = ids[done].astype("<i4").tobytes()
+            for k, i in enumerate(row[done].tolist()):
+                out[i] = whole[4 * n * k:4 * n * (k + 1)]
+            ids, rank, low, least, row = (x[~done] for x in (ids, rank, low, least, row))
+            if not len(row):
+                break
+        all_ = np.arange(len(row))
+        ids[all_, low] = least  # a piece's id is its rank
+        stay = np.ones(ids.shape, bool)
+        stay[all_, low + 1] = False
+        ids = ids[stay].reshape(len(row), n - 1)
+        stay = np.ones(rank.shape, bool)
+        stay[all_, low] = False
+        rank = rank[stay].reshape(len(row), n - 2)
+        i = np.flatnonzero(low > 0)
+        rank[i, low[i] - 1] = pairs.of(ids[i, low[i] - 1], least[i])
+        i = np.flatnonzero(low < n - 2)
+        rank[i, low[i]] = pairs.of(least[i], ids[i, low[i] + 1])
+    return out
+
+
+def merge_words(words: list[bytes], ranks: dict[bytes, int], pairs: PairRanks) -> list[bytes]:
+    """``merge_word`` of many words, as int32 bytes: short words of one length together."""
+    out, even = [b""] * len(words), defaultdict(list)
+    for i, word in enumerate(words):
+        whole = ranks.get(word)
+        if whole is not None:
+            out[i] = pack("<i", whole)
+        else:
+            even[len(word)].append(i)
+    for n, at in even.items():
+        if 0 < n <= LONG_WORD and len(at) >= FEW_WORDS:
+            coded = _merge_even([words[i] for i in at], pairs)
+        else:
+            coded = [pack(f"<{len(ids)}i", *ids) for ids in (merge_word(words[i], ranks) for i in at)]
+        for i, ids in zip(at, coded):
+            out[i] = ids
+    return out
+
+
 def _splitter(pattern: str):
     import regex
     cache = worker_cache()
@@ -230,31 +312,119 @@ def _cutter(pattern: str) -> Callable[[str], list[str]]:
     return re.compile(r" (?<=\S )(?=\S)").split
 
 
-def _words(part: str, find: Callable[[str], list[str]]) -> list[str]:
-    """The matches of a part that lacks its blank."""
-    word = " " + part
-    return [word] if part.isascii() and part.isalpha() else find(word)
-
-
-class _Recent(dict):
-    """Ids (int32 bytes) of parts of texts by what follows their blank; long parts are not kept."""
-
-    def __init__(self, encode: Callable[[str], bytes]):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self.encode(part)
-        if len(part) <= FOLD_CHARS:
-            self[part] = ids
-        return ids
+class _Cuts:
+    """Texts of a batch, cut.  ``parts``: the distinct parts that lack their blank; ``index``: for every part of every
+    text its number there, from ``starts`` on for each text; at ``starts`` stand the first parts (``firsts``), which
+    lack none.  Texts with other white space beside a blank, or a blank at an end, are first parts as a whole here, to
+    be cut by ``_cutter``; ``odd`` has their places."""
+
+    def __init__(self, texts: pa.Array, pattern: str):
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, ODD_BLANK) if pattern in BLANK_STARTS else pa.array([True] * len(texts), pa.bool_())
+        pieces = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        coded = pieces.values.dictionary_encode()
+        self.starts, self.index = pieces.offsets.to_numpy(), coded.indices.to_numpy()
+        first = self.index[self.starts[:-1]]
+        self.parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.firsts = [self.parts[i] for i in first.tolist()]
+        self.odd = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
+        for i in self.odd:
+            self.firsts[i] = texts[i].as_py()
+
+    def times(self) -> np.ndarray:
+        """How often each part occurs, not as a first one."""
+        n = len(self.parts)
+        return np.bincount(self.index, minlength=n) - np.bincount(self.index[self.starts[:-1]], minlength=n)
+
+
+def _words(parts: Iterable[str], find: Callable[[str], list[str]]) -> tuple[list[str], list[str], np.ndarray]:
+    """Parts that lack their blank, in an order of its own, their words one after the other, and how many each has.
+    A part that does not end in white space ends a match as well, so all such parts are matched at once."""
+    tight, loose = [], []
+    for p in parts:
+        (loose if not p or p[-1].isspace() else tight).append(p)
+    words = find(" ".join(["", *tight])) if tight else []
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    part_ends = np.cumsum(np.fromiter(map(len, tight), np.int64, len(tight)) + 1)
+    n = np.diff(np.searchsorted(ends, part_ends, "right"), prepend=0).tolist()
+    for p in loose:
+        more = find(" " + p)
+        words += more
+        n.append(len(more))
+    return tight + loose, words, np.array(n, np.int64)
+
+
+class TextCoder:
+    """Ids (int32 bytes) of texts.  The words of ``known`` are looked up; all other words of a batch are merged
+    together (``merge_words``), a distinct one once.  ``words`` remembers them, and ``parts`` the parts of texts by
+    what follows their blank, up to ``memory`` of each; neither known nor long ones count there."""
+
+    def __init__(self, pattern: str, known: dict[str, bytes], ranks: dict[bytes, int], pairs: PairRanks,
+                 memory: int = RECENT_WORDS):
+        self.find, self.cut = _splitter(pattern).findall, _cutter(pattern)
+        self.pattern, self.known, self.ranks, self.pairs, self.memory = pattern, known, ranks, pairs, memory
+        # a word is the one match of itself (see BLANK_STARTS)
+        self.known_parts = {w[1:]: ids for w, ids in known.items() if w.startswith(" ")}
+        self.words, self.parts = self.known.copy(), self.known_parts.copy()
+
+    def _learn(self, firsts: list[list[str]], parts: set[str]) -> list[str]:
+        """Remembers these words and parts; returns the new words."""
+        parts, found, n = _words(parts, self.find)
+        new = list(set(chain(found, *firsts)).difference(self.words))
+        self.words.update(zip(new, merge_words([w.encode("utf-8") for w in new], self.ranks, self.pairs)))
+        ids = list(map(self.words.__getitem__, found))
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        end = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)])].tolist()
+        whole = b"".join(ids)
+        self.parts.update(zip(parts, [whole[a:b] for a, b in zip(end, end[1:])]))
+        return new
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts and where each text's begin; the end of the last too."""
+        if len(self.words) - len(self.known) > self.memory:
+            self.words = self.known.copy()
+        if len(self.parts) - len(self.known_parts) > self.memory:
+            self.parts = self.known_parts.copy()
+        cuts = _Cuts(texts, self.pattern)
+        odd = [self.cut(cuts.firsts[i]) for i in cuts.odd]
+        for i, parts in zip(cuts.odd, odd):
+            cuts.firsts[i] = parts.pop(0)
+        firsts = [self.find(first) for first in cuts.firsts]
+        parts = set(compress(cuts.parts, cuts.times())).union(*odd).difference(self.parts)
+        words = self._learn(firsts, parts)
+        one, part = self.words.__getitem__, self.parts.__getitem__
+        coded = [b"".join(map(one, first)) for first in firsts]
+        for i, rest in zip(cuts.odd, odd):
+            coded[i] += b"".join(map(part, rest))
+        # a table of ids by part (none for what is a first part only), then by text for the first parts
+        coded = [*(self.parts.get(p, b"") for p in cuts.parts), *coded]
+        index = cuts.index.copy()
+        index[cuts.starts[:-1]] = np.arange(len(cuts.parts), len(coded))
+        for memory, new in ((self.words, words), (self.parts, parts)):
+            for w in new:
+                if len(w) > FOLD_CHARS:
+                    del memory[w]
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        ids = np.frombuffer(b"".join(coded), "<i4")
+        size_at = size[index]
+        end = np.concatenate([[0], np.cumsum(size_at)])
+        out = ids[np.repeat((np.cumsum(size) - size)[index] - end[:-1], size_at) + np.arange(end[-1])]
+        return out, end[cuts.starts]
 
 
 def count_words(df: DataFrame, text_col: str, pattern: str) -> DataFrame:
     """(word, n): how often each word of up to ``FOLD_CHARS`` characters occurs in all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, cut, words = _splitter(pattern).findall, _cutter(pattern), Counter()
+        find, cut, words, parts = _splitter(pattern).findall, _cutter(pattern), Counter(), Counter()
+
+        def settle() -> None:
+            names, found, n = _words(parts, find)
+            times = np.repeat(np.array([parts[p] for p in names], np.int64), n).tolist()
+            for w, k in zip(found, times):
+                if len(w) <= FOLD_CHARS:
+                    words[w] += k
+            parts.clear()
 
         def batch() -> pa.RecordBatch:
             out = pa.RecordBatch.from_pydict({"word": pa.array(list(words), pa.string()),
@@ -263,18 +433,19 @@ def count_words(df: DataFrame, text_col: str, pattern: str) -> DataFrame:
             return out
 
         for b in batches:
-            parts = Counter()
-            for text in b.column(0).to_pylist():
-                if text:
-                    first, *rest = cut(text)
-                    words.update(w for w in find(first) if len(w) <= FOLD_CHARS)
-                    parts.update(rest)
-            for part, n in parts.items():
-                for w in _words(part, find):
-                    if len(w) <= FOLD_CHARS:
-                        words[w] += n
+            cuts = _Cuts(b.column(0), pattern)
+            for i in cuts.odd:
+                cuts.firsts[i], *rest = cut(cuts.firsts[i])
+                parts.update(rest)
+            for part, n in zip(cuts.parts, cuts.times().tolist()):
+                if n:
+                    parts[part] += n
+            words.update(w for first in cuts.firsts for w in find(first) if len(w) <= FOLD_CHARS)
+            if len(parts) > RECENT_WORDS:
+                settle()
             if len(words) > RECENT_WORDS:
                 yield batch()
+        settle()
         yield batch()
 
     return df.select(text_col).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -329,36 +500,17 @@ def bpe_encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
     ranks = read_ranks(ranks_path)
     # the words pass the driver as one block of bytes; the workers make a dictionary of it
     known = spark.sparkContext.broadcast(common_words(df, text_col, pattern, ranks, dictionary_words))
-    vocabulary = spark.sparkContext.broadcast(ranks)
+    vocabulary = spark.sparkContext.broadcast(packed((ranks, PairRanks(ranks))))
     id_type = df.schema[id_col].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, cut, have, rank = _splitter(pattern).findall, _cutter(pattern), word_ids(known.value), vocabulary.value
-        rare: dict[str, bytes] = {}
-
-        def one(w: str) -> bytes:
-            ids = have.get(w) or rare.get(w)
-            if ids is None:
-                ids = merge_word(w.encode("utf-8"), rank)
-                ids = rare[w] = pack(f"<{len(ids)}i", *ids)
-            return ids
-
-        def code(part: str) -> bytes:
-            words = _words(part, find)
-            return one(words[0]) if len(words) == 1 else b"".join(map(one, words))
-
-        recent = _Recent(code)
+        coder = TextCoder(pattern, word_ids(known.value), *pickle.loads(vocabulary.value))
         for b in batches:
-            for memory in (rare, recent):
-                if len(memory) > RECENT_WORDS:
-                    memory.clear()
-            coded = []
-            for text in b.column(1).to_pylist():
-                first, *rest = cut(text) if text else [""]
-                coded.append(b"".join(chain(map(one, find(first)), map(recent.__getitem__, rest))))
-            size = np.array([len(c) // 4 for c in coded], np.int64)
-            offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), "<i4")))
-            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array(coded, pa.binary())], [id_col, "ids", "ids_le"])
+            ids, starts = coder.encode(b.column(1))
+            starts = starts.astype(np.int32)
+            # the same bytes, as numbers and as they are
+            as_bytes = pa.Array.from_buffers(pa.binary(), len(b.column(0)), [None, pa.py_buffer(4 * starts), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(starts), pa.array(ids)),
+                                              as_bytes], [id_col, "ids", "ids_le"])
 
     return df.select(id_col, text_col).mapInArrow(encode, f"`{id_col}` {id_type}, ids array<int>, ids_le binary")

@@ -1,8 +1,11 @@
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -93,6 +96,59 @@ def test_cut_texts_have_the_same_words():
     assert bpe._cutter("[a-z ]+")("a b") == ["a b"]
 
 
+def odd_texts(n):
+    rng = random.Random(12)
+    letters = "ab1 '  \u3000\xa0\n\t\x1c\x85  !\xe9\u4e2ds \r\U0001f600"
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(n)] + texts()
+
+
+def test_words_merged_side_by_side():
+    rng = random.Random(8)
+    pairs = bpe.PairRanks(RANKS)
+    words = [bytes(rng.choice(b"thean \xc3\xa9ing") for _ in range(rng.randint(1, 130))) for _ in range(3000)]
+    words += [b"a" * n for n in range(1, 130) for _ in range(9)] + [b"abab" * n for n in range(1, 30)]
+    for got, word in zip(bpe.merge_words(words, RANKS, pairs), words, strict=True):
+        assert np.frombuffer(got, "<i4").tolist() == REFERENCE._encode_single_piece(word), word
+    assert bpe.merge_words([], RANKS, pairs) == []
+    # bytes that are no pieces may still be halves of one
+    toy = {b"a": 0, b"b": 1, b"xy": 2, b"axy": 3, b"xya": 4}
+    got = bpe.merge_words([b"axyab"] * 20, toy, bpe.PairRanks(toy))
+    assert {tuple(np.frombuffer(x, "<i4")) for x in got} == {tuple(bpe.merge_word(b"axyab", toy))} == {(3, 0, 1)}
+    with pytest.raises(KeyError):
+        bpe.merge_words([b"axb"] * 20, toy, bpe.PairRanks(toy))
+
+
+def test_coder_matches_new_parts_only():
+    """The pattern is matched once a batch for all new parts and once a text for its first part, also where the
+    memory overflows; all words of the dictionary stay known."""
+    all_texts = odd_texts(3000)
+    known = {w: np.array(REFERENCE.encode_ordinary(w), "<i4").tobytes() for w in (" thean", " one", "!", "\n", " a b")}
+    for memory in (0, 10**6):
+        coder = bpe.TextCoder(P.PATTERN, known, RANKS, bpe.PairRanks(RANKS), memory)
+        for i in range(0, len(all_texts), 500):
+            some = all_texts[i:i + 500]
+            ids, starts = coder.encode(pa.array(some, pa.string()))
+            assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [
+                REFERENCE.encode_ordinary(x or "") for x in some]
+    calls, find = [], coder.find
+    for memory in (0, 10**6):
+        coder = bpe.TextCoder(P.PATTERN, known, RANKS, bpe.PairRanks(RANKS), memory)
+        coder.find = lambda text: calls.append(text) or find(text)
+        for _ in range(3):
+            calls.clear()
+            coder.encode(pa.array(["x thean one", "y thean one", "z new, one newer."], pa.string()))
+            assert [c for c in calls if c not in "xyz"] in ([" new, newer."], [" newer. new,"], [])
+        assert (memory == 0) == (len(calls) == 4)
+
+
+def test_counts_of_odd_texts(spark):
+    all_texts = odd_texts(3000)
+    find = bpe._splitter(P.PATTERN).findall
+    want = Counter(w for x in all_texts for w in find(x or "") if len(w) <= bpe.FOLD_CHARS)
+    df = spark.createDataFrame([(x,) for x in all_texts], "text string").repartition(3)
+    assert {r.word: r.n for r in bpe.count_words(df, "text", P.PATTERN).collect()} == want
+
+
 def test_plans_do_not_hold_the_vocabulary(spark):
     """Spark keeps the text of every plan on the driver."""
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
